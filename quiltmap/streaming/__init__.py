@@ -1,0 +1 @@
+"""Empty on purpose: every job in this package is a batch job, so there is no stream operator to offer."""
