@@ -199,14 +199,34 @@ def explode_each(dim, names, schema):
                 "gy": (tile["row"] * dim + at // dim).astype(np.int32),
                 **{name: values[i, at].astype(np.int32) for i, name in enumerate(names)},
             }
-            arrays = [
-                pa.array(columns[f.name], f.type) if f.name in columns else pa.array([tile[f.name]] * n, f.type) for f in schema
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+            yield with_copies(tile, columns, n, schema)
 
     return run
 
 
+def piece_pixels_each(names, schema):
+    """Image pieces to one row per pixel that holds data."""
+
+    def run(batches):
+        for piece in rows(batches):
+            values = band_values(piece["bands"])
+            at = np.flatnonzero(values.any(axis=0))
+            columns = {
+                "x": (piece["x0"] + at % piece["width"]).astype(np.int32),
+                "y": (piece["y0"] + at // piece["width"]).astype(np.int32),
+                **{name: values[i, at].astype(np.int32) for i, name in enumerate(names)},
+            }
+            yield with_copies(piece, columns, len(at), schema)
+
+    return run
+
+
+def with_copies(record, columns, n, schema):
+    """A batch of computed columns, the others repeated from the record."""
+    arrays = [pa.array(columns[f.name], f.type) if f.name in columns else pa.array([record[f.name]] * n, f.type) for f in schema]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
 def assemble_group(dim, names, keep, schema):
     """The pixels of one tile, at most ``dim * dim``, to its packed bands."""
 

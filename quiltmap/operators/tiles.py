@@ -24,6 +24,15 @@ def arrow_schema(schema: StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
+def kept_and(df: DataFrame, keep: list[str], ddl: str) -> StructType:
+    """The schema of some columns of a frame followed by new ones."""
+    return StructType([*[df.schema[k] for k in keep], *StructType.fromDDL(ddl)])
+
+
+def ints(names) -> str:
+    return ", ".join(f"{name} int" for name in names)
+
+
 def as_merged(tiles: DataFrame) -> DataFrame:
     """Input tiles in the columns of a merged one."""
     return tiles.select(*KEY, "priority", "bands", F.lit(None).cast("array<binary>").alias("orders"))
@@ -85,10 +94,7 @@ def split_packed(tiles: DataFrame, across: int) -> DataFrame:
 
 def tile_explode(tiles: DataFrame, keep: list[str], dim: int, names=BANDS) -> DataFrame:
     """Packed tiles to pixel rows; transparent pixels have none."""
-    kept = StructType([tiles.schema[k] for k in keep])
-    out = kept.add("priority", "bigint").add("gx", "int").add("gy", "int")
-    for name in names:
-        out = out.add(name, "int")
+    out = kept_and(tiles, keep, f"priority bigint, gx int, gy int, {ints(names)}")
     needed = [*dict.fromkeys([*keep, "priority", "col", "row", "bands"])] + (["orders"] if "orders" in tiles.columns else [])
     return tiles.select(*needed).mapInArrow(kernels.explode_each(dim, list(names), arrow_schema(out)), out)
 
@@ -104,7 +110,7 @@ def tile_assemble(pixels: DataFrame, keep: list[str], dim: int, names=BANDS) ->
         *names,
     )
     keys = [*keep, "col", "row"]
-    out = StructType([placed.schema[k] for k in keys]).add("bands", "array<binary>")
+    out = kept_and(placed, keys, "bands array<binary>")
     return placed.groupBy(*keys).applyInArrow(kernels.assemble_group(dim, list(names), keys, arrow_schema(out)), out)
 
 
@@ -116,10 +122,8 @@ def nonempty_tiles(tiles: DataFrame, dim: int) -> DataFrame:
 
 def retile_blocks(blocks: DataFrame, keep: list[str], window: int = RETILE_WINDOW) -> DataFrame:
     """Stored blocks of an image to windows: a block is cut where it straddles, then parts are pasted."""
-    kept = StructType([blocks.schema[k] for k in keep]).add("piece_col", "int").add("piece_row", "int")
-    for name in ("x0", "y0", "width", "height"):
-        kept = kept.add(name, "int")
-    out = kept.add("bands", "array<binary>")
+    place = ints(["piece_col", "piece_row", "x0", "y0", "width", "height"])
+    out = kept_and(blocks, keep, f"{place}, bands array<binary>")
     arrow = arrow_schema(out)
     parts = blocks.select(*keep, "x0", "y0", "width", "height", "bands").mapInArrow(kernels.fragment_each(window, arrow), out)
     keys = [*keep, "piece_col", "piece_row"]
@@ -134,9 +138,13 @@ def reproject_blocks(blocks: DataFrame, keep: list[str]) -> DataFrame:
 
 def sample_pieces(pieces: DataFrame, keep: list[str], dim: int) -> DataFrame:
     """Pieces (``left, top, res, width, height, zoom, bands``) to the non-empty chunks they fall on."""
-    out = StructType([pieces.schema[k] for k in keep])
-    for name in KEY:
-        out = out.add(name, "int")
-    out = out.add("bands", "array<binary>")
+    out = kept_and(pieces, keep, f"{ints(KEY)}, bands array<binary>")
     needed = [*keep, "left", "top", "res", "width", "height", "zoom", "bands"]
     return pieces.select(*needed).mapInArrow(kernels.sample_each(dim, WORLD_WIDTH, arrow_schema(out)), out)
+
+
+def piece_pixels(pieces: DataFrame, keep: list[str], names=BANDS) -> DataFrame:
+    """Pieces (``x0, y0, width, height, bands``) to rows of the pixels that hold data, placed in the image."""
+    out = kept_and(pieces, keep, ints(["x", "y", *names]))
+    needed = pieces.select(*keep, "x0", "y0", "width", "bands")
+    return needed.mapInArrow(kernels.piece_pixels_each(list(names), arrow_schema(out)), out)

@@ -6,6 +6,7 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 from quiltmap.operators import kernels
 from quiltmap.operators.tiles import arrow_schema
@@ -18,7 +19,7 @@ def write_chunks(chunks: DataFrame, path: str) -> None:
 
 
 def encode_png(tiles: DataFrame, dim: int, skip_blank: bool = False) -> DataFrame:
-    schema = tiles.sparkSession.createDataFrame([], PNG).schema
+    schema = StructType.fromDDL(PNG)
     needed = tiles.select("zoom", "col", "row", "bands")
     return needed.mapInArrow(kernels.encode_each(dim, skip_blank, arrow_schema(schema)), schema)
 
