@@ -13,28 +13,34 @@ from pyspark.sql import functions as F
 
 from quiltmap.functions.pixels import BANDS, has_data, rank_value, ranked_priority, ranked_value
 
+RANKS = tuple(f"{b}_rank" for b in BANDS)
 
-def _top(priority: Column | str, value: str, when: Column | None = None) -> Column:
-    seen = F.col(value) != 0 if when is None else when & (F.col(value) != 0)
-    return F.max(F.when(seen, rank_value(priority, value)))
 
+def ranked(pixels: DataFrame) -> DataFrame:
+    """Each band as ``priority * 256 + value``, null where transparent: merging is then a maximum."""
+    return pixels.select(
+        "zoom", "gx", "gy", *[F.when(F.col(b) != 0, rank_value("priority", b)).alias(r) for b, r in zip(BANDS, RANKS)]
+    )
 
-def _collapse(ranked: dict[str, Column]) -> list[Column]:
-    """Band bytes, and one priority per pixel: that of the highest input holding data there."""
-    tops = list(ranked.values())
-    return [F.coalesce(ranked_value(c), F.lit(0)).alias(b) for b, c in ranked.items()] + [
-        ranked_priority(F.greatest(*tops)).alias("priority")
-    ]
 
-
-def mosaic_merge(pixels: DataFrame) -> DataFrame:
-    """Per pixel and band, the non-zero value of the input with the highest priority.
+def merge_ranked(ranks: DataFrame) -> DataFrame:
+    """One row per pixel, still with a priority per band, so it can meet further inputs.
 
     One hash aggregate with map-side partials: a pixel covered by a third of the table still
     leaves each task as one row.
     """
-    tops = pixels.groupBy("zoom", "gx", "gy").agg(*[_top("priority", b).alias(f"_{b}") for b in BANDS])
-    return tops.select("zoom", "gx", "gy", *_collapse({b: F.col(f"_{b}") for b in BANDS}))
+    return ranks.groupBy("zoom", "gx", "gy").agg(*[F.max(r).alias(r) for r in RANKS])
+
+
+def finished(ranks: DataFrame) -> DataFrame:
+    """Band bytes, and one priority per pixel: that of the highest input holding data there."""
+    values = [F.coalesce(ranked_value(r), F.lit(0)).alias(b) for b, r in zip(BANDS, RANKS)]
+    return ranks.select("zoom", "gx", "gy", *values, ranked_priority(F.greatest(*RANKS)).alias("priority"))
+
+
+def mosaic_merge(pixels: DataFrame) -> DataFrame:
+    """Per pixel and band, the non-zero value of the input with the highest priority."""
+    return finished(merge_ranked(ranked(pixels)))
 
 
 def _mean(total: str, count: str) -> Column:
@@ -42,10 +48,10 @@ def _mean(total: str, count: str) -> Column:
     return F.expr(f"(2 * {total} + {count}) div nullif(2 * {count}, 0)")
 
 
-def _sums(when: Column | None = None) -> list[Column]:
+def _sums() -> list[Column]:
     out = []
     for b in BANDS:
-        seen = F.col(b) != 0 if when is None else when & (F.col(b) != 0)
+        seen = F.col(b) != 0
         out += [F.sum(F.when(seen, F.col(b))).alias(f"_s{b}"), F.count(F.when(seen, F.lit(1))).alias(f"_n{b}")]
     return out
 
@@ -73,32 +79,26 @@ def order_down(merged: DataFrame) -> DataFrame:
 
 
 def merge_level(natives: DataFrame | None, deeper: DataFrame | None, zoom: int) -> DataFrame:
-    """One finished level: inputs of this zoom merged with the finished level below it, halved.
+    """One finished level: ranked inputs of this zoom merged with the finished level below it, halved.
 
     Both sides go through a single aggregate, so a level costs one shuffle.
     """
     if deeper is None:
-        return mosaic_merge(natives)
+        return finished(merge_ranked(natives))
     if natives is None:
         return zoom_up(deeper)
-    is_child = F.col("_child")
+    no_rank, no_byte = F.lit(None).cast("bigint"), F.lit(None).cast("int")
     sides = [
-        natives.select("gx", "gy", *BANDS, "priority", F.lit(False).alias("_child")),
-        deeper.select(*parent_pixel(), *BANDS, "priority", F.lit(True).alias("_child")),
+        natives.select("gx", "gy", *RANKS, *[no_byte.alias(b) for b in BANDS], no_rank.alias("priority")),
+        deeper.select(*parent_pixel(), *[no_rank.alias(r) for r in RANKS], *BANDS, "priority"),
     ]
     sums = (
         union_inputs(sides)
         .groupBy("gx", "gy")
-        .agg(
-            *[_top("priority", b, ~is_child).alias(f"_{b}") for b in BANDS],
-            *_sums(is_child),
-            F.max(F.when(is_child & has_data(), F.col("priority"))).alias("_from"),
-        )
-    )
-    halved = {b: rank_value("_from", _mean(f"_s{b}", f"_n{b}")) for b in BANDS}
-    return sums.select(
-        F.lit(zoom).alias("zoom"), "gx", "gy", *_collapse({b: F.greatest(F.col(f"_{b}"), halved[b]) for b in BANDS})
+        .agg(*[F.max(r).alias(r) for r in RANKS], *_sums(), F.max(F.when(has_data(), F.col("priority"))).alias("_from"))
     )
+    tops = [F.greatest(F.col(r), rank_value("_from", _mean(f"_s{b}", f"_n{b}"))).alias(r) for b, r in zip(BANDS, RANKS)]
+    return finished(sums.select(F.lit(zoom).alias("zoom"), "gx", "gy", *tops))
 
 
 def union_inputs(frames: list[DataFrame]) -> DataFrame:

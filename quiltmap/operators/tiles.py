@@ -33,6 +33,15 @@ def ints(names) -> str:
     return ", ".join(f"{name} int" for name in names)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partitions for a kernel that works by these keys.
+
+    The number of partitions is the session's, fixed: packed tiles are small for the work they
+    cause, so partitions must not be joined up by their bytes.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def as_merged(tiles: DataFrame) -> DataFrame:
     """Input tiles in the columns of a merged one."""
     return tiles.select(*KEY, "priority", "bands", F.lit(None).cast("array<binary>").alias("orders"))
@@ -51,22 +60,18 @@ def thin_overlaps(tiles: DataFrame, overlap: int, fan_in: int = FAN_IN) -> DataF
     maximum, so the salt does not show in the result. No round runs when overlaps are shallow.
     """
     rounds = max(math.ceil(math.log(max(overlap, 1), fan_in)) - 1, 0)
-    salted = tiles.withColumn("_salt", F.pmod(F.xxhash64(F.spark_partition_id(), "priority"), F.lit(fan_in**rounds)))
     for left in range(rounds, 0, -1):
-        groups = salted.groupBy(*KEY, (F.pmod("_salt", F.lit(fan_in**left))).alias("_salt"))
-        salted = with_salt(groups.applyInArrow(kernels.merge_group(per_band=True), MERGED), fan_in ** (left - 1))
-    return salted.drop("_salt")
-
-
-def with_salt(tiles: DataFrame, groups: int) -> DataFrame:
-    return tiles.withColumn("_salt", F.pmod(F.xxhash64(F.spark_partition_id()), F.lit(groups)))
+        salt = F.pmod(F.xxhash64(F.spark_partition_id(), "priority"), F.lit(fan_in**left))
+        salted = spread(tiles.withColumn("_salt", salt), *KEY, "_salt")
+        tiles = salted.groupBy(*KEY, "_salt").applyInArrow(kernels.merge_group(per_band=True), MERGED)
+    return tiles
 
 
 def mosaic_merge_tiles(tiles: DataFrame, overlap: int | None = None, fan_in: int = FAN_IN) -> DataFrame:
     """One finished tile per key: the highest priority's non-zero value per pixel and band."""
     overlap = deepest_overlap(tiles) if overlap is None else overlap
     thin = thin_overlaps(as_merged(tiles), overlap, fan_in)
-    return thin.groupBy(*KEY).applyInArrow(kernels.merge_group(per_band=False), MERGED)
+    return spread(thin, *KEY).groupBy(*KEY).applyInArrow(kernels.merge_group(per_band=False), MERGED)
 
 
 def fold_levels(tiles: DataFrame, hi: int, lo: int, dim: int) -> DataFrame:
@@ -74,13 +79,13 @@ def fold_levels(tiles: DataFrame, hi: int, lo: int, dim: int) -> DataFrame:
 
     A task holds at most 4^(hi-lo) tiles of the deepest level and streams what is drawn on them.
     """
-    ancestor = [F.expr(f"shiftright({axis}, zoom - {lo})").alias(f"_{axis}") for axis in ("col", "row")]
-    return tiles.groupBy(*ancestor).applyInArrow(kernels.fold_group(hi, lo, dim), MERGED)
+    placed = tiles.select("*", *[F.expr(f"shiftright({axis}, zoom - {lo})").alias(f"_{axis}") for axis in ("col", "row")])
+    return spread(placed, "_col", "_row").groupBy("_col", "_row").applyInArrow(kernels.fold_group(hi, lo, dim), MERGED)
 
 
 def zoom_up_tiles(merged: DataFrame, dim: int) -> DataFrame:
     """Parents of merged tiles. Halving comes before the shuffle, so a quarter of the data moves."""
-    return halve_tiles(merged, dim).groupBy(*KEY).applyInArrow(kernels.merge_group(per_band=False), MERGED)
+    return spread(halve_tiles(merged, dim), *KEY).groupBy(*KEY).applyInArrow(kernels.merge_group(per_band=False), MERGED)
 
 
 def halve_tiles(merged: DataFrame, dim: int) -> DataFrame:
@@ -111,7 +116,7 @@ def tile_assemble(pixels: DataFrame, keep: list[str], dim: int, names=BANDS) ->
     )
     keys = [*keep, "col", "row"]
     out = kept_and(placed, keys, "bands array<binary>")
-    return placed.groupBy(*keys).applyInArrow(kernels.assemble_group(dim, list(names), keys, arrow_schema(out)), out)
+    return spread(placed, *keys).groupBy(*keys).applyInArrow(kernels.assemble_group(dim, list(names), keys, arrow_schema(out)), out)
 
 
 def nonempty_tiles(tiles: DataFrame, dim: int) -> DataFrame:
@@ -127,7 +132,7 @@ def retile_blocks(blocks: DataFrame, keep: list[str], window: int = RETILE_WINDO
     arrow = arrow_schema(out)
     parts = blocks.select(*keep, "x0", "y0", "width", "height", "bands").mapInArrow(kernels.fragment_each(window, arrow), out)
     keys = [*keep, "piece_col", "piece_row"]
-    return parts.groupBy(*keys).applyInArrow(kernels.paste_group(window, keys, arrow), out)
+    return spread(parts, *keys).groupBy(*keys).applyInArrow(kernels.paste_group(window, keys, arrow), out)
 
 
 def reproject_blocks(blocks: DataFrame, keep: list[str]) -> DataFrame:

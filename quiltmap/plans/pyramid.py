@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quiltmap.operators.mosaic import merge_level, mosaic_merge, union_inputs
+from quiltmap.operators.mosaic import finished, merge_level, merge_ranked, ranked, union_inputs
 from quiltmap.operators.tiles import MERGED, as_merged, deepest_overlap, fold_levels, halve_tiles, split_packed, thin_overlaps
 from quiltmap.session import scratch_path, written
 
@@ -50,7 +50,7 @@ def pyramid(
     table, so a lost executor costs at most one job's work.
     """
     spark = pixels.sparkSession
-    natives = written(mosaic_merge(pixels), "natives", "zoom") if stage else pixels
+    natives = written(merge_ranked(ranked(pixels)), "natives", "zoom") if stage else ranked(pixels)
     zooms = input_zooms(natives)
     path = path or scratch_path(spark, "pyramid")
     if not zooms:
@@ -62,7 +62,7 @@ def pyramid(
         for z in job:
             here = natives.where(F.col("zoom") == z) if z in zooms else None
             if deeper is None and stage:
-                deeper = here
+                deeper = finished(here)
             else:
                 deeper = merge_level(here, deeper, z)
             levels.append(deeper)
