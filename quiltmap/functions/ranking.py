@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANK_RANGE = 1 << 16
@@ -35,17 +35,17 @@ def _starts(ranged: DataFrame, job: str, ranges: list[str], total: str) -> DataF
     """How many rows of the job come before each range."""
     counts = ranged.groupBy(job, *ranges).agg(F.count(F.lit(1)).alias("_n"))
     if len(ranges) == 1:
-        return _running(counts, job, [job], ranges, "_start").drop("_n").join(_totals(counts, job, total), job)
+        return counts.select(job, *ranges, _before([job], ranges).alias("_start"), _total(job).alias(total))
     coarse = counts.groupBy(job, "_range").agg(F.sum("_n").alias("_n"))
-    before = _running(coarse, job, [job], ["_range"], "_before").drop("_n").join(_totals(coarse, job, total), job)
-    fine = _running(counts, job, [job, "_range"], ranges[1:], "_inside").drop("_n")
-    return fine.join(before, [job, "_range"]).withColumn("_start", F.col("_before") + F.col("_inside")).drop("_before", "_inside")
+    earlier = coarse.select(job, "_range", _before([job], ["_range"]).alias("_earlier"), _total(job).alias(total))
+    inside = counts.select(job, *ranges, _before([job, "_range"], ranges[1:]).alias("_inside"))
+    return inside.join(earlier, [job, "_range"]).select(job, *ranges, (F.col("_earlier") + F.col("_inside")).alias("_start"), total)
 
 
-def _running(counts: DataFrame, job: str, within: list[str], by: list[str], name: str) -> DataFrame:
+def _before(within: list[str], by: list[str]) -> Column:
     earlier = Window.partitionBy(*within).orderBy(*by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return counts.withColumn(name, F.sum("_n").over(earlier) - F.col("_n"))
+    return F.sum("_n").over(earlier) - F.col("_n")
 
 
-def _totals(counts: DataFrame, job: str, total: str) -> DataFrame:
-    return counts.groupBy(job).agg(F.sum("_n").alias(total))
+def _total(job: str) -> Column:
+    return F.sum("_n").over(Window.partitionBy(job))

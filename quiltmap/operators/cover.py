@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quiltmap.functions.grid import CHUNK_TILE, GridBounds, grid_size, scaled_grid_bounds, tile_affine, tile_path, world_clip
 from quiltmap.functions.pixels import BANDS
+from quiltmap.session import spread
 
 BLOCK = 64  # a row of the cover fans out to at most BLOCK * BLOCK tiles
 
@@ -31,7 +32,7 @@ def explode_bounds(rects: DataFrame, keep: list[str], block: int = BLOCK) -> Dat
     small = sized.where(F.col("_size") <= block * block).select(*keep, *b)
     large = sized.where(F.col("_size") > block * block)
     stripes = large.select(*keep, *b, F.explode(_spans(b.col_min, b.col_max, block)).alias("_c"))
-    blocks = stripes.select(*keep, *b, "_c", F.explode(_spans(b.row_min, b.row_max, block)).alias("_r")).repartition(*keep, "_c", "_r")
+    blocks = spread(stripes.select(*keep, *b, "_c", F.explode(_spans(b.row_min, b.row_max, block)).alias("_r")), *keep, "_c", "_r")
     cut = blocks.select(
         *keep,
         F.col("_c").alias("col_min"),

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from quiltmap.functions.grid import EARTH_RADIUS, RETILE_WINDOW, WORLD_WIDTH
 from quiltmap.functions.pixels import BANDS
 from quiltmap.operators import kernels
+from quiltmap.session import spread
 
 KEY = ["zoom", "col", "row"]
 MERGED = "zoom int, col int, row int, priority bigint, bands array<binary>, orders array<binary>"
@@ -33,15 +34,6 @@ def ints(names) -> str:
     return ", ".join(f"{name} int" for name in names)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partitions for a kernel that works by these keys.
-
-    The number of partitions is the session's, fixed: packed tiles are small for the work they
-    cause, so partitions must not be joined up by their bytes.
-    """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
-
-
 def as_merged(tiles: DataFrame) -> DataFrame:
     """Input tiles in the columns of a merged one."""
     return tiles.select(*KEY, "priority", "bands", F.lit(None).cast("array<binary>").alias("orders"))
@@ -137,14 +129,14 @@ def retile_blocks(blocks: DataFrame, keep: list[str], window: int = RETILE_WINDO
 
 def reproject_blocks(blocks: DataFrame, keep: list[str]) -> DataFrame:
     """Blocks of an EPSG:4326 image (``lon0, lat0, deg, res``) to blocks of its EPSG:3857 grid, plus alpha."""
-    needed = blocks.select(*keep, "lon0", "lat0", "deg", "res", "x0", "y0", "width", "height", "bands")
+    needed = blocks.select(*dict.fromkeys([*keep, "lon0", "lat0", "deg", "res", "x0", "y0", "width", "height", "bands"]))
     return needed.mapInArrow(kernels.warp_each(EARTH_RADIUS, arrow_schema(needed.schema)), needed.schema)
 
 
 def sample_pieces(pieces: DataFrame, keep: list[str], dim: int) -> DataFrame:
     """Pieces (``left, top, res, width, height, zoom, bands``) to the non-empty chunks they fall on."""
     out = kept_and(pieces, keep, f"{ints(KEY)}, bands array<binary>")
-    needed = [*keep, "left", "top", "res", "width", "height", "zoom", "bands"]
+    needed = dict.fromkeys([*keep, "left", "top", "res", "width", "height", "zoom", "bands"])
     return pieces.select(*needed).mapInArrow(kernels.sample_each(dim, WORLD_WIDTH, arrow_schema(out)), out)
 
 

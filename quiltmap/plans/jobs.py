@@ -46,14 +46,17 @@ def stage(spark: SparkSession, status: str | None, job_id: str, name: str, targe
     append_status(spark, status, job_id, name, "FINISHED", target=target)
 
 
+def check_images(requested: DataFrame, images: DataFrame) -> None:
+    """Refuses a request that lists an image without a raster or in a system that is not supported."""
+    found = requested.join(images.select("source_uri", "crs"), "source_uri", "left")
+    supported = F.coalesce(F.col("crs").isin("EPSG:3857", "EPSG:4326"), F.lit(False))
+    for row in found.where(~supported).select("source_uri", "crs").take(1):
+        raise ValueError(f"no raster for {row.source_uri}" if row.crs is None else f"unsupported crs {row.crs} of {row.source_uri}")
+
+
 def pieces_of(requested: DataFrame, images: DataFrame, blocks: DataFrame, window: int) -> DataFrame:
     """The requested images in metres, cut into windows."""
-    found = requested.join(images, "source_uri", "left")
-    missing = F.raise_error(F.concat(F.lit("no raster for "), F.col("source_uri"))).cast("boolean")
-    unknown = F.raise_error(F.concat(F.lit("unsupported crs "), F.col("crs"))).cast("boolean")
-    known = found.where(
-        F.when(F.col("width").isNull(), missing).when(~F.col("crs").isin("EPSG:3857", "EPSG:4326"), unknown).otherwise(F.lit(True))
-    )
+    known = requested.join(images, "source_uri")
     keep = ["job_id", "ord", "source_uri", "left", "top", "res"]
     metric = known.where(F.col("crs") == "EPSG:3857").select(*keep)
     degrees = warped_grid(known.where(F.col("crs") == "EPSG:4326").drop("left", "top", "res")).select(*keep, "lon0", "lat0", "deg")
@@ -91,7 +94,9 @@ def chunk(
     if job is None:
         raise ValueError("the request lists no images")
     with stage(spark, status, job.job_id, "chunk", job.target):
-        pieces = written(pieces_of(requested.select("job_id", "ord", "source_uri"), images, blocks, window), "pieces")
+        listed = requested.select("job_id", "ord", "source_uri")
+        check_images(listed, images)
+        pieces = written(pieces_of(listed, images, blocks, window), "pieces")
         measured = pieces.select(
             "job_id",
             "ord",
@@ -115,8 +120,8 @@ def chunk(
         )
         write_chunks(sample_pieces(zoomed, ["job_id", "folder", "ord", "piece_index"], tile_dim), f"{job.workspace}/chunks")
         filled = spark.read.schema(CHUNKS).parquet(f"{job.workspace}/chunks").select("folder")
-        listed = valid_sources(sources, filled, "folder").select("*", F.lit(job.target).alias("target"), F.lit(tile_dim).alias("tile_size"))
-        write_manifest(listed, f"{job.workspace}/manifest", tie="piece_index")
+        kept = valid_sources(sources, filled, "folder").select("*", F.lit(job.target).alias("target"), F.lit(tile_dim).alias("tile_size"))
+        write_manifest(kept, f"{job.workspace}/manifest", tie="piece_index")
     return f"{job.workspace}/manifest"
 
 

@@ -35,3 +35,12 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partitions work that is far larger than the rows that stand for it.
+
+    Packed tiles and tile blocks are small for what a task does with them, so the number of
+    partitions is the session's, fixed, and not reduced by their bytes.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

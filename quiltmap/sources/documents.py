@@ -10,11 +10,17 @@ from pyspark.sql import functions as F
 from quiltmap.schemas import MANIFEST, REQUEST
 
 
-def _required(df: DataFrame, names: list[str], what: str) -> DataFrame:
-    """Fails the job on a row that misses a field; a filter, so that it is never pruned away."""
-    missing = reduce(Column.__or__, [F.col(n).isNull() for n in names])
-    report = F.raise_error(F.lit(f"{what} needs {', '.join(names)}")).cast("boolean")
-    return df.where(F.when(missing, report).otherwise(F.lit(True)))
+def _required(df: DataFrame, record: str, names: list[str], what: str) -> DataFrame:
+    """Fails the job where the record misses a field.
+
+    The record itself is guarded, so that no filter on its fields can run before the check, and
+    the rows are filtered by the same check, so that it runs even if no field is read.
+    """
+    missing = reduce(Column.__or__, [F.col(f"{record}.{n}").isNull() for n in names])
+    report = F.raise_error(F.lit(f"{what} needs {', '.join(names)}"))
+    guarded = F.when(missing, report.cast(df.schema[record].dataType)).otherwise(F.col(record))
+    checked = df.where(F.when(missing, report.cast("boolean")).otherwise(F.lit(True)))
+    return checked.withColumn(record, guarded)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -24,8 +30,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 def request_images(documents: DataFrame) -> DataFrame:
     """Requests (JSON in ``value``) to one row per image, numbered in request order."""
-    parsed = documents.select(F.from_json("value", REQUEST).alias("d")).select("d.*")
-    checked = _required(parsed, ["jobId", "target", "images", "workspace"], "a job request")
+    parsed = documents.select(F.from_json("value", REQUEST).alias("d"))
+    checked = _required(parsed, "d", ["jobId", "target", "images", "workspace"], "a job request").select("d.*")
     return checked.select(
         F.col("jobId").alias("job_id"), "target", "workspace", F.posexplode("images").alias("ord", "source_uri")
     )
@@ -33,8 +39,8 @@ def request_images(documents: DataFrame) -> DataFrame:
 
 def manifest_inputs(documents: DataFrame) -> DataFrame:
     """Manifests (JSON in ``value``) to one row per input; the first input gets the highest priority."""
-    parsed = documents.select(F.from_json("value", MANIFEST).alias("d")).select("d.*")
-    checked = _required(parsed, ["jobId", "target", "tileSize", "input"], "a manifest")
+    parsed = documents.select(F.from_json("value", MANIFEST).alias("d"))
+    checked = _required(parsed, "d", ["jobId", "target", "tileSize", "input"], "a manifest").select("d.*")
     entries = checked.select(
         F.col("jobId").alias("job_id"),
         "target",
@@ -44,9 +50,8 @@ def manifest_inputs(documents: DataFrame) -> DataFrame:
         F.posexplode("input").alias("_pos", "i"),
     )
     bounds = ["colMin", "rowMin", "colMax", "rowMax"]
-    entries = _required(
-        entries, ["i.sourceUri", "i.zoom", "i.tiles", *[f"i.gridBounds.{b}" for b in bounds]], "a manifest input"
-    )
+    needed = ["sourceUri", "zoom", "tiles", *[f"gridBounds.{b}" for b in bounds]]
+    entries = _required(entries, "i", needed, "a manifest input")
     position = F.col("_first") + F.col("_pos")
     return entries.select(
         "job_id",

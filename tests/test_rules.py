@@ -93,8 +93,10 @@ def test_manifest_needs_its_fields(spark, field):
 def test_manifest_input_needs_its_fields(spark, field):
     doc = manifest()
     del doc["input"][1][field]
-    with pytest.raises(PySparkException, match="a manifest input needs"):
-        manifest_inputs(as_documents(spark, doc)).count()
+    inputs = manifest_inputs(as_documents(spark, doc))
+    for use in (inputs, inputs.where("tiles is not null and zoom > 0"), inputs.join(spark.range(9).withColumnRenamed("id", "zoom"), "zoom")):
+        with pytest.raises(PySparkException, match="a manifest input needs"):
+            use.count()
 
 
 def test_request_order_and_fields(spark):
