@@ -26,16 +26,3 @@ def rgba_pack(r="r", g="g", b="b") -> Column:
     rgba = F.shiftleft(big[0], 24).bitwiseOR(F.shiftleft(big[1], 16)).bitwiseOR(F.shiftleft(big[2], 8)).bitwiseOR(F.lit(255))
     blank = (col(r) == 0) & (col(g) == 0) & (col(b) == 0)
     return F.when(blank, F.lit(0).cast("bigint")).otherwise(rgba)
-
-
-def rank_value(priority: Column | str, value: Column | str) -> Column:
-    """Priority and byte in one bigint, so that a plain max() picks the value on top."""
-    return F.shiftleft(col(priority).cast("bigint"), 8).bitwiseOR(col(value).cast("bigint"))
-
-
-def ranked_value(ranked: Column | str) -> Column:
-    return col(ranked).bitwiseAND(F.lit(255)).cast("int")
-
-
-def ranked_priority(ranked: Column | str) -> Column:
-    return F.shiftright(col(ranked), 8)

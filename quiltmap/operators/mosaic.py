@@ -2,25 +2,43 @@
 
 A pixel row is ``zoom, gx, gy, r, g, b`` with ``priority``; ``gx, gy`` count pixels across the
 whole world at that zoom. Absent pixels are transparent.
+
+While inputs are still being merged each band is ``priority * 256 + value`` in one bigint, null
+where transparent, so that "the value on top" is a plain maximum and the hash aggregate keeps
+fixed-width buffers. Two inputs of equal priority are settled by the larger value.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quiltmap.functions.pixels import BANDS, has_data, rank_value, ranked_priority, ranked_value
+from quiltmap.functions.pixels import BANDS
+
+RANKS = [f"{b}_rank" for b in BANDS]
+PIXEL = ["zoom", "gx", "gy"]
+HAS_DATA = f"greatest({', '.join(BANDS)}, 0) > 0"
+
+RANKED = [f"if({b} <> 0, shiftleft(cast(priority AS bigint), 8) | {b}, null) AS {b}_rank" for b in BANDS]
+TOPS = [f"max({r}) AS {r}" for r in RANKS]
+VALUES = [f"cast(coalesce({b}_rank & 255, 0) AS int) AS {b}" for b in BANDS]
+TOP_PRIORITY = f"shiftright(greatest({', '.join(RANKS)}), 8) AS priority"
 
-RANKS = tuple(f"{b}_rank" for b in BANDS)
+PARENT = ["shiftright(gx, 1) AS gx", "shiftright(gy, 1) AS gy"]
+SUMS = [s for b in BANDS for s in (f"sum({b}) FILTER (WHERE {b} <> 0) AS {b}_sum", f"count_if({b} <> 0) AS {b}_count")]
+CARRIED = f"max(priority) FILTER (WHERE {HAS_DATA}) AS carried"
+MEANS = {b: f"(2 * {b}_sum + {b}_count) div nullif(2 * {b}_count, 0)" for b in BANDS}
+HALVED = [f"cast(coalesce({mean}, 0) AS int) AS {b}" for b, mean in MEANS.items()]
+
+
+def aggregates(expressions: list[str]):
+    return [F.expr(e) for e in expressions]
 
 
 def ranked(pixels: DataFrame) -> DataFrame:
-    """Each band as ``priority * 256 + value``, null where transparent: merging is then a maximum."""
-    return pixels.select(
-        "zoom", "gx", "gy", *[F.when(F.col(b) != 0, rank_value("priority", b)).alias(r) for b, r in zip(BANDS, RANKS)]
-    )
+    return pixels.selectExpr(*PIXEL, *RANKED)
 
 
 def merge_ranked(ranks: DataFrame) -> DataFrame:
@@ -29,13 +47,12 @@ def merge_ranked(ranks: DataFrame) -> DataFrame:
     One hash aggregate with map-side partials: a pixel covered by a third of the table still
     leaves each task as one row.
     """
-    return ranks.groupBy("zoom", "gx", "gy").agg(*[F.max(r).alias(r) for r in RANKS])
+    return ranks.groupBy(*PIXEL).agg(*aggregates(TOPS))
 
 
 def finished(ranks: DataFrame) -> DataFrame:
     """Band bytes, and one priority per pixel: that of the highest input holding data there."""
-    values = [F.coalesce(ranked_value(r), F.lit(0)).alias(b) for b, r in zip(BANDS, RANKS)]
-    return ranks.select("zoom", "gx", "gy", *values, ranked_priority(F.greatest(*RANKS)).alias("priority"))
+    return ranks.selectExpr(*PIXEL, *VALUES, TOP_PRIORITY)
 
 
 def mosaic_merge(pixels: DataFrame) -> DataFrame:
@@ -43,39 +60,16 @@ def mosaic_merge(pixels: DataFrame) -> DataFrame:
     return finished(merge_ranked(ranked(pixels)))
 
 
-def _mean(total: str, count: str) -> Column:
-    """Rounded mean, half up; null without any data."""
-    return F.expr(f"(2 * {total} + {count}) div nullif(2 * {count}, 0)")
-
-
-def _sums() -> list[Column]:
-    out = []
-    for b in BANDS:
-        seen = F.col(b) != 0
-        out += [F.sum(F.when(seen, F.col(b))).alias(f"_s{b}"), F.count(F.when(seen, F.lit(1))).alias(f"_n{b}")]
-    return out
-
-
-def parent_pixel() -> list[Column]:
-    return [F.shiftright("gx", 1).alias("gx"), F.shiftright("gy", 1).alias("gy")]
-
-
 def zoom_up(merged: DataFrame) -> DataFrame:
-    """Four pixels to one: the rounded mean of the non-transparent ones, under the highest priority."""
-    parents = merged.select((F.col("zoom") - 1).alias("zoom"), *parent_pixel(), *BANDS, "priority")
-    sums = parents.groupBy("zoom", "gx", "gy").agg(*_sums(), F.max(F.when(has_data(), F.col("priority"))).alias("priority"))
-    return sums.select(
-        "zoom", "gx", "gy", *[F.coalesce(_mean(f"_s{b}", f"_n{b}"), F.lit(0)).cast("int").alias(b) for b in BANDS], "priority"
-    )
+    """Four pixels to one: the rounded mean (half up) of the data, under the highest priority."""
+    parents = merged.selectExpr("zoom - 1 AS zoom", *PARENT, *BANDS, "priority")
+    return parents.groupBy(*PIXEL).agg(*aggregates([*SUMS, CARRIED])).selectExpr(*PIXEL, *HALVED, "carried AS priority")
 
 
 def order_down(merged: DataFrame) -> DataFrame:
     """The priority a parent pixel takes over from its children; null where none holds data."""
-    return (
-        merged.select((F.col("zoom") - 1).alias("zoom"), *parent_pixel(), F.when(has_data(), F.col("priority")).alias("priority"))
-        .groupBy("zoom", "gx", "gy")
-        .agg(F.max("priority").alias("priority"))
-    )
+    parents = merged.selectExpr("zoom - 1 AS zoom", *PARENT, *BANDS, "priority")
+    return parents.groupBy(*PIXEL).agg(F.expr(CARRIED)).withColumnRenamed("carried", "priority")
 
 
 def merge_level(natives: DataFrame | None, deeper: DataFrame | None, zoom: int) -> DataFrame:
@@ -87,19 +81,12 @@ def merge_level(natives: DataFrame | None, deeper: DataFrame | None, zoom: int)
         return finished(merge_ranked(natives))
     if natives is None:
         return zoom_up(deeper)
-    no_rank, no_byte = F.lit(None).cast("bigint"), F.lit(None).cast("int")
-    sides = [
-        natives.select("gx", "gy", *RANKS, *[no_byte.alias(b) for b in BANDS], no_rank.alias("priority")),
-        deeper.select(*parent_pixel(), *[no_rank.alias(r) for r in RANKS], *BANDS, "priority"),
-    ]
-    sums = (
-        union_inputs(sides)
-        .groupBy("gx", "gy")
-        .agg(*[F.max(r).alias(r) for r in RANKS], *_sums(), F.max(F.when(has_data(), F.col("priority"))).alias("_from"))
-    )
-    tops = [F.greatest(F.col(r), rank_value("_from", _mean(f"_s{b}", f"_n{b}"))).alias(r) for b, r in zip(BANDS, RANKS)]
-    return finished(sums.select(F.lit(zoom).alias("zoom"), "gx", "gy", *tops))
+    own = natives.selectExpr("gx", "gy", *RANKS, *[f"cast(null AS int) AS {b}" for b in BANDS], "cast(null AS bigint) AS priority")
+    below = deeper.selectExpr(*PARENT, *[f"cast(null AS bigint) AS {r}" for r in RANKS], *BANDS, "priority")
+    sums = union_inputs([own, below]).groupBy("gx", "gy").agg(*aggregates([*TOPS, *SUMS, CARRIED]))
+    tops = [f"greatest({b}_rank, shiftleft(carried, 8) | ({mean})) AS {b}_rank" for b, mean in MEANS.items()]
+    return finished(sums.selectExpr(f"{zoom} AS zoom", "gx", "gy", *tops))
 
 
 def union_inputs(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    return reduce(DataFrame.unionByName, frames)

@@ -80,6 +80,13 @@ def packed(spark: SparkSession, sf: str) -> DataFrame:
     return tiles.tile_assemble(fx.pixels(spark, sf), ["image_id", "priority", "zoom"], fx.TILE)
 
 
+def stored(chunks: DataFrame, path: str | None = None) -> DataFrame:
+    """Chunks as the chunk step leaves them: a table partitioned by zoom."""
+    path = path or scratch_path(chunks.sparkSession, "chunks")
+    write_chunks(chunks, path)
+    return chunks.sparkSession.read.schema(chunks.schema).parquet(path)
+
+
 # Sources
 
 
@@ -149,9 +156,8 @@ def no_directories(spark, sf):
 @query
 def tile_scan(spark, sf):
     path = scratch_path(spark, "chunks")
-    chunks = packed(spark, sf)
-    write_chunks(chunks, path)
-    return tiles.tile_explode(in_tiles.tile_scan(spark, path, chunks.schema, 11), ["image_id", "zoom"], fx.TILE)
+    schema = stored(packed(spark, sf), path).schema
+    return tiles.tile_explode(in_tiles.tile_scan(spark, path, schema, 11), ["image_id", "zoom"], fx.TILE)
 
 
 # Scalar functions
@@ -484,7 +490,7 @@ def mosaic_merge(spark, sf):
 
 @query
 def mosaic_merge_tiles(spark, sf):
-    return tiles.tile_explode(tiles.mosaic_merge_tiles(packed(spark, sf), fan_in=4), ["zoom"], fx.TILE)
+    return tiles.tile_explode(tiles.mosaic_merge_tiles(stored(packed(spark, sf))), ["zoom"], fx.TILE)
 
 
 @query
@@ -494,7 +500,7 @@ def zoom_up(spark, sf):
 
 @query
 def zoom_up_tiles(spark, sf):
-    merged = tiles.mosaic_merge_tiles(packed(spark, sf))
+    merged = tiles.mosaic_merge_tiles(stored(packed(spark, sf)))
     return tiles.tile_explode(tiles.zoom_up_tiles(merged, fx.TILE), ["zoom"], fx.TILE)
 
 
@@ -510,11 +516,7 @@ def pyramid(spark, sf):
 
 @query
 def pyramid_tiles(spark, sf):
-    path = scratch_path(spark, "chunks")
-    chunks = packed(spark, sf)
-    write_chunks(chunks, path)
-    stored = spark.read.schema(chunks.schema).parquet(path)
-    return tiles.tile_explode(plans.pyramid_tiles(stored, fx.TILE), ["zoom"], fx.TILE)
+    return tiles.tile_explode(plans.pyramid_tiles(stored(packed(spark, sf)), fx.TILE), ["zoom"], fx.TILE)
 
 
 @query
