@@ -1,8 +1,8 @@
 """What a task does to one packed tile or one bounded group of them (numpy on Arrow batches).
 
 A packed tile is ``zoom, col, row, bands`` with one binary of ``dim * dim`` bytes per band, rows
-first. Its rank on top of others is either one ``priority`` or, once merged, ``orders``: a binary
-of 64-bit priorities per pixel, one shared by all bands or one per band.
+first. Its rank on top of others is either one ``priority`` or, where merged inputs share the tile,
+``orders``: a binary of 64-bit priorities per pixel, one shared by all bands or one per band.
 
 In memory a tile is one 64-bit number per band and pixel, ``priority * 256 + value``, so that
 merging is a plain maximum: any order, any grouping, the same result.
@@ -61,7 +61,7 @@ def packed(values):
 def ranked(tile):
     values = band_values(tile["bands"]).astype(np.int64)
     if tile["orders"] is None:
-        order = np.int64(tile["priority"])
+        order = np.int64(tile["priority"] or 0)
     else:
         order = np.stack([np.frombuffer(o, np.int64) for o in tile["orders"]])
     return np.where(values != 0, (order << 8) | values, EMPTY)
@@ -72,17 +72,20 @@ def key_of(tile):
 
 
 def merged_tile(key, canvas, per_band=False):
+    """Packs a tile; where one input drew all of it, its priority stands for the whole tile."""
     priority = canvas >> 8
     if not per_band:
         priority = priority.max(axis=0, keepdims=True)
+    drawn = priority[priority > NOTHING]
+    one = drawn.size == 0 or drawn.min() == drawn.max()
     zoom, col, row = key
     return {
         "zoom": zoom,
         "col": col,
         "row": row,
-        "priority": None,
+        "priority": int(drawn[0]) if one and drawn.size else None,
         "bands": packed(canvas & 255),
-        "orders": [p.tobytes() for p in priority],
+        "orders": None if one else [p.tobytes() for p in priority],
     }
 
 
@@ -192,7 +195,7 @@ def explode_each(dim, names, schema):
             if tile.get("orders") is not None:
                 priority = np.frombuffer(tile["orders"][0], np.int64)[at]
             else:
-                priority = np.full(n, tile["priority"], np.int64)
+                priority = np.full(n, tile["priority"] or 0, np.int64)
             columns = {
                 "priority": priority,
                 "gx": (tile["col"] * dim + at % dim).astype(np.int32),
