@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,6 +18,7 @@ from quiltmap.session import spread
 KEY = ["zoom", "col", "row"]
 MERGED = "zoom int, col int, row int, priority bigint, bands array<binary>, orders array<binary>"
 FAN_IN = 32
+PARTITION_BYTES = 1 << 28
 
 
 def arrow_schema(schema: StructType) -> pa.Schema:
@@ -39,13 +41,27 @@ def as_merged(tiles: DataFrame) -> DataFrame:
     return tiles.select(*KEY, "priority", "bands", F.lit(None).cast("array<binary>").alias("orders"))
 
 
-def deepest_overlap(tiles: DataFrame) -> int:
-    """How many inputs meet at the busiest key. Reads the key columns only."""
-    counts = tiles.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
+class Load(NamedTuple):
+    """What a tile table holds at one zoom."""
 
+    zoom: int
+    tiles: int
+    overlap: int  # inputs at the busiest key
 
-def thin_overlaps(tiles: DataFrame, overlap: int, fan_in: int = FAN_IN) -> DataFrame:
+
+def tile_load(tiles: DataFrame) -> list[Load]:
+    """One entry per zoom, deepest first. Reads the key columns only; sizes the work on the rest."""
+    per_key = tiles.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
+    per_zoom = per_key.groupBy("zoom").agg(F.sum("n").alias("tiles"), F.max("n").alias("overlap"))
+    return [Load(*row) for row in per_zoom.orderBy(F.desc("zoom")).collect()]
+
+
+def partitions_for(tiles: int, dim: int) -> int:
+    """Partitions of about a quarter gigabyte of pixels."""
+    return tiles * len(BANDS) * dim * dim // PARTITION_BYTES
+
+
+def thin_overlaps(tiles: DataFrame, overlap: int, fan_in: int = FAN_IN, partitions: int = 0) -> DataFrame:
     """Merges inputs of one key in rounds until about ``fan_in`` are left.
 
     A key that a third of all inputs fall on is first dealt out over salted groups; merging is a
@@ -54,25 +70,27 @@ def thin_overlaps(tiles: DataFrame, overlap: int, fan_in: int = FAN_IN) -> DataF
     rounds = max(math.ceil(math.log(max(overlap, 1), fan_in)) - 1, 0)
     for left in range(rounds, 0, -1):
         salt = F.pmod(F.xxhash64(F.spark_partition_id(), "priority"), F.lit(fan_in**left))
-        salted = spread(tiles.withColumn("_salt", salt), *KEY, "_salt")
+        salted = spread(tiles.withColumn("_salt", salt), *KEY, "_salt", at_least=partitions)
         tiles = salted.groupBy(*KEY, "_salt").applyInArrow(kernels.merge_group(per_band=True), MERGED)
     return tiles
 
 
-def mosaic_merge_tiles(tiles: DataFrame, overlap: int | None = None, fan_in: int = FAN_IN) -> DataFrame:
+def mosaic_merge_tiles(tiles: DataFrame, dim: int, fan_in: int = FAN_IN) -> DataFrame:
     """One finished tile per key: the highest priority's non-zero value per pixel and band."""
-    overlap = deepest_overlap(tiles) if overlap is None else overlap
-    thin = thin_overlaps(as_merged(tiles), overlap, fan_in)
-    return spread(thin, *KEY).groupBy(*KEY).applyInArrow(kernels.merge_group(per_band=False), MERGED)
+    load = tile_load(tiles)
+    size = partitions_for(sum(z.tiles for z in load), dim)
+    thin = thin_overlaps(as_merged(tiles), max((z.overlap for z in load), default=0), fan_in, size)
+    return spread(thin, *KEY, at_least=size).groupBy(*KEY).applyInArrow(kernels.merge_group(per_band=False), MERGED)
 
 
-def fold_levels(tiles: DataFrame, hi: int, lo: int, dim: int) -> DataFrame:
+def fold_levels(tiles: DataFrame, hi: int, lo: int, dim: int, partitions: int = 0) -> DataFrame:
     """Finishes levels ``hi`` to ``lo`` with one shuffle: all tiles under one ancestor at ``lo`` meet.
 
     A task holds at most 4^(hi-lo) tiles of the deepest level and streams what is drawn on them.
     """
     placed = tiles.select("*", *[F.expr(f"shiftright({axis}, zoom - {lo})").alias(f"_{axis}") for axis in ("col", "row")])
-    return spread(placed, "_col", "_row").groupBy("_col", "_row").applyInArrow(kernels.fold_group(hi, lo, dim), MERGED)
+    groups = spread(placed, "_col", "_row", at_least=partitions).groupBy("_col", "_row")
+    return groups.applyInArrow(kernels.fold_group(hi, lo, dim), MERGED)
 
 
 def zoom_up_tiles(merged: DataFrame, dim: int) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quiltmap.operators.mosaic import finished, merge_level, merge_ranked, ranked, union_inputs
-from quiltmap.operators.tiles import MERGED, as_merged, deepest_overlap, fold_levels, halve_tiles, split_packed, thin_overlaps
+from quiltmap.operators.tiles import MERGED, as_merged, fold_levels, halve_tiles, partitions_for, split_packed, thin_overlaps, tile_load
 from quiltmap.session import scratch_path, written
 
 PIXELS_OUT = "zoom int, gx int, gy int, r int, g int, b int, priority bigint"
@@ -17,11 +17,15 @@ TILE_LEVELS_PER_JOB = 3
 def input_zooms(inputs: DataFrame) -> list[int]:
     """The distinct zooms: at most a few dozen values."""
     zooms = sorted((row.zoom for row in inputs.select("zoom").distinct().collect()), reverse=True)
-    if zooms and zooms[-1] < 1:
-        raise ValueError("an input at zoom 0 has no place in the pyramid, whose top is zoom 1")
+    refuse_zoom_zero(zooms)
     return zooms
 
 
+def refuse_zoom_zero(zooms: list[int]) -> None:
+    if zooms and min(zooms) < 1:
+        raise ValueError("an input at zoom 0 has no place in the pyramid, whose top is zoom 1")
+
+
 def zoom_plan(inputs: DataFrame, min_zoom: int = 1) -> DataFrame:
     """From each input zoom, the next one to stop at on the way up."""
     per_zoom = inputs.select("zoom").distinct()
@@ -35,6 +39,11 @@ def level_jobs(zooms: list[int], min_zoom: int, size: int) -> list[list[int]]:
     return [levels[i : i + size] for i in range(0, len(levels), size)]
 
 
+def save(levels: DataFrame, path: str, first: bool) -> None:
+    """Adds finished levels to the table; the first job clears what an earlier run left there."""
+    levels.write.mode("overwrite" if first else "append").partitionBy("zoom").parquet(path)
+
+
 def pyramid(
     pixels: DataFrame,
     min_zoom: int = 1,
@@ -53,7 +62,7 @@ def pyramid(
     natives = written(merge_ranked(ranked(pixels)), "natives", "zoom") if stage else ranked(pixels)
     zooms = input_zooms(natives)
     path = path or scratch_path(spark, "pyramid")
-    if not zooms:
+    if not zooms or zooms[0] < min_zoom:
         return spark.createDataFrame([], PIXELS_OUT)
     saved = spark.read.schema(PIXELS_OUT)
     deeper = None
@@ -66,9 +75,7 @@ def pyramid(
             else:
                 deeper = merge_level(here, deeper, z)
             levels.append(deeper)
-        union_inputs([d.select("zoom", "gx", "gy", "r", "g", "b", "priority") for d in levels]).write.mode("append").partitionBy(
-            "zoom"
-        ).parquet(path)
+        save(union_inputs([d.select("zoom", "gx", "gy", "r", "g", "b", "priority") for d in levels]), path, first=job[0] == zooms[0])
         deeper = saved.parquet(path).where(F.col("zoom") == job[-1])
     return saved.parquet(path)
 
@@ -89,21 +96,27 @@ def pyramid_tiles(
     """
     spark = tiles.sparkSession
     offset = across.bit_length() - 1
-    zooms = [z + offset for z in input_zooms(tiles)]
+    load = tile_load(tiles)
+    zooms = [z.zoom + offset for z in load]
+    refuse_zoom_zero([z.zoom for z in load])
     path = path or scratch_path(spark, "pyramid")
     saved = spark.read.schema(MERGED)
-    if not zooms:
+    if not zooms or zooms[0] < min_zoom:
         return spark.createDataFrame([], MERGED)
-    overlap = deepest_overlap(tiles)
+    carried = 0
     for job in level_jobs(zooms, min_zoom, levels_per_job):
         hi, lo = job[0], job[-1]
+        here = [z for z in load if lo <= z.zoom + offset <= hi]
+        own = sum(z.tiles for z in here) * across * across
+        size = partitions_for(own + carried, dim)
         sides = []
-        if any(lo <= z <= hi for z in zooms):
+        if here:
             natives = as_merged(tiles.where(F.col("zoom").between(lo - offset, hi - offset)))
             if across > 1:
                 natives = split_packed(natives, across)
-            sides.append(thin_overlaps(natives, overlap))
+            sides.append(thin_overlaps(natives, max(z.overlap for z in here), partitions=size))
         if hi < zooms[0]:
             sides.append(halve_tiles(saved.parquet(path).where(F.col("zoom") == hi + 1), dim))
-        fold_levels(union_inputs(sides), hi, lo, dim).write.mode("append").partitionBy("zoom").parquet(path)
+        save(fold_levels(union_inputs(sides), hi, lo, dim, size), path, first=hi == zooms[0])
+        carried = (carried + own) // 4 ** (hi - lo)  # about what the last level holds
     return saved.parquet(path)

@@ -490,7 +490,7 @@ def mosaic_merge(spark, sf):
 
 @query
 def mosaic_merge_tiles(spark, sf):
-    return tiles.tile_explode(tiles.mosaic_merge_tiles(stored(packed(spark, sf))), ["zoom"], fx.TILE)
+    return tiles.tile_explode(tiles.mosaic_merge_tiles(stored(packed(spark, sf)), fx.TILE), ["zoom"], fx.TILE)
 
 
 @query
@@ -500,7 +500,7 @@ def zoom_up(spark, sf):
 
 @query
 def zoom_up_tiles(spark, sf):
-    merged = tiles.mosaic_merge_tiles(stored(packed(spark, sf)))
+    merged = tiles.mosaic_merge_tiles(stored(packed(spark, sf)), fx.TILE)
     return tiles.tile_explode(tiles.zoom_up_tiles(merged, fx.TILE), ["zoom"], fx.TILE)
 
 

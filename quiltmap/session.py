@@ -37,10 +37,11 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
+def spread(df: DataFrame, *keys: str, at_least: int = 0) -> DataFrame:
     """Hash-partitions work that is far larger than the rows that stand for it.
 
     Packed tiles and tile blocks are small for what a task does with them, so the number of
-    partitions is the session's, fixed, and not reduced by their bytes.
+    partitions is fixed and not reduced by their bytes: the session's, or more where it is known
+    how much there is.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    return df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), at_least), *keys)

@@ -30,7 +30,7 @@ def both_merges(spark, rows):
     df = frame(spark, rows)
     packed = tiles.tile_assemble(df, ["image_id", "priority", "zoom"], 4)
     pixel = {r for r in collected(mosaic.mosaic_merge(df)) if any(r[3:6])}
-    tile = collected(tiles.tile_explode(tiles.mosaic_merge_tiles(packed), ["zoom"], 4))
+    tile = collected(tiles.tile_explode(tiles.mosaic_merge_tiles(packed, 4), ["zoom"], 4))
     assert pixel == tile
     return pixel
 
@@ -171,3 +171,12 @@ def test_paths_of_other_folders_and_zooms_do_not_match(spark):
     paths = ["a/1/12/3/4.tif", "a/1/11/3/4.tif", "a/1/12/x/4.tif", "a/1/12/3/", "12/3/4.png"]
     df = spark.createDataFrame([(p,) for p in paths], "path string")
     assert {tuple(r) for r in tile_index(df, 12).collect()} == {(12, 3, 4, "a/1/12/3/4.tif")}
+
+
+def test_a_second_run_replaces_the_first(spark, tmp_path):
+    df = frame(spark, [(5, 6, (1, 2, 3), 0)], zoom=6)
+    packed = tiles.tile_assemble(df, ["image_id", "priority", "zoom"], 4)
+    for _ in range(2):
+        assert pyramid(df, path=str(tmp_path / "pixels")).count() == 6
+        assert pyramid_tiles(packed, 4, path=str(tmp_path / "tiles")).count() == 6
+    assert pyramid(df, min_zoom=7).count() == pyramid_tiles(packed, 4, min_zoom=7).count() == 0
