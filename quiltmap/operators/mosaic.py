@@ -72,20 +72,23 @@ def order_down(merged: DataFrame) -> DataFrame:
     return parents.groupBy(*PIXEL).agg(F.expr(CARRIED)).withColumnRenamed("carried", "priority")
 
 
-def merge_level(natives: DataFrame | None, deeper: DataFrame | None, zoom: int) -> DataFrame:
-    """One finished level: ranked inputs of this zoom merged with the finished level below it, halved.
+def finish_level(ranks: list[DataFrame]) -> DataFrame:
+    """One finished level of ``px, py, gx, gy, r, g, b, priority`` from ranked rows that are already merged per side.
 
-    Both sides go through a single aggregate, so a level costs one shuffle.
+    Rows are partitioned by their parent pixel. That is enough to merge them, and enough to halve
+    the level afterwards, so what moves from level to level is a quarter of each.
     """
-    if deeper is None:
-        return finished(merge_ranked(natives))
-    if natives is None:
-        return zoom_up(deeper)
-    own = natives.selectExpr("gx", "gy", *RANKS, *[f"cast(null AS int) AS {b}" for b in BANDS], "cast(null AS bigint) AS priority")
-    below = deeper.selectExpr(*PARENT, *[f"cast(null AS bigint) AS {r}" for r in RANKS], *BANDS, "priority")
-    sums = union_inputs([own, below]).groupBy("gx", "gy").agg(*aggregates([*TOPS, *SUMS, CARRIED]))
-    tops = [f"greatest({b}_rank, shiftleft(carried, 8) | ({mean})) AS {b}_rank" for b, mean in MEANS.items()]
-    return finished(sums.selectExpr(f"{zoom} AS zoom", "gx", "gy", *tops))
+    placed = union_inputs([r.selectExpr("shiftright(gx, 1) AS px", "shiftright(gy, 1) AS py", "gx", "gy", *RANKS) for r in ranks])
+    level = placed.repartition("px", "py")
+    if len(ranks) > 1:
+        level = level.groupBy("px", "py", "gx", "gy").agg(*aggregates(TOPS))
+    return level.selectExpr("px", "py", "gx", "gy", *VALUES, TOP_PRIORITY)
+
+
+def halve_level(level: DataFrame) -> DataFrame:
+    """A finished level as ranked rows of the next one up; no shuffle after ``finish_level``."""
+    sums = level.groupBy("px", "py").agg(*aggregates([*SUMS, CARRIED]))
+    return sums.selectExpr("px AS gx", "py AS gy", *[f"shiftleft(carried, 8) | ({mean}) AS {b}_rank" for b, mean in MEANS.items()])
 
 
 def union_inputs(frames: list[DataFrame]) -> DataFrame:

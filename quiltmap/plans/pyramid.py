@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quiltmap.operators.mosaic import finished, merge_level, merge_ranked, ranked, union_inputs
+from quiltmap.operators.mosaic import finish_level, halve_level, merge_ranked, ranked, union_inputs
 from quiltmap.operators.tiles import MERGED, as_merged, fold_levels, halve_tiles, partitions_for, split_packed, thin_overlaps, tile_load
 from quiltmap.session import scratch_path, written
 
 PIXELS_OUT = "zoom int, gx int, gy int, r int, g int, b int, priority bigint"
-LEVELS_PER_JOB = 4
-TILE_LEVELS_PER_JOB = 3
+LEVELS_PER_JOB = 3
 
 
 def input_zooms(inputs: DataFrame) -> list[int]:
@@ -59,24 +58,27 @@ def pyramid(
     table, so a lost executor costs at most one job's work.
     """
     spark = pixels.sparkSession
-    natives = written(merge_ranked(ranked(pixels)), "natives", "zoom") if stage else ranked(pixels)
-    zooms = input_zooms(natives)
+    natives = written(merge_ranked(ranked(pixels)), "natives", "zoom") if stage else None
+    zooms = input_zooms(natives if stage else pixels)
     path = path or scratch_path(spark, "pyramid")
     if not zooms or zooms[0] < min_zoom:
         return spark.createDataFrame([], PIXELS_OUT)
     saved = spark.read.schema(PIXELS_OUT)
-    deeper = None
+    carried = None
     for job in level_jobs(zooms, min_zoom, levels_per_job):
         levels = []
         for z in job:
-            here = natives.where(F.col("zoom") == z) if z in zooms else None
-            if deeper is None and stage:
-                deeper = finished(here)
-            else:
-                deeper = merge_level(here, deeper, z)
-            levels.append(deeper)
-        save(union_inputs([d.select("zoom", "gx", "gy", "r", "g", "b", "priority") for d in levels]), path, first=job[0] == zooms[0])
-        deeper = saved.parquet(path).where(F.col("zoom") == job[-1])
+            sides = [] if carried is None else [carried]
+            if z in zooms and stage:
+                sides.append(natives.where(F.col("zoom") == z))
+            elif z in zooms:
+                sides.append(merge_ranked(ranked(pixels.where(F.col("zoom") == z))))
+            level = finish_level(sides)
+            levels.append(level.selectExpr(f"{z} AS zoom", "gx", "gy", "r", "g", "b", "priority"))
+            carried = halve_level(level)
+        save(union_inputs(levels), path, first=job[0] == zooms[0])
+        last = saved.parquet(path).where(F.col("zoom") == job[-1])
+        carried = halve_level(last.selectExpr("shiftright(gx, 1) AS px", "shiftright(gy, 1) AS py", "r", "g", "b", "priority"))
     return saved.parquet(path)
 
 
@@ -86,7 +88,7 @@ def pyramid_tiles(
     across: int = 1,
     min_zoom: int = 1,
     path: str | None = None,
-    levels_per_job: int = TILE_LEVELS_PER_JOB,
+    levels_per_job: int = LEVELS_PER_JOB,
 ) -> DataFrame:
     """The same pyramid on packed tiles, normally a table partitioned by zoom.
 

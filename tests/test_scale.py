@@ -1,8 +1,14 @@
 """Hot keys, long jobs and huge rectangles; and what the plans must not contain."""
 
+import glob
+import os
+
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from compare import connect, differences
+from oracle.sql import ORACLE
 from quiltmap import fixtures as fx
 from quiltmap.functions.ranking import RANK_RANGE, with_position
 from quiltmap.operators import cover, mosaic, sample, tiles
@@ -89,3 +95,43 @@ def test_line_items_are_reduced_before_they_meet_the_images(spark, sf_dir):
 def test_no_cross_joins(spark, sf_dir, name):
     plan = plan_of(QUERIES[name](spark, sf_dir))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+@pytest.fixture(scope="module")
+def hot_dir(sf_dir, tmp_path_factory):
+    """The test tables with a third of all line items on one image, and a third of those on one pixel."""
+    out = tmp_path_factory.mktemp("hot")
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        os.symlink(path, out / os.path.basename(path)) if "lineitem" not in path else duckdb.sql(
+            f"""COPY (SELECT * REPLACE (
+                  CASE WHEN l_linenumber % 3 = 0 THEN 7 ELSE l_suppkey END AS l_suppkey,
+                  CASE WHEN l_linenumber % 3 = 0 AND l_orderkey % 3 = 0 THEN 5 ELSE l_partkey END AS l_partkey,
+                  CASE WHEN l_linenumber % 3 = 0 AND l_orderkey % 3 = 0 THEN 9 ELSE l_orderkey END AS l_orderkey)
+                FROM read_parquet('{path}')) TO '{out}/lineitem.parquet' (FORMAT parquet)"""
+        )
+    return str(out)
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["mosaic_merge", "mosaic_merge_tiles", "pyramid", "pyramid_tiles", "nonempty_chunks", "valid_sources", "chunk_sample", "retile_tiles"],
+)
+def test_a_hot_image_and_pixel(spark, hot_dir, name):
+    assert differences(QUERIES[name](spark, hot_dir), connect(hot_dir), ORACLE[name]) == []
+
+
+def test_levels_share_their_shuffles(spark):
+    pixels = spark.range(1000).selectExpr("9 AS zoom", "int(id % 32) AS gx", "int(id div 32) AS gy", "1 AS r", "2 AS g", "3 AS b", "id AS priority")
+    carried = mosaic.merge_ranked(mosaic.ranked(pixels))
+    for _ in range(3):
+        carried = mosaic.halve_level(mosaic.finish_level([carried]))
+    assert plan_of(carried).count("Exchange hashpartitioning") == 1 + 3
+
+
+def test_partition_numbers(spark):
+    assert [cover.chunk_partitions(c, p) for c, p in ((1000, 10), (100, 30), (100, 500), (0, 0))] == [100, 30, 50, 1]
+    assert [cover.read_partitions(n) for n in (3, 80, 5000, 0)] == [3, 50, 500, 1]
+    df = spark.range(100).selectExpr("7 AS zoom", "int(id) AS col", "int(id % 9) AS row")
+    sized = cover.sized_repartition(df, 1000, 20, 8)
+    assert sized.rdd.getNumPartitions() == 50 and sorted(sized.collect()) == sorted(df.collect())
+    assert tiles.partitions_for(10**9, 256) == 10**9 * 3 * 256 * 256 // 2**28
