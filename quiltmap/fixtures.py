@@ -47,8 +47,8 @@ def grid_bounds() -> GridBounds:
     return GridBounds(c, r, c + F.col("ncols") - 1, r + F.col("nrows") - 1)
 
 
-def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One pixel per image cell that any line item falls on.
+def pixels(spark: SparkSession, sf_dir: str, with_corner: bool = False) -> DataFrame:
+    """One pixel per image cell that any line item falls on, on request with its image's corner and ``sx, sy``.
 
     An image has at most 24 x 16 cells, so line items are reduced to cells before they meet
     the image table: a supplier with a third of all line items sends a few hundred rows on.
@@ -68,6 +68,7 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     placed = images(spark, sf_dir).select("image_id", "priority", "zoom", "col_min", "row_min")
+    corner = ["col_min", "row_min", F.col("x").alias("sx"), F.col("y").alias("sy")] if with_corner else []
     return cells.join(placed, "image_id").select(
         "image_id",
         "priority",
@@ -77,6 +78,7 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
         "r",
         "g",
         "b",
+        *corner,
     )
 
 

@@ -231,15 +231,16 @@ def with_copies(record, columns, n, schema):
 
 
 def assemble_group(dim, names, keep, schema):
-    """The pixels of one tile, at most ``dim * dim``, to its packed bands."""
+    """The pixels of one tile to its packed bands; repeated pixels take the larger value."""
 
-    def run(table: pa.Table) -> pa.Table:
-        at = table["y"].to_numpy().astype(np.int64) * dim + table["x"].to_numpy()
-        values = np.zeros((len(names), dim * dim), np.uint8)
-        for i, name in enumerate(names):
-            np.maximum.at(values[i], at, table[name].to_numpy().astype(np.uint8))
-        first = table.slice(0, 1).to_pylist()[0]
-        return pa.Table.from_pylist([{**{k: first[k] for k in keep}, "bands": packed(values)}], schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values, first = np.zeros((len(names), dim * dim), np.uint8), None
+        for batch in batches:
+            first = first or batch.slice(0, 1).to_pylist()[0]
+            at = batch["y"].to_numpy().astype(np.int64) * dim + batch["x"].to_numpy()
+            for i, name in enumerate(names):
+                np.maximum.at(values[i], at, batch[name].to_numpy().astype(np.uint8))
+        yield pa.RecordBatch.from_pylist([{**{k: first[k] for k in keep}, "bands": packed(values)}], schema)
 
     return run
 
@@ -292,9 +293,13 @@ def warp_each(radius, schema):
     """Blocks in degrees to blocks in metres, nearest neighbour, with an alpha band added.
 
     Target pixels of one block have their centre inside it, so blocks never overlap on the target.
+    Blocks that are in metres already (no ``deg``) pass as they are.
     """
 
     def warp(block):
+        if block["deg"] is None:
+            yield block
+            return
         deg, res, lon0, lat0 = block["deg"], block["res"], block["lon0"], block["lat0"]
         left, top = radius * np.radians(lon0), north(lat0)
         west, east = (radius * np.radians(lon0 + x * deg) for x in (block["x0"], block["x0"] + block["width"]))
@@ -329,6 +334,16 @@ def warp_each(radius, schema):
     return run
 
 
+def warp_fragments(radius, window, warped, schema):
+    """Both steps on one trip through the worker."""
+    warp, fragment = warp_each(radius, warped), fragment_each(window, schema)
+
+    def run(batches):
+        yield from fragment(warp(batches))
+
+    return run
+
+
 def fragment_each(window, schema):
     """Blocks of an image to the parts of each window they cover."""
 

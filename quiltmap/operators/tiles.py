@@ -135,19 +135,31 @@ def nonempty_tiles(tiles: DataFrame, dim: int) -> DataFrame:
     return tiles.where(F.exists("bands", lambda band: band != blank))
 
 
-def retile_blocks(blocks: DataFrame, keep: list[str], window: int = RETILE_WINDOW) -> DataFrame:
-    """Stored blocks of an image to windows: a block is cut where it straddles, then parts are pasted."""
+DEGREES = ["lon0", "lat0", "deg", "res"]
+SHAPE = ["x0", "y0", "width", "height", "bands"]
+
+
+def retile_blocks(blocks: DataFrame, keep: list[str], window: int = RETILE_WINDOW, reproject: bool = False) -> DataFrame:
+    """Stored blocks of an image to windows: a block is cut where it straddles, then parts are pasted.
+
+    With ``reproject`` the blocks that have ``lon0, lat0, deg, res`` are warped first, in the same pass.
+    """
     place = ints(["piece_col", "piece_row", "x0", "y0", "width", "height"])
     out = kept_and(blocks, keep, f"{place}, bands array<binary>")
     arrow = arrow_schema(out)
-    parts = blocks.select(*keep, "x0", "y0", "width", "height", "bands").mapInArrow(kernels.fragment_each(window, arrow), out)
+    needed = blocks.select(*dict.fromkeys([*keep, *(DEGREES if reproject else []), *SHAPE]))
+    if reproject:
+        cut = kernels.warp_fragments(EARTH_RADIUS, window, arrow_schema(needed.schema), arrow)
+    else:
+        cut = kernels.fragment_each(window, arrow)
     keys = [*keep, "piece_col", "piece_row"]
-    return spread(parts, *keys).groupBy(*keys).applyInArrow(kernels.paste_group(window, keys, arrow), out)
+    parts = spread(needed.mapInArrow(cut, out), *keys)
+    return parts.groupBy(*keys).applyInArrow(kernels.paste_group(window, keys, arrow), out)
 
 
 def reproject_blocks(blocks: DataFrame, keep: list[str]) -> DataFrame:
     """Blocks of an EPSG:4326 image (``lon0, lat0, deg, res``) to blocks of its EPSG:3857 grid, plus alpha."""
-    needed = blocks.select(*dict.fromkeys([*keep, "lon0", "lat0", "deg", "res", "x0", "y0", "width", "height", "bands"]))
+    needed = blocks.select(*dict.fromkeys([*keep, *DEGREES, *SHAPE]))
     return needed.mapInArrow(kernels.warp_each(EARTH_RADIUS, arrow_schema(needed.schema)), needed.schema)
 
 

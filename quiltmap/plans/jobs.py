@@ -17,17 +17,17 @@ from quiltmap.functions.grid import CHUNK_TILE, OUTPUT_TILE, RETILE_WINDOW
 from quiltmap.functions.uris import piece_name
 from quiltmap.operators.cover import valid_sources
 from quiltmap.operators.sample import describe_image, warped_grid
-from quiltmap.operators.tiles import reproject_blocks, retile_blocks, sample_pieces
+from quiltmap.operators.tiles import retile_blocks, sample_pieces
 from quiltmap.plans.pyramid import pyramid_tiles
-from quiltmap.session import written
-from quiltmap.sinks.documents import append_status, write_manifest
+from quiltmap.session import broadcast_if_short, written
+from quiltmap.sinks.documents import append_images, append_status, write_manifest
 from quiltmap.sinks.tiles import pyramid_export, write_chunks
 from quiltmap.sources.documents import manifest_inputs, read_documents, request_images
 
 CHUNKS = (
     "job_id string, folder string, ord bigint, piece_index bigint, zoom int, col int, row int, bands array<binary>"
 )
-BROADCAST_INPUTS = 200_000  # rows of (folder, priority): a few tens of megabytes
+BROADCAST_INPUTS = 200_000  # short rows, a few tens of megabytes in all
 PIECES_ACROSS = 1 << 20
 
 
@@ -55,15 +55,14 @@ def check_images(requested: DataFrame, images: DataFrame) -> None:
 
 
 def pieces_of(requested: DataFrame, images: DataFrame, blocks: DataFrame, window: int) -> DataFrame:
-    """The requested images in metres, cut into windows."""
+    """The requested images in metres, cut into windows. The blocks are read once."""
     known = requested.join(images, "source_uri")
+    metric = known.where(F.col("crs") == "EPSG:3857").withColumns({c: F.lit(None).cast("double") for c in ("lon0", "lat0", "deg")})
+    degrees = warped_grid(known.where(F.col("crs") == "EPSG:4326").drop("left", "top", "res"))
     keep = ["job_id", "ord", "source_uri", "left", "top", "res"]
-    metric = known.where(F.col("crs") == "EPSG:3857").select(*keep)
-    degrees = warped_grid(known.where(F.col("crs") == "EPSG:4326").drop("left", "top", "res")).select(*keep, "lon0", "lat0", "deg")
-    shape = ["x0", "y0", "width", "height", "bands"]
-    warped = reproject_blocks(degrees.join(blocks, "source_uri"), keep).select(*keep, *shape)
-    plain = metric.join(blocks, "source_uri").select(*keep, *shape)
-    pieces = retile_blocks(plain.unionByName(warped), keep, window)
+    placed = metric.select(*keep, "lon0", "lat0", "deg").unionByName(degrees.select(*keep, "lon0", "lat0", "deg"))
+    drawn = blocks.join(broadcast_if_short(placed, BROADCAST_INPUTS), "source_uri")
+    pieces = retile_blocks(drawn, keep, window, reproject=True)
     return pieces.select(
         "job_id",
         "ord",
@@ -128,9 +127,7 @@ def chunk(
 def with_priority(chunks: DataFrame, inputs: DataFrame) -> DataFrame:
     """Chunks of the manifest's inputs, at the inputs' zoom. A short list is broadcast, a long one joined."""
     ranks = inputs.select(F.col("tiles").alias("folder"), "zoom", "priority")
-    if ranks.count() <= BROADCAST_INPUTS:
-        ranks = F.broadcast(ranks)
-    return chunks.join(ranks, ["folder", "zoom"])
+    return chunks.join(broadcast_if_short(ranks, BROADCAST_INPUTS), ["folder", "zoom"])
 
 
 def mosaic(
@@ -155,6 +152,8 @@ def mosaic(
         levels = pyramid_tiles(tiles, output_tile, across, path=f"{job.target}/levels")
         if export:
             pyramid_export(levels, f"{job.target}/png", output_tile)
+        if status is not None:
+            append_images(inputs, status)
     return levels
 
 

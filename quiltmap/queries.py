@@ -57,13 +57,7 @@ def rects(spark: SparkSession, sf: str) -> DataFrame:
 
 def local_pixels(spark: SparkSession, sf: str) -> DataFrame:
     """Pixels with their place in the image, and the image's corner."""
-    corner = fx.images(spark, sf).select("image_id", "col_min", "row_min", "ncols", "nrows")
-    return (
-        fx.pixels(spark, sf)
-        .join(corner, "image_id")
-        .withColumn("sx", F.col("gx") - F.col("col_min") * fx.TILE)
-        .withColumn("sy", F.col("gy") - F.col("row_min") * fx.TILE)
-    )
+    return fx.pixels(spark, sf, with_corner=True)
 
 
 def covered(spark: SparkSession, sf: str) -> DataFrame:

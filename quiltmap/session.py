@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -45,3 +46,8 @@ def spread(df: DataFrame, *keys: str, at_least: int = 0) -> DataFrame:
     how much there is.
     """
     return df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), at_least), *keys)
+
+
+def broadcast_if_short(df: DataFrame, rows: int) -> DataFrame:
+    """Marks a list for broadcast after counting it; a longer one is left to a shuffled join."""
+    return F.broadcast(df) if df.count() <= rows else df

@@ -62,11 +62,20 @@ def append_status(spark: SparkSession, path: str, job_id: str, stage: str, statu
         F.current_timestamp().cast("timestamp_ntz").alias("at"),
         *[F.lit(details.get(k)).cast("string").alias(k) for k in ("error", "stack", "target")],
     )
-    record.write.mode("append").parquet(path)
+    record.write.mode("append").parquet(f"{path}/records")
+
+
+def append_images(inputs: DataFrame, path: str) -> None:
+    """Adds the source images of a finished job, next to its records."""
+    job_images(inputs).write.mode("append").parquet(f"{path}/images")
 
 
 def read_status(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(JOB_STATUS).parquet(path)
+    return spark.read.schema(JOB_STATUS).parquet(f"{path}/records")
+
+
+def read_images(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("job_id string, source_uri string").parquet(f"{path}/images")
 
 
 def latest_status(records: DataFrame, by: list[str], at: list[str], values: list[str]) -> DataFrame:

@@ -11,7 +11,7 @@ import brute
 from quiltmap.functions.grid import EARTH_RADIUS, WORLD_WIDTH
 from quiltmap.operators import tiles
 from quiltmap.plans import jobs
-from quiltmap.sinks.documents import append_status, job_images, latest_status, manifest_json, read_status, write_manifest
+from quiltmap.sinks.documents import append_status, latest_status, manifest_json, read_images, read_status, write_manifest
 from quiltmap.sinks.tiles import encode_png, pyramid_export, write_chunks
 from quiltmap.sources.documents import manifest_inputs, read_documents
 from quiltmap.sources.tiles import tile_files, tile_index, tile_scan
@@ -137,7 +137,7 @@ def test_both_steps(spark, tmp_path, rasters):
     assert [r.position for r in rows] == list(range(len(rows))) and [r.priority for r in rows] == list(range(len(rows)))[::-1]
     uris = [r.source_uri for r in rows]
     assert set(uris) == {"s3://k/b.tif", "http://h/a.tif"} and uris == sorted(uris, reverse=True)
-    assert {r.source_uri for r in job_images(inputs).collect()} == set(uris)
+    assert {tuple(r) for r in read_images(spark, status).collect()} == {("job", u) for u in uris}
     last = latest_status(read_status(spark, status), ["jobId", "stage"], ["at"], ["status", "target"])
     assert {(r.stage, r.status, r.updates) for r in last.collect()} == {("chunk", "FINISHED", 2), ("mosaic", "FINISHED", 2)}
 
