@@ -88,9 +88,9 @@ def nonempty_chunks(chunk_pixels: DataFrame, keys: list[str], bands=BANDS) -> Da
     return chunk_pixels.groupBy(*keys).agg(F.max(lit).alias("_top")).where(F.col("_top") > 0).select(*keys)
 
 
-def valid_sources(sources: DataFrame, nonempty: DataFrame, key: str) -> DataFrame:
+def valid_sources(sources: DataFrame, nonempty: DataFrame, *keys: str) -> DataFrame:
     """Sources with at least one non-empty chunk."""
-    return sources.join(nonempty.select(key).distinct(), key, "left_semi")
+    return sources.join(nonempty.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def chunk_stats(cover: DataFrame, key: str) -> DataFrame:

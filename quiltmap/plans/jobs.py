@@ -25,7 +25,8 @@ from quiltmap.sinks.tiles import pyramid_export, write_chunks
 from quiltmap.sources.documents import manifest_inputs, read_documents, request_images
 
 CHUNKS = (
-    "job_id string, folder string, ord bigint, piece_index bigint, zoom int, col int, row int, bands array<binary>"
+    "job_id string, source_uri string, folder string, ord bigint, piece_index bigint, "
+    "zoom int, col int, row int, bands array<binary>"
 )
 BROADCAST_INPUTS = 200_000  # short rows, a few tens of megabytes in all
 PIECES_ACROSS = 1 << 20
@@ -114,20 +115,20 @@ def chunk(
             pieces.withColumn("bottom", F.col("top") - F.col("height") * F.col("res")).withColumn(
                 "right", F.col("left") + F.col("width") * F.col("res")
             ),
-            ["job_id", "ord", "piece_index", "folder", "left", "top", "res", "width", "height", "bands"],
+            ["job_id", "source_uri", "folder", "ord", "piece_index", "left", "top", "res", "width", "height", "bands"],
             tile_dim,
         )
-        write_chunks(sample_pieces(zoomed, ["job_id", "folder", "ord", "piece_index"], tile_dim), f"{job.workspace}/chunks")
-        filled = spark.read.schema(CHUNKS).parquet(f"{job.workspace}/chunks").select("folder")
-        kept = valid_sources(sources, filled, "folder").select("*", F.lit(job.target).alias("target"), F.lit(tile_dim).alias("tile_size"))
+        write_chunks(sample_pieces(zoomed, ["job_id", "source_uri", "folder", "ord", "piece_index"], tile_dim), f"{job.workspace}/chunks")
+        filled = spark.read.schema(CHUNKS).parquet(f"{job.workspace}/chunks")
+        kept = valid_sources(sources, filled, "source_uri", "folder").select("*", F.lit(job.target).alias("target"), F.lit(tile_dim).alias("tile_size"))
         write_manifest(kept, f"{job.workspace}/manifest", tie="piece_index")
     return f"{job.workspace}/manifest"
 
 
 def with_priority(chunks: DataFrame, inputs: DataFrame) -> DataFrame:
     """Chunks of the manifest's inputs, at the inputs' zoom. A short list is broadcast, a long one joined."""
-    ranks = inputs.select(F.col("tiles").alias("folder"), "zoom", "priority")
-    return chunks.join(broadcast_if_short(ranks, BROADCAST_INPUTS), ["folder", "zoom"])
+    ranks = inputs.select("source_uri", F.col("tiles").alias("folder"), "zoom", "priority")
+    return chunks.join(broadcast_if_short(ranks, BROADCAST_INPUTS), ["source_uri", "folder", "zoom"])
 
 
 def mosaic(

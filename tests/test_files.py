@@ -142,6 +142,21 @@ def test_both_steps(spark, tmp_path, rasters):
     assert {(r.stage, r.status, r.updates) for r in last.collect()} == {("chunk", "FINISHED", 2), ("mosaic", "FINISHED", 2)}
 
 
+def test_images_whose_names_collide_stay_apart(spark, tmp_path):
+    """The extension is not part of a folder's name; the image below must not come out on top."""
+    res = WORLD_WIDTH / (2**9 * DIM)
+    corner = (-WORLD_WIDTH / 2 + 100 * DIM * res, WORLD_WIDTH / 2 - 90 * DIM * res)
+    uris = ["s3://k/x.tif", "s3://k/x.jp2"]
+    images = spark.createDataFrame([(u, "EPSG:3857", DIM, DIM, *corner, res, None, None, None) for u in uris], IMAGES)
+    blocks = spark.createDataFrame(
+        [(u, 0, 0, DIM, DIM, [bytes([10 * i + 5]) * (DIM * DIM)] * 3) for i, u in enumerate(uris)], BLOCKS
+    )
+    for order, shown in ((uris, 5), (uris[::-1], 15)):
+        levels = jobs.run(spark, request_file(tmp_path, order), images, blocks, DIM, OUT, WINDOW, export=False)
+        drawn = tiles.tile_explode(levels, ["zoom"], OUT).select("r", "g", "b").distinct().collect()
+        assert [tuple(r) for r in drawn] == [(shown,) * 3]
+
+
 @pytest.mark.parametrize("uri, reason", [("/d/none.tif", "no raster for"), ("/d/odd.tif", "unsupported crs")])
 def test_bad_image_fails_the_job(spark, tmp_path, rasters, uri, reason):
     images, blocks, _ = rasters
