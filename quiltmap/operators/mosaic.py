@@ -78,8 +78,10 @@ def finish_level(ranks: list[DataFrame]) -> DataFrame:
     Rows are partitioned by their parent pixel. That is enough to merge them, and enough to halve
     the level afterwards, so what moves from level to level is a quarter of each.
     """
-    placed = union_inputs([r.selectExpr("shiftright(gx, 1) AS px", "shiftright(gy, 1) AS py", "gx", "gy", *RANKS) for r in ranks])
-    level = placed.repartition("px", "py")
+    rows = union_inputs([r.select("gx", "gy", *RANKS) for r in ranks])
+    level = rows.repartition(F.shiftright("gx", 1), F.shiftright("gy", 1)).selectExpr(
+        "shiftright(gx, 1) AS px", "shiftright(gy, 1) AS py", "gx", "gy", *RANKS
+    )
     if len(ranks) > 1:
         level = level.groupBy("px", "py", "gx", "gy").agg(*aggregates(TOPS))
     return level.selectExpr("px", "py", "gx", "gy", *VALUES, TOP_PRIORITY)
