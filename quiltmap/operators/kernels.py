@@ -137,7 +137,8 @@ def fold_group(hi, lo, dim):
     def levels(batches):
         canvases = {}
         for tile in rows(batches):
-            merge_into(canvases, key_of(tile), ranked(tile))
+            if key_of(tile) not in canvases or any_data(tile["bands"]):
+                merge_into(canvases, key_of(tile), ranked(tile))
         for zoom in range(hi, lo - 1, -1):
             for key in sorted(k for k in canvases if k[0] == zoom):
                 canvas = canvases.pop(key)
