@@ -2,8 +2,8 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import connect, differences
-
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+from oracle.sql import ORACLE
+from quiltmap.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -13,6 +13,7 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= contract.queries().items() and ORACLE.items() <= contract.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
