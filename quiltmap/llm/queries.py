@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from quiltmap.llm import exact_dedup, line_dedup
+from quiltmap.llm import exact_dedup, line_dedup, minhash_dedup, packing
 
 QUERIES = {
+    "op4_packing": packing.op4_packing,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_line_dedup": line_dedup.op7_line_dedup,
+    "op10_minhash_dedup": minhash_dedup.op10_minhash_dedup,
 }
 
 ORACLE = {
     "op6_exact_dedup": exact_dedup.SQL,
     "op7_line_dedup": line_dedup.SQL,
+    "op10_minhash_dedup": minhash_dedup.SQL,
 }
