@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quiltmap.llm import exact_dedup, line_dedup, minhash_dedup, packing
+from quiltmap.llm import exact_dedup, line_dedup, minhash_dedup, mixing, packing
 
 QUERIES = {
+    "op3_mixing": mixing.op3_mixing,
     "op4_packing": packing.op4_packing,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_line_dedup": line_dedup.op7_line_dedup,
