@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quiltmap.llm import exact_dedup, line_dedup, minhash_dedup, mixing, packing
+from quiltmap.llm import exact_dedup, line_dedup, minhash_dedup, mixing, packing, toxicity
 
 QUERIES = {
+    "op2_toxicity": toxicity.op2_toxicity,
     "op3_mixing": mixing.op3_mixing,
     "op4_packing": packing.op4_packing,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
