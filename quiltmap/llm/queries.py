@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quiltmap.llm import exact_dedup, line_dedup, minhash_dedup, mixing, packing, toxicity
+from quiltmap.llm import exact_dedup, line_dedup, minhash_dedup, mixing, packing, toxicity, url_filters
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_packing": packing.op4_packing,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_line_dedup": line_dedup.op7_line_dedup,
+    "op8_url_filters": url_filters.op8_url_filters,
     "op10_minhash_dedup": minhash_dedup.op10_minhash_dedup,
 }
 
