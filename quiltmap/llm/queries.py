@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quiltmap.llm import exact_dedup, line_dedup, minhash_dedup, mixing, packing, toxicity, url_filters
+from quiltmap.llm import exact_dedup, html_extract, line_dedup, minhash_dedup, mixing, packing, toxicity, url_filters
 
 QUERIES = {
+    "op1_html_extraction": html_extract.op1_html_extraction,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_mixing": mixing.op3_mixing,
     "op4_packing": packing.op4_packing,
