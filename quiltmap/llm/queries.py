@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quiltmap.llm import exact_dedup, html_extract, line_dedup, minhash_dedup, mixing, packing, toxicity, url_filters
+from quiltmap.llm import exact_dedup, fingerprints, html_extract, line_dedup, minhash_dedup, mixing, packing, toxicity, url_filters
 
 QUERIES = {
     "op1_html_extraction": html_extract.op1_html_extraction,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_url_filters": url_filters.op8_url_filters,
+    "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_minhash_dedup": minhash_dedup.op10_minhash_dedup,
 }
 
