@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from quiltmap.llm import exact_dedup, fingerprints, html_extract, line_dedup, minhash_dedup, mixing, packing, toxicity, url_filters
+from quiltmap.llm import exact_dedup, fingerprints, html_extract, line_dedup, minhash_dedup, mixing, packing, tool_calls, toxicity, url_filters
 
 QUERIES = {
     "op1_html_extraction": html_extract.op1_html_extraction,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_mixing": mixing.op3_mixing,
     "op4_packing": packing.op4_packing,
+    "op5_tool_calls": tool_calls.op5_tool_calls,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_url_filters": url_filters.op8_url_filters,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op5_tool_calls": tool_calls.SQL,
     "op6_exact_dedup": exact_dedup.SQL,
     "op7_line_dedup": line_dedup.SQL,
     "op10_minhash_dedup": minhash_dedup.SQL,
