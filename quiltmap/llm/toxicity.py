@@ -1,9 +1,9 @@
 """Toxicity by a weighted lexicon, matched by Aho-Corasick over folded text.
 
 Folding maps homoglyphs, accents, digit and sign substitutions to plain letters, one character to one. The
-lexicon is learned from labelled rows: beginnings of folded words that are far more frequent in toxic
-documents, weighted by their log-odds. All entries and exception phrases are matched in one pass; a match
-counts at the start of a word and outside every exception phrase. The weights found, as they are and
+lexicon is learned from labelled rows: folded words (``stem$``) and beginnings of longer ones (``stem~``) that
+are far more frequent in toxic documents, weighted by their log-odds. All stems and exception phrases are
+matched in one pass; a match counts at the start of a word and outside every exception phrase. The weights found, as they are and
 normalised by length, give the score through a logistic curve fitted on the same rows.
 """
 
@@ -27,8 +27,8 @@ from quiltmap.llm.common import Scratch, load
 #: Labelled rows that are learned from at most, those of the smallest hash of their id; entries of the lexicon at most.
 TRAIN_ROWS, ENTRIES = 50_000, 2_000
 SHORTEST, LONGEST = 4, 12
-#: An entry is found in so many toxic rows and at least this share of its rows is toxic.
-LEAST_ROWS, PURITY = 5, 0.9
+#: An entry is found in so many toxic rows and has at least these log-odds.
+LEAST_ROWS, LEAST_ODDS = 5, 2.2
 
 #: Characters that look like a Latin letter, by the letter.
 LOOKALIKES = {
@@ -62,8 +62,11 @@ def fold(text: str) -> str:
 
 
 def beginnings(folded: str) -> set[str]:
-    """Of each distinct word the beginnings of SHORTEST to LONGEST letters."""
-    return {w[:n] for w in set(WORD.findall(folded)) for n in range(SHORTEST, min(len(w), LONGEST) + 1)}
+    """Of each distinct word itself (``stem$``) and the shorter beginnings of SHORTEST to LONGEST letters (``stem~``)."""
+    words = {w for w in WORD.findall(folded) if len(w) >= SHORTEST}
+    out = {w[:n] + "~" for w in words for n in range(SHORTEST, min(len(w) - 1, LONGEST) + 1)}
+    out.update(w + "$" for w in words if len(w) <= 2 * LONGEST)
+    return out
 
 
 @dataclass
@@ -77,12 +80,12 @@ class Lexicon:
 
     def build(self) -> Lexicon:
         self.automaton = ahocorasick.Automaton()
-        for entry, weight in self.weights.items():
-            self.automaton.add_word(entry, (len(entry), weight))
-        for phrase in map(fold, self.exceptions):
-            self.automaton.add_word(phrase, (len(phrase), self.weights.get(phrase, 0.0) or None))
+        stems = {entry[:-1] for entry in self.weights}
+        phrases = set(map(fold, self.exceptions))
+        for stem in stems | phrases:
+            self.automaton.add_word(stem, (len(stem), self.weights.get(stem + "$", 0.0), self.weights.get(stem + "~", 0.0), stem in phrases))
         if not len(self.automaton):
-            self.automaton.add_word("\0", (1, None))
+            self.automaton.add_word("\0", (1, 0.0, 0.0, False))
         self.automaton.make_automaton()
         return self
 
@@ -90,15 +93,20 @@ class Lexicon:
         """Summed weight of the hits, and the same per 1,000 words, both on a logarithmic scale."""
         folded = fold(text or "")
         hits, excused = [], []
-        for end, (length, weight) in self.automaton.iter(folded):
+        for end, (length, whole, longer, phrase) in self.automaton.iter(folded):
             start = end - length + 1
             if start and folded[start - 1].isalpha():
                 continue
-            (excused if weight is None else hits).append((start, end, weight))
+            weight = longer if folded[end + 1 : end + 2].isalpha() else whole
+            if phrase:
+                excused.append((start, end))
+            if weight:
+                hits.append((start, end, weight))
         total, last = 0.0, -1
         if hits:
-            starts = [s for s, _, _ in excused]
-            ends = list(itertools.accumulate((e for _, e, _ in excused), max))
+            excused.sort()
+            starts = [s for s, _ in excused]
+            ends = list(itertools.accumulate((e for _, e in excused), max))
             best: dict[int, float] = {}
             for start, end, weight in hits:
                 before = bisect.bisect_right(starts, start)
@@ -147,7 +155,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         return {r["entry"]: r["n"] for r in found.where(F.col("n") >= least).orderBy(F.desc("n"), "entry").limit(20 * ENTRIES).collect()}
 
     inside = counted(1, None, max(LEAST_ROWS, toxic // 100) if toxic >= 4 * LEAST_ROWS else 2)
-    outside = counted(0, frozenset(inside), 1)
+    outside = counted(0, frozenset(inside) | {entry[:-1] + "~" for entry in inside}, 1)
     entries = choose(inside, outside, toxic, clean)
     # words of much copied toxic texts are no reason: an entry must be among the two commonest of some rows
     order = {e: i for i, e in enumerate(entries)}
@@ -160,8 +168,8 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["entry", "n"])
 
     credited = rows.where("toxic = 1").select("text").mapInArrow(credit, "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
-    needed = {r["entry"] for r in credited.where(F.col("n") >= max(1, min(LEAST_ROWS, toxic // 100))).collect()}
-    entries = {e: w for e, w in entries.items() if e in needed}
+    needed = {r["entry"][:-1] for r in credited.where(F.col("n") >= max(1, min(LEAST_ROWS, toxic // 100))).collect()}
+    entries = {e: w for e, w in entries.items() if e[:-1] in needed}
     lexicon = Lexicon(entries, exceptions).build()
     points = rows.mapInArrow(_points(lexicon), "hits double, density double, toxic int").toPandas()
     lexicon.curve = fit(points[["hits", "density"]].to_numpy(), points["toxic"].to_numpy())
@@ -170,25 +178,22 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
 
 def choose(inside: dict[str, int], outside: dict[str, int], toxic: int, clean: int) -> dict[str, float]:
-    """Pure beginnings with their log-odds; of nested ones with about the same toxic rows the longest."""
-    expected = toxic / max(1, toxic + clean)
-    odds = {}
-    for entry, n in inside.items():
-        m = outside.get(entry, 0)
-        if n / (n + m) >= max(PURITY, min(0.99, 1.5 * expected)):
-            odds[entry] = float(np.log((n + 0.5) / (toxic + 1)) - np.log((m + 0.5) / (clean + 1)))
+    """Entries with their log-odds; of nested ones with about the same toxic rows the longest."""
+    odds = {e: float(np.log((n + 0.5) / (toxic + 1)) - np.log((outside.get(e, 0) + 0.5) / (clean + 1))) for e, n in inside.items()}
+    odds = {e: w for e, w in odds.items() if w >= LEAST_ODDS}
+    next_ones: dict[str, list[str]] = {}
+    for entry in odds:
+        next_ones.setdefault(entry[:-2], []).append(entry)
     out: dict[str, float] = {}
     for entry in sorted(odds, key=lambda e: (len(e), e)):
-        if any(entry[:k] in out for k in range(SHORTEST, len(entry))):
+        if any(entry[:k] + "~" in out for k in range(SHORTEST, len(entry) - 1)):
             continue
-        while longer := [e for e in (entry + c for c in LETTERS) if odds.get(e) and inside[e] >= 0.9 * inside[entry]]:
-            entry = longer[0]
+        while entry[-1] == "~" and (longer := [e for e in next_ones.get(entry[:-1], ()) if inside[e] >= 0.9 * inside[entry]]):
+            entry = max(longer, key=lambda e: (inside[e], e))
         out[entry] = odds[entry]
-    return dict(sorted(out.items(), key=lambda x: (-inside[x[0]], x[0]))[:ENTRIES])
-
-
-#: Letters of folded words.
-LETTERS = sorted({unicodedata.normalize("NFKC", c) for c in map(chr, range(0x61, 0x7B))} | {"ß", "æ", "ø", "ð", "þ", "œ"})
+    # a word whose longer forms are in no clean row stands for those too
+    out |= {e[:-1] + "~": w for e, w in out.items() if e[-1] == "$" and len(e) > SHORTEST + 1 and not outside.get(e[:-1] + "~")}
+    return dict(sorted(out.items(), key=lambda x: (-inside.get(x[0], 0), x[0]))[:ENTRIES])
 
 
 def _points(lexicon: Lexicon):
