@@ -388,8 +388,8 @@ ORACLE: dict[str, str] = {
         RECTS,
     ),
     "union_inputs": with_(
-        f"""SELECT zoom, gx, gy, r, g, b, priority FROM pixels WHERE zoom = 11
-            UNION ALL SELECT * FROM ({halved(f"({merged('(SELECT * FROM pixels WHERE zoom = 12)')})")})""",
+        f"""SELECT zoom, gx, gy, r, g, b, priority FROM pixels
+            UNION ALL SELECT * FROM ({halved(f"({merged('pixels')})")})""",
         *RASTER,
     ),
     "distinct_bounds": with_("SELECT DISTINCT zoom, col, row FROM cover", *GRID),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quiltmap.functions.grid import col
 
 # Patterns and path formats.
-SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*)://"
+SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
 AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
 PATH = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)?([^?#]*)"
 LAST_EXTENSION = r"(^|/)(\.*[^/.][^/]*)\.[^/.]*$"

@@ -95,18 +95,3 @@ def valid_sources(sources: DataFrame, nonempty: DataFrame, *keys: str) -> DataFr
 
 def chunk_stats(cover: DataFrame, key: str) -> DataFrame:
     return cover.groupBy(key).agg(F.count(F.lit(1)).alias("chunks"))
-
-
-def sized_repartition(df: DataFrame, rows: int, rows_per_partition: int, floor: int) -> DataFrame:
-    """Hash-partitions tiles by key, one partition per ``rows_per_partition`` but no fewer than ``floor``."""
-    return df.repartition(max(rows // rows_per_partition, floor, 1), "zoom", "col", "row")
-
-
-def chunk_partitions(chunks: int, pieces: int) -> int:
-    """Partitions for the sampling step: ten chunks each, or one per piece up to fifty."""
-    return max(chunks // 10, min(50, pieces), 1)
-
-
-def read_partitions(tiles: int) -> int:
-    """Partitions for reading tile files: ten each, fifty at least, no more than there are tiles."""
-    return max(min(tiles, max(tiles // 10, 50)), 1)

@@ -61,6 +61,8 @@ def packed(values):
 def ranked(tile):
     values = band_values(tile["bands"]).astype(np.int64)
     if tile["orders"] is None:
+        if tile["priority"] is None and values.any():
+            raise ValueError(f"the tile {key_of(tile)} has data but no priority")
         order = np.int64(tile["priority"] or 0)
     else:
         order = np.stack([np.frombuffer(o, np.int64) for o in tile["orders"]])
@@ -89,26 +91,38 @@ def merged_tile(key, canvas, per_band=False):
     }
 
 
+def larger(a, b):
+    """The maximum of two canvases; tiles of different band counts or sizes do not mix."""
+    if a.shape != b.shape:
+        raise ValueError(f"tiles of one key differ in bands or size: {a.shape} and {b.shape}")
+    return np.maximum(a, b, out=a)
+
+
 def merge_into(canvases, key, canvas):
-    if key in canvases:
-        np.maximum(canvases[key], canvas, out=canvases[key])
-    else:
-        canvases[key] = canvas
+    canvases[key] = larger(canvases[key], canvas) if key in canvases else canvas
 
 
-def halved(key, canvas, dim):
-    """The parent tile with the quarter this tile fills drawn in, the rest empty."""
+def merge_quarter(canvases, key, quarter, dim):
+    """Draws a halved tile, still under its own key, on its parent."""
     zoom, col, row = key
+    parent = zoom - 1, col >> 1, row >> 1
+    if parent not in canvases:
+        canvases[parent] = np.full((quarter.shape[0], dim * dim), EMPTY)
+    half = dim // 2
+    top, left = (row & 1) * half, (col & 1) * half
+    part = canvases[parent].reshape(-1, dim, dim)[:, top : top + half, left : left + half]
+    larger(part, quarter.reshape(-1, half, half))
+
+
+def halved(canvas, dim):
+    """The quarter of its parent that a tile fills, ``dim / 2`` pixels wide."""
     half = dim // 2
     blocks = (canvas & 255).reshape(-1, half, 2, half, 2)
     total = blocks.sum(axis=(2, 4))
     count = (blocks != 0).sum(axis=(2, 4))
     mean = (2 * total + count) // np.maximum(2 * count, 1)
     order = (canvas >> 8).max(axis=0).reshape(half, 2, half, 2).max(axis=(1, 3))
-    parent = np.full((canvas.shape[0], dim, dim), EMPTY)
-    top, left = (row & 1) * half, (col & 1) * half
-    parent[:, top : top + half, left : left + half] = np.where(mean != 0, (order << 8) | mean, EMPTY)
-    return (zoom - 1, col >> 1, row >> 1), parent.reshape(canvas.shape)
+    return np.where(mean != 0, (order << 8) | mean, EMPTY).reshape(canvas.shape[0], -1)
 
 
 def merge_group(per_band):
@@ -122,9 +136,9 @@ def merge_group(per_band):
             if first["orders"] is not None and not per_band:
                 out = merged_tile(key_of(first), ranked(first))
         else:
-            canvas = np.maximum(ranked(first), ranked(second))
+            canvas = larger(ranked(first), ranked(second))
             for tile in tiles:
-                np.maximum(canvas, ranked(tile), out=canvas)
+                larger(canvas, ranked(tile))
             out = merged_tile(key_of(first), canvas, per_band)
         yield pa.RecordBatch.from_pylist([out], MERGED)
 
@@ -132,19 +146,22 @@ def merge_group(per_band):
 
 
 def fold_group(hi, lo, dim):
-    """All tiles under one ancestor at ``lo``: finishes every level from ``hi`` up to it."""
+    """All tiles under one ancestor at ``lo``, and halved ones of the level below ``hi``: finishes every level from ``hi`` up."""
 
     def levels(batches):
         canvases = {}
         for tile in rows(batches):
-            if key_of(tile) not in canvases or any_data(tile["bands"]):
-                merge_into(canvases, key_of(tile), ranked(tile))
+            key = key_of(tile)
+            if key[0] > hi:
+                merge_quarter(canvases, key, ranked(tile), dim)
+            elif key not in canvases or any_data(tile["bands"]):
+                merge_into(canvases, key, ranked(tile))
         for zoom in range(hi, lo - 1, -1):
             for key in sorted(k for k in canvases if k[0] == zoom):
                 canvas = canvases.pop(key)
                 yield merged_tile(key, canvas)
                 if zoom > lo:
-                    merge_into(canvases, *halved(key, canvas, dim))
+                    merge_quarter(canvases, key, halved(canvas, dim), dim)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from in_batches(levels(batches), MERGED)
@@ -153,10 +170,22 @@ def fold_group(hi, lo, dim):
 
 
 def halve_each(dim):
-    """Merged tiles to quarter-filled parents."""
+    """Merged tiles to the quarters of their parents, under their own keys."""
 
     def run(batches):
-        yield from in_batches((merged_tile(*halved(key_of(t), ranked(t), dim)) for t in rows(batches)), MERGED)
+        yield from in_batches((merged_tile(key_of(t), halved(ranked(t), dim)) for t in rows(batches)), MERGED)
+
+    return run
+
+
+def quarters_group(dim):
+    """The up to four quarters of one parent to the parent."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        canvases = {}
+        for tile in rows(batches):
+            merge_quarter(canvases, key_of(tile), ranked(tile), dim)
+        yield pa.RecordBatch.from_pylist([merged_tile(key, canvas) for key, canvas in canvases.items()], MERGED)
 
     return run
 
@@ -199,8 +228,8 @@ def explode_each(dim, names, schema):
                 priority = np.full(n, tile["priority"] or 0, np.int64)
             columns = {
                 "priority": priority,
-                "gx": (tile["col"] * dim + at % dim).astype(np.int32),
-                "gy": (tile["row"] * dim + at // dim).astype(np.int32),
+                "gx": int32(tile["col"] * dim + at % dim),
+                "gy": int32(tile["row"] * dim + at // dim),
                 **{name: values[i, at].astype(np.int32) for i, name in enumerate(names)},
             }
             yield with_copies(tile, columns, n, schema)
@@ -208,6 +237,12 @@ def explode_each(dim, names, schema):
     return run
 
 
+def int32(values):
+    if values.size and values.max() > np.iinfo(np.int32).max:
+        raise OverflowError("pixels of this zoom have no place in 32 bits: keep them in tiles")
+    return values.astype(np.int32)
+
+
 def piece_pixels_each(names, schema):
     """Image pieces to one row per pixel that holds data."""
 
@@ -258,8 +293,10 @@ def sample_each(dim, world, schema):
         zoom, res, left, top = piece["zoom"], piece["res"], piece["left"], piece["top"]
         target = world / (2.0**zoom * dim)
         width, height = piece["width"], piece["height"]
-        gx, sx = hits(left + half, width, res, target, lambda g: (g + 0.5) * target - half - left)
-        gy, sy = hits(half - top, height, res, target, lambda g: top - (half - (g + 0.5) * target))
+        x0, y0 = piece.get("x0") or 0, piece.get("y0") or 0
+        # cells are counted from the image's corner, so windows of one image never claim a pixel twice
+        gx, sx = hits(left + half, x0, width, res, target, lambda g: (g + 0.5) * target - half - left)
+        gy, sy = hits(half - top, y0, height, res, target, lambda g: top - (half - (g + 0.5) * target))
         inside = 2**zoom * dim
         gx, sx = gx[gx < inside], sx[gx < inside]
         gy, sy = gy[gy < inside], sy[gy < inside]
@@ -278,9 +315,10 @@ def sample_each(dim, world, schema):
                         "bands": packed(tile.reshape(source.shape[0], -1)),
                     }
 
-    def hits(start, cells, res, target, offset):
+    def hits(corner, first, cells, res, target, offset):
+        start = corner + first * res
         g = np.arange(max(int(start / target) - 1, 0), int((start + cells * res) / target) + 2)
-        s = np.floor(offset(g) / res).astype(np.int64)
+        s = np.floor(offset(g) / res).astype(np.int64) - first
         ok = (s >= 0) & (s < cells)
         return g[ok], s[ok]
 

@@ -21,7 +21,8 @@ RANKS = [f"{b}_rank" for b in BANDS]
 PIXEL = ["zoom", "gx", "gy"]
 HAS_DATA = f"greatest({', '.join(BANDS)}, 0) > 0"
 
-RANKED = [f"if({b} <> 0, shiftleft(cast(priority AS bigint), 8) | {b}, null) AS {b}_rank" for b in BANDS]
+NEEDED = "coalesce(cast(priority AS bigint), cast(raise_error('a pixel with data has no priority') AS bigint))"
+RANKED = [f"if({b} <> 0, shiftleft({NEEDED}, 8) | {b}, null) AS {b}_rank" for b in BANDS]
 TOPS = [f"max({r}) AS {r}" for r in RANKS]
 VALUES = [f"cast(coalesce({b}_rank & 255, 0) AS int) AS {b}" for b in BANDS]
 TOP_PRIORITY = f"shiftright(greatest({', '.join(RANKS)}), 8) AS priority"

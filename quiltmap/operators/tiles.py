@@ -86,6 +86,8 @@ def mosaic_merge_tiles(tiles: DataFrame, dim: int, fan_in: int = FAN_IN) -> Data
 def fold_levels(tiles: DataFrame, hi: int, lo: int, dim: int, partitions: int = 0) -> DataFrame:
     """Finishes levels ``hi`` to ``lo`` with one shuffle: all tiles under one ancestor at ``lo`` meet.
 
+    Tiles of the level below ``hi`` come halved.
+
     A task holds at most 4^(hi-lo) tiles of the deepest level and streams what is drawn on them.
     """
     placed = tiles.select("*", *[F.expr(f"shiftright({axis}, zoom - {lo})").alias(f"_{axis}") for axis in ("col", "row")])
@@ -94,12 +96,14 @@ def fold_levels(tiles: DataFrame, hi: int, lo: int, dim: int, partitions: int =
 
 
 def zoom_up_tiles(merged: DataFrame, dim: int) -> DataFrame:
-    """Parents of merged tiles. Halving comes before the shuffle, so a quarter of the data moves."""
-    return spread(halve_tiles(merged, dim), *KEY).groupBy(*KEY).applyInArrow(kernels.merge_group(per_band=False), MERGED)
+    """Parents of merged tiles. Tiles are halved before the shuffle, so a quarter of their pixels moves."""
+    parent = [F.shiftright(axis, 1).alias(f"_{axis}") for axis in ("col", "row")]
+    placed = halve_tiles(merged, dim).select("*", *parent)
+    return spread(placed, "zoom", "_col", "_row").groupBy("zoom", "_col", "_row").applyInArrow(kernels.quarters_group(dim), MERGED)
 
 
 def halve_tiles(merged: DataFrame, dim: int) -> DataFrame:
-    """Quarter-filled parents, still to be merged by key."""
+    """The quarter of its parent that each tile fills, ``dim / 2`` pixels wide, still under the tile's key."""
     return merged.select(*KEY, "priority", "bands", "orders").mapInArrow(kernels.halve_each(dim), MERGED)
 
 
@@ -164,9 +168,13 @@ def reproject_blocks(blocks: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def sample_pieces(pieces: DataFrame, keep: list[str], dim: int) -> DataFrame:
-    """Pieces (``left, top, res, width, height, zoom, bands``) to the non-empty chunks they fall on."""
+    """Pieces (``left, top, res, width, height, zoom, bands``) to the non-empty chunks they fall on.
+
+    With ``x0, y0`` a piece is a window of an image whose corner is ``left, top``.
+    """
     out = kept_and(pieces, keep, f"{ints(KEY)}, bands array<binary>")
-    needed = dict.fromkeys([*keep, "left", "top", "res", "width", "height", "zoom", "bands"])
+    corner = [c for c in ("x0", "y0") if c in pieces.columns]
+    needed = dict.fromkeys([*keep, "left", "top", *corner, "res", "width", "height", "zoom", "bands"])
     return pieces.select(*needed).mapInArrow(kernels.sample_each(dim, WORLD_WIDTH, arrow_schema(out)), out)
 
 

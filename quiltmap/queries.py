@@ -568,8 +568,8 @@ def priority_rank(spark, sf):
 @query
 def union_inputs(spark, sf):
     source = fx.pixels(spark, sf)
-    native = source.where(F.col("zoom") == 11).select("zoom", "gx", "gy", "r", "g", "b", "priority")
-    return mosaic.union_inputs([native, mosaic.zoom_up(mosaic.mosaic_merge(source.where(F.col("zoom") == 12)))])
+    native = source.select("zoom", "gx", "gy", "r", "g", "b", "priority")
+    return mosaic.union_inputs([native, mosaic.zoom_up(mosaic.mosaic_merge(source))])
 
 
 @query

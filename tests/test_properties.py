@@ -36,14 +36,14 @@ def test_kernel_merge_ignores_order_and_grouping(inputs, rng):
 
 @given(bands, st.integers(0, 3))
 def test_kernel_halves_like_the_rule(values, priority):
-    key, parent = kernels.halved((5, 3, 2), kernels.ranked(tile(values, priority)), 4)
-    assert key == (4, 1, 1)
+    quarter = kernels.halved(kernels.ranked(tile(values, priority)), 4)
+    assert quarter.shape == (3, 4)
     rows = [(12 + i % 4, 8 + i // 4, tuple(v[i] for v in values), priority) for i in range(16)]
     want = {(gx, gy): (b, p) for gx, gy, b, p in brute.halve(brute.merge(rows))}
     got = {}
-    for i in np.flatnonzero((parent != kernels.EMPTY).any(axis=0)):
-        at = (4 + int(i) % 4, 4 + int(i) // 4)
-        got[at] = (tuple(int(v) for v in parent[:, i] & 255), int((parent[:, i] >> 8).max()))
+    for i in np.flatnonzero((quarter != kernels.EMPTY).any(axis=0)):
+        at = (6 + int(i) % 2, 4 + int(i) // 2)
+        got[at] = (tuple(int(v) for v in quarter[:, i] & 255), int((quarter[:, i] >> 8).max()))
     assert got == want
 
 

@@ -128,10 +128,5 @@ def test_levels_share_their_shuffles(spark):
     assert plan_of(carried).count("Exchange hashpartitioning") == 1 + 3
 
 
-def test_partition_numbers(spark):
-    assert [cover.chunk_partitions(c, p) for c, p in ((1000, 10), (100, 30), (100, 500), (0, 0))] == [100, 30, 50, 1]
-    assert [cover.read_partitions(n) for n in (3, 80, 5000, 0)] == [3, 50, 500, 1]
-    df = spark.range(100).selectExpr("7 AS zoom", "int(id) AS col", "int(id % 9) AS row")
-    sized = cover.sized_repartition(df, 1000, 20, 8)
-    assert sized.rdd.getNumPartitions() == 50 and sorted(sized.collect()) == sorted(df.collect())
+def test_partition_numbers():
     assert tiles.partitions_for(10**9, 256) == 10**9 * 3 * 256 * 256 // 2**28
