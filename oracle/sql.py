@@ -211,8 +211,8 @@ ORACLE: dict[str, str] = {
         RECTS,
     ),
     "manifest_json": with_(
-        """SELECT job_id, CAST(image_id % 50 // 20 AS INT) AS part, CAST(image_id % 50 % 20 AS INT) AS pos, source_uri, zoom,
-           folder AS tiles FROM rects""",
+        """SELECT job_id, row_number() OVER (PARTITION BY job_id ORDER BY ord) - 1 AS position, count(*) OVER (PARTITION BY job_id) AS total,
+           source_uri, zoom, folder AS tiles FROM rects""",
         IMAGES,
         RECTS,
     ),

@@ -19,17 +19,27 @@ from quiltmap.operators.cover import valid_sources
 from quiltmap.operators.sample import describe_image, warped_grid
 from quiltmap.operators.tiles import retile_blocks, sample_pieces
 from quiltmap.plans.pyramid import pyramid_tiles
-from quiltmap.session import broadcast_if_short, written
+from quiltmap.session import job_folder, removed, resolved, scratch_path, written_at
 from quiltmap.sinks.documents import append_images, append_status, write_manifest
 from quiltmap.sinks.tiles import pyramid_export, write_chunks
-from quiltmap.sources.documents import manifest_inputs, read_documents, request_images
+from quiltmap.sources.documents import manifest_inputs, read_documents, read_manifest, request_images
 
 CHUNKS = (
-    "job_id string, source_uri string, folder string, ord bigint, piece_index bigint, "
-    "zoom int, col int, row int, bands array<binary>"
+    "source_uri string, folder string, ord bigint, piece_index bigint, "
+    "zoom int, col int, row int, bands array<binary>, job_id string"
 )
-BROADCAST_INPUTS = 200_000  # short rows, a few tens of megabytes in all
-PIECES_ACROSS = 1 << 20
+PIECES_ACROSS = 1 << 31  # more windows than a row of pixels can have
+COLOURS = 3
+
+
+def one_job(frame: DataFrame, *names: str, none: str):
+    """The one job of a frame; a call runs one, and says so where there are more."""
+    found = frame.select(*names).distinct().take(2)
+    if not found:
+        raise ValueError(none)
+    if len(found) > 1:
+        raise ValueError(f"one job at a time: got {', '.join(r[0] for r in found)}")
+    return found[0]
 
 
 @contextmanager
@@ -48,7 +58,9 @@ def stage(spark: SparkSession, status: str | None, job_id: str, name: str, targe
 
 
 def check_images(requested: DataFrame, images: DataFrame) -> None:
-    """Refuses a request that lists an image without a raster or in a system that is not supported."""
+    """Refuses a request that lists an image without a raster, with two, or in a system that is not supported."""
+    for row in requested.join(images, "source_uri", "left_semi").select("source_uri").distinct().join(images.groupBy("source_uri").count(), "source_uri").where("count > 1").take(1):
+        raise ValueError(f"two rasters for {row.source_uri}")
     found = requested.join(images.select("source_uri", "crs"), "source_uri", "left")
     supported = F.coalesce(F.col("crs").isin("EPSG:3857", "EPSG:4326"), F.lit(False))
     for row in found.where(~supported).select("source_uri", "crs").take(1):
@@ -62,7 +74,8 @@ def pieces_of(requested: DataFrame, images: DataFrame, blocks: DataFrame, window
     degrees = warped_grid(known.where(F.col("crs") == "EPSG:4326").drop("left", "top", "res"))
     keep = ["job_id", "ord", "source_uri", "left", "top", "res"]
     placed = metric.select(*keep, "lon0", "lat0", "deg").unionByName(degrees.select(*keep, "lon0", "lat0", "deg"))
-    drawn = blocks.join(broadcast_if_short(placed, BROADCAST_INPUTS), "source_uri")
+    few = F.raise_error(F.concat(F.lit("fewer than three bands in "), "source_uri")).cast("array<binary>")
+    drawn = blocks.join(placed, "source_uri").withColumn("bands", F.when(F.size("bands") >= COLOURS, F.col("bands")).otherwise(few))
     pieces = retile_blocks(drawn, keep, window, reproject=True)
     return pieces.select(
         "job_id",
@@ -70,8 +83,10 @@ def pieces_of(requested: DataFrame, images: DataFrame, blocks: DataFrame, window
         (F.col("piece_row") * F.lit(PIECES_ACROSS).cast("bigint") + F.col("piece_col")).alias("piece_index"),
         "source_uri",
         piece_name("source_uri", "piece_row", "piece_col").alias("folder"),
-        (F.col("left") + F.col("x0") * F.col("res")).alias("left"),
-        (F.col("top") - F.col("y0") * F.col("res")).alias("top"),
+        "left",
+        "top",
+        "x0",
+        "y0",
         "res",
         "width",
         "height",
@@ -87,48 +102,54 @@ def chunk(
     window: int = RETILE_WINDOW,
     status: str | None = None,
 ) -> str:
-    """Runs one request (JSON in ``value``); writes chunks and manifest below its workspace."""
+    """Runs one request (JSON in ``value``); writes its chunks and manifest below its workspace, in folders of the job.
+
+    Returns the manifest's path. A second run of the job replaces both; other jobs of the workspace stay.
+    """
     spark = requests.sparkSession
     requested = request_images(requests)
-    job = requested.select("job_id", "target", "workspace").first()
-    if job is None:
-        raise ValueError("the request lists no images")
+    job = one_job(requested, "job_id", "target", "workspace", none="the request lists no images")
+    chunks_path, manifest = job_folder(f"{job.workspace}/chunks", job.job_id), job_folder(f"{job.workspace}/manifest", job.job_id)
     with stage(spark, status, job.job_id, "chunk", job.target):
         listed = requested.select("job_id", "ord", "source_uri")
         check_images(listed, images)
-        pieces = written(pieces_of(listed, images, blocks, window), "pieces")
-        measured = pieces.select(
-            "job_id",
-            "ord",
-            "piece_index",
-            "source_uri",
-            "folder",
-            "left",
-            (F.col("top") - F.col("height") * F.col("res")).alias("bottom"),
-            (F.col("left") + F.col("width") * F.col("res")).alias("right"),
-            "top",
-            "width",
-            "height",
-        )
-        sources = describe_image(measured, ["job_id", "ord", "piece_index", "source_uri", "folder"], tile_dim)
-        zoomed = describe_image(
-            pieces.withColumn("bottom", F.col("top") - F.col("height") * F.col("res")).withColumn(
-                "right", F.col("left") + F.col("width") * F.col("res")
-            ),
-            ["job_id", "source_uri", "folder", "ord", "piece_index", "left", "top", "res", "width", "height", "bands"],
-            tile_dim,
-        )
-        write_chunks(sample_pieces(zoomed, ["job_id", "source_uri", "folder", "ord", "piece_index"], tile_dim), f"{job.workspace}/chunks")
-        filled = spark.read.schema(CHUNKS).parquet(f"{job.workspace}/chunks")
+        scratch = scratch_path(spark, "pieces")
+        pieces = written_at(pieces_of(listed, images, blocks, window), scratch)
+        own = ["job_id", "ord", "piece_index", "source_uri", "folder"]
+        corner = {
+            "left": F.col("left") + F.col("x0") * F.col("res"),
+            "top": F.col("top") - F.col("y0") * F.col("res"),
+            "right": F.col("left") + (F.col("x0") + F.col("width")) * F.col("res"),
+            "bottom": F.col("top") - (F.col("y0") + F.col("height")) * F.col("res"),
+        }
+        placed = pieces.withColumns({"image_left": F.col("left"), "image_top": F.col("top"), **corner})
+        sources = describe_image(placed.drop("bands"), own, tile_dim)
+        zoomed = describe_image(placed, [*own, "image_left", "image_top", "x0", "y0", "res", "width", "height", "bands"], tile_dim)
+        sampled = zoomed.drop("left", "top").withColumnsRenamed({"image_left": "left", "image_top": "top"})
+        write_chunks(sample_pieces(sampled, own[1:], tile_dim), chunks_path)
+        filled = spark.read.schema(CHUNKS).parquet(chunks_path)
         kept = valid_sources(sources, filled, "source_uri", "folder").select("*", F.lit(job.target).alias("target"), F.lit(tile_dim).alias("tile_size"))
-        write_manifest(kept, f"{job.workspace}/manifest", tie="piece_index")
-    return f"{job.workspace}/manifest"
+        write_manifest(kept, manifest, tie="piece_index")
+        removed(spark, scratch)
+    return manifest
+
+
+def read_chunks(spark: SparkSession, workspace: str) -> DataFrame:
+    """The chunks of all jobs of a workspace."""
+    return spark.read.schema(CHUNKS).parquet(f"{workspace}/chunks")
 
 
 def with_priority(chunks: DataFrame, inputs: DataFrame) -> DataFrame:
-    """Chunks of the manifest's inputs, at the inputs' zoom. A short list is broadcast, a long one joined."""
-    ranks = inputs.select("source_uri", F.col("tiles").alias("folder"), "zoom", "priority")
-    return chunks.join(broadcast_if_short(ranks, BROADCAST_INPUTS), ["source_uri", "folder", "zoom"])
+    """Chunks of the manifest's inputs, at the inputs' zoom, each with at least three bands.
+
+    Catalyst broadcasts the inputs' short rows up to its size limit. An input without chunks fails the job.
+    """
+    ranks = inputs.select("job_id", "source_uri", F.col("tiles").alias("folder"), "zoom", "priority")
+    key = ["job_id", "source_uri", "folder", "zoom"]
+    for row in ranks.join(chunks.select(*key).distinct(), key, "left_anti").take(1):
+        raise ValueError(f"no chunks for {row.source_uri} in {row.folder} at zoom {row.zoom}")
+    few = F.raise_error(F.concat(F.lit("fewer than three bands in "), "folder")).cast("array<binary>")
+    return chunks.join(ranks, key).withColumn("bands", F.when(F.size("bands") >= COLOURS, F.col("bands")).otherwise(few))
 
 
 def mosaic(
@@ -138,21 +159,22 @@ def mosaic(
     export: bool = True,
     status: str | None = None,
 ) -> DataFrame:
-    """Runs one job's manifest (JSON in ``value``); saves the pyramid and its PNG files below the target."""
+    """Runs one job's manifest (JSON in ``value``); saves the pyramid and its PNG files below the target.
+
+    Both replace what an earlier run left there, the pyramid only once it is complete.
+    """
     spark = manifest.sparkSession
     inputs = manifest_inputs(manifest)
-    job = inputs.select("job_id", "target", "tile_size").first()
-    if job is None:
-        raise ValueError("the manifest lists no inputs")
+    job = one_job(inputs, "job_id", "target", "tile_size", none="the manifest lists no inputs")
     across, rest = divmod(job.tile_size, output_tile)
     if rest or across < 1 or across & (across - 1):
         raise ValueError(f"tileSize must be {output_tile} times a power of two, got {job.tile_size}")
     with stage(spark, status, job.job_id, "mosaic", job.target):
-        colours = F.slice("bands", 1, 3).alias("bands")
+        colours = F.slice("bands", 1, COLOURS).alias("bands")
         tiles = with_priority(chunks, inputs).select("zoom", "col", "row", "priority", colours)
         levels = pyramid_tiles(tiles, output_tile, across, path=f"{job.target}/levels")
         if export:
-            pyramid_export(levels, f"{job.target}/png", output_tile)
+            pyramid_export(levels, resolved(spark, f"{job.target}/png"), output_tile)
         if status is not None:
             append_images(inputs, status)
     return levels
@@ -171,5 +193,5 @@ def run(
 ) -> DataFrame:
     """Both steps for the request document at a path."""
     manifest = chunk(read_documents(spark, request), images, blocks, tile_dim, window, status)
-    chunks = spark.read.schema(CHUNKS).parquet(manifest.removesuffix("/manifest") + "/chunks")
-    return mosaic(read_documents(spark, manifest), chunks, output_tile, export, status)
+    chunks = read_chunks(spark, manifest.rpartition("/manifest/")[0])
+    return mosaic(read_manifest(spark, manifest), chunks, output_tile, export, status)

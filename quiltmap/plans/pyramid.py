@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quiltmap.operators.mosaic import finish_level, halve_level, merge_ranked, ranked, union_inputs
 from quiltmap.operators.tiles import MERGED, as_merged, fold_levels, halve_tiles, partitions_for, split_packed, thin_overlaps, tile_load
-from quiltmap.session import scratch_path, written
+from quiltmap.session import removed, replaced, scratch_path, written_at
 
 PIXELS_OUT = "zoom int, gx int, gy int, r int, g int, b int, priority bigint"
 LEVELS_PER_JOB = 3
@@ -58,9 +58,10 @@ def pyramid(
     table, so a lost executor costs at most one job's work.
     """
     spark = pixels.sparkSession
-    natives = written(merge_ranked(ranked(pixels)), "natives", "zoom") if stage else None
+    scratch = scratch_path(spark, "natives")
+    natives = written_at(merge_ranked(ranked(pixels)), scratch, "zoom") if stage else None
     zooms = input_zooms(natives if stage else pixels)
-    path = path or scratch_path(spark, "pyramid")
+    path, built = path or scratch_path(spark, "pyramid"), scratch_path(spark, "building") if path is None else f"{path}-building"
     if not zooms or zooms[0] < min_zoom:
         return spark.createDataFrame([], PIXELS_OUT)
     saved = spark.read.schema(PIXELS_OUT)
@@ -76,9 +77,11 @@ def pyramid(
             level = finish_level(sides)
             levels.append(level.selectExpr(f"{z} AS zoom", "gx", "gy", "r", "g", "b", "priority"))
             carried = halve_level(level)
-        save(union_inputs(levels), path, first=job[0] == zooms[0])
-        last = saved.parquet(path).where(F.col("zoom") == job[-1])
+        save(union_inputs(levels), built, first=job[0] == zooms[0])
+        last = saved.parquet(built).where(F.col("zoom") == job[-1])
         carried = halve_level(last.selectExpr("shiftright(gx, 1) AS px", "shiftright(gy, 1) AS py", "r", "g", "b", "priority"))
+    replaced(spark, built, path)
+    removed(spark, scratch)
     return saved.parquet(path)
 
 
@@ -101,7 +104,7 @@ def pyramid_tiles(
     load = tile_load(tiles)
     zooms = [z.zoom + offset for z in load]
     refuse_zoom_zero(zooms)
-    path = path or scratch_path(spark, "pyramid")
+    path, built = path or scratch_path(spark, "pyramid"), scratch_path(spark, "building") if path is None else f"{path}-building"
     saved = spark.read.schema(MERGED)
     if not zooms or zooms[0] < min_zoom:
         return spark.createDataFrame([], MERGED)
@@ -118,7 +121,8 @@ def pyramid_tiles(
                 natives = split_packed(natives, across)
             sides.append(thin_overlaps(natives, max(z.overlap for z in here), partitions=size))
         if hi < zooms[0]:
-            sides.append(halve_tiles(saved.parquet(path).where(F.col("zoom") == hi + 1), dim))
-        save(fold_levels(union_inputs(sides), hi, lo, dim, size), path, first=hi == zooms[0])
+            sides.append(halve_tiles(saved.parquet(built).where(F.col("zoom") == hi + 1), dim))
+        save(fold_levels(union_inputs(sides), hi, lo, dim, size), built, first=hi == zooms[0])
         carried = (carried + own) // 4 ** (hi - lo)  # about what the last level holds
+    replaced(spark, built, path)
     return saved.parquet(path)

@@ -111,10 +111,11 @@ def manifest_inputs(spark, sf):
 
 @query
 def manifest_json(spark, sf):
-    documents = out_docs.manifest_json(manifest_sources(spark, sf, F.col("job_id")), per_document=20)
-    return documents.select(
-        "job_id", "part", F.posexplode(F.from_json("value", "input array<struct<sourceUri: string, zoom: int, tiles: string>>").input)
-    ).select("job_id", F.col("part").cast("int").alias("part"), "pos", F.col("col.sourceUri").alias("source_uri"), "col.zoom", "col.tiles")
+    records = out_docs.manifest_json(manifest_sources(spark, sf, F.col("job_id")))
+    read = F.from_json("value", "position bigint, totalInputs bigint, input struct<sourceUri: string, zoom: int, tiles: string>")
+    return records.select("job_id", read.alias("r")).select(
+        "job_id", "r.position", F.col("r.totalInputs").alias("total"), F.col("r.input.sourceUri").alias("source_uri"), "r.input.zoom", "r.input.tiles"
+    )
 
 
 def stored_paths(spark, sf) -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -30,7 +30,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Writes the frame to a table in the shared folder and reads it back: lineage ends here."""
-    path = scratch_path(df.sparkSession, name)
+    return written_at(df, scratch_path(df.sparkSession, name), partition_by)
+
+
+def written_at(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(partition_by)
@@ -48,6 +51,37 @@ def spread(df: DataFrame, *keys: str, at_least: int = 0) -> DataFrame:
     return df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), at_least), *keys)
 
 
-def broadcast_if_short(df: DataFrame, rows: int) -> DataFrame:
-    """Marks a list for broadcast after counting it; a longer one is left to a shuffled join."""
-    return F.broadcast(df) if df.count() <= rows else df
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path in it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a table or folder, if it is there."""
+    store, at = file_system(spark, path)
+    store.delete(at, True)
+
+
+def replaced(spark: SparkSession, built: str, path: str) -> None:
+    """Puts a finished table in the place of an older one."""
+    removed(spark, path)
+    store, at = file_system(spark, path)
+    store.mkdirs(at.getParent())
+    if not store.rename(file_system(spark, built)[1], at):
+        raise OSError(f"{built} could not be moved to {path}")
+
+
+def resolved(spark: SparkSession, path: str) -> str:
+    """A path that means the same on every executor: with its scheme, and not of one machine on a cluster."""
+    store, at = file_system(spark, path)
+    whole = at.makeQualified(store.getUri(), store.getWorkingDirectory()).toString()
+    if whole.startswith("file:") and "://" not in path and not path.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{path} is a folder of each machine: name a shared one with its scheme")
+    return "file://" + whole.removeprefix("file:") if whole.startswith("file:/") and not whole.startswith("file://") else whole
+
+
+def job_folder(path: str, job_id: str) -> str:
+    """The partition folder of a job, with the characters escaped that Spark escapes."""
+    escaped = re.sub(r"""[\x00-\x1f"#%'*/:=?\\\x7f{\[\]^]""", lambda m: f"%{ord(m[0]):02X}", job_id)
+    return f"{path}/job_id={escaped}"

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from quiltmap.functions.ranking import with_position
 from quiltmap.schemas import JOB_STATUS
-
-INPUTS_PER_DOCUMENT = 10_000
+from quiltmap.session import job_folder
 
 
 def manifest_entry() -> Column:
@@ -24,33 +23,25 @@ def manifest_entry() -> Column:
     )
 
 
-def manifest_json(sources: DataFrame, tie: str | None = None, per_document: int = INPUTS_PER_DOCUMENT) -> DataFrame:
-    """Image sources in request order (``ord``, then ``tie``) as JSON manifests.
+def manifest_json(sources: DataFrame, tie: str | None = None) -> DataFrame:
+    """Image sources as JSON records, one per input, each with its place in request order (``ord``, then ``tie``).
 
-    A job of up to ``per_document`` inputs is one document. A longer one is a run of documents,
-    each saying where its inputs start and how many the job has, so no row grows with the job.
+    The form is the same for any number of inputs, and no row grows with the job.
     """
-    placed = with_position(sources, "job_id", "ord", tie)
-    part = F.floor(F.col("position") / per_document)
-    grouped = placed.groupBy("job_id", "target", "tile_size", "total", part.alias("part")).agg(
-        F.array_sort(F.collect_list(F.struct("position", manifest_entry().alias("entry")))).alias("inputs")
-    )
-    document = F.struct(
+    record = F.struct(
         F.col("job_id").alias("jobId"),
         "target",
         F.col("tile_size").alias("tileSize"),
-        F.transform("inputs", lambda i: i.entry).alias("input"),
-        F.col("inputs")[0].position.alias("firstInput"),
+        "position",
         F.col("total").alias("totalInputs"),
+        manifest_entry().alias("input"),
     )
-    return grouped.select("job_id", "part", F.to_json(document).alias("value"))
+    return with_position(sources, "job_id", "ord", tie).select("job_id", "position", F.to_json(record).alias("value"))
 
 
-def write_manifest(
-    sources: DataFrame, path: str, tie: str | None = None, per_document: int = INPUTS_PER_DOCUMENT
-) -> None:
-    """One text file per document, each in a partition folder of its own."""
-    manifest_json(sources, tie, per_document).select("part", "value").write.mode("overwrite").partitionBy("part").text(path)
+def write_manifest(sources: DataFrame, path: str, tie: str | None = None) -> None:
+    """One line per input; replaces what an earlier run of the job wrote there."""
+    manifest_json(sources, tie).select("value").write.mode("overwrite").text(path)
 
 
 def append_status(spark: SparkSession, path: str, job_id: str, stage: str, status: str, **details: str) -> None:
@@ -66,8 +57,9 @@ def append_status(spark: SparkSession, path: str, job_id: str, stage: str, statu
 
 
 def append_images(inputs: DataFrame, path: str) -> None:
-    """Adds the source images of a finished job, next to its records."""
-    job_images(inputs).write.mode("append").parquet(f"{path}/images")
+    """Records the source images of a finished job, next to its records; a later run of the job replaces them."""
+    for row in inputs.select("job_id").distinct().take(1):
+        job_images(inputs).select("source_uri").write.mode("overwrite").parquet(job_folder(f"{path}/images", row.job_id))
 
 
 def read_status(spark: SparkSession, path: str) -> DataFrame:
@@ -75,7 +67,7 @@ def read_status(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("job_id string, source_uri string").parquet(f"{path}/images")
+    return spark.read.schema("source_uri string, job_id string").parquet(f"{path}/images").select("job_id", "source_uri")
 
 
 def latest_status(records: DataFrame, by: list[str], at: list[str], values: list[str]) -> DataFrame:

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quiltmap.operators import kernels
 from quiltmap.operators.tiles import arrow_schema
+from quiltmap.session import removed, resolved
 
 PNG = "zoom int, col int, row int, png binary"
 
 
 def write_chunks(chunks: DataFrame, path: str) -> None:
+    """One folder per zoom; replaces what an earlier run wrote there."""
     chunks.write.mode("overwrite").partitionBy("zoom").parquet(path)
 
 
@@ -24,28 +27,39 @@ def encode_png(tiles: DataFrame, dim: int, skip_blank: bool = False) -> DataFram
     return needed.mapInArrow(kernels.encode_each(dim, skip_blank, arrow_schema(schema)), schema)
 
 
-def pyramid_export(tiles: DataFrame, target: str, dim: int, skip_blank: bool = False) -> None:
-    """Writes ``target/z/x/y.png``, to a mounted folder or any store the Arrow file systems know.
+def pyramid_export(tiles: DataFrame, target: str, dim: int, skip_blank: bool = False) -> int:
+    """Writes ``target/z/x/y.png`` and returns how many, to a shared folder or any store the Arrow file systems know.
 
-    A tile's path depends on its key only, so a task that runs twice writes the same files again.
+    Files of an earlier run are removed first. Tiles are encoded and written where they are read: no
+    image leaves its task but to its file. A tile's path depends on its key only, so a task that runs
+    twice writes the same files again.
     """
-    encode_png(tiles, dim, skip_blank).foreachPartition(png_writer(target))
+    spark = tiles.sparkSession
+    target = resolved(spark, target)
+    removed(spark, target)
+    needed = tiles.select("zoom", "col", "row", "bands")
+    write = png_writer(target, kernels.encode_each(dim, skip_blank, arrow_schema(StructType.fromDDL(PNG))))
+    return needed.mapInArrow(write, "written bigint").agg(F.sum("written")).first()[0] or 0
 
 
-def png_writer(target: str):
-    def write(rows):
+def png_writer(target: str, encode):
+    def write(batches):
         from pyarrow import fs
 
-        store, root = fs.FileSystem.from_uri(target if "://" in target else "file://" + os.path.abspath(target))
-        local = isinstance(store, fs.LocalFileSystem)
-        for row in rows:
-            folder = f"{root}/{row.zoom}/{row.col}"
-            path = f"{folder}/{row.row}.png"
-            store.create_dir(folder, recursive=True)
-            part = f"{path}.{uuid.uuid4().hex}.part" if local else path
-            with store.open_output_stream(part) as out:
-                out.write(bytes(row.png))
-            if local:
-                store.move(part, path)
+        store, root = fs.FileSystem.from_uri(target)
+        local, folders = isinstance(store, fs.LocalFileSystem), set()
+        for batch in encode(batches):
+            for row in batch.to_pylist():
+                folder = f"{root}/{row['zoom']}/{row['col']}"
+                path = f"{folder}/{row['row']}.png"
+                if local and folder not in folders:  # stores have no folders
+                    store.create_dir(folder, recursive=True)
+                    folders.add(folder)
+                part = f"{path}.{uuid.uuid4().hex}.part" if local else path
+                with store.open_output_stream(part) as out:
+                    out.write(row["png"])
+                if local:
+                    store.move(part, path)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["written"])
 
     return write

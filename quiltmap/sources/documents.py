@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltmap.schemas import MANIFEST, REQUEST
+from quiltmap.schemas import MANIFEST_FIELDS, MANIFEST_LINE, REQUEST_FIELDS
 
 
 def _required(df: DataFrame, record: str, names: list[str], what: str) -> DataFrame:
@@ -28,9 +28,20 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True)
 
 
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Each line, one record of a manifest, as one ``value``."""
+    return spark.read.text(path)
+
+
+def whole(value: str, schema: str) -> Column:
+    """The one document of a text; null, which no reader takes, where there is more or less than one."""
+    parsed = F.from_json(F.concat(F.lit("["), value, F.lit("]")), f"array<struct<{schema}>>", {"mode": "PERMISSIVE"})
+    return F.when(F.size(parsed) == 1, parsed[0])
+
+
 def request_images(documents: DataFrame) -> DataFrame:
-    """Requests (JSON in ``value``) to one row per image, numbered in request order."""
-    parsed = documents.select(F.from_json("value", REQUEST).alias("d"))
+    """Requests (JSON in ``value``, one each) to one row per image, numbered in request order."""
+    parsed = documents.select(whole("value", REQUEST_FIELDS).alias("d"))
     checked = _required(parsed, "d", ["jobId", "target", "images", "workspace"], "a job request").select("d.*")
     return checked.select(
         F.col("jobId").alias("job_id"), "target", "workspace", F.posexplode("images").alias("ord", "source_uri")
@@ -38,15 +49,22 @@ def request_images(documents: DataFrame) -> DataFrame:
 
 
 def manifest_inputs(documents: DataFrame) -> DataFrame:
-    """Manifests (JSON in ``value``) to one row per input; the first input gets the highest priority."""
-    parsed = documents.select(F.from_json("value", MANIFEST).alias("d"))
-    checked = _required(parsed, "d", ["jobId", "target", "tileSize", "input"], "a manifest").select("d.*")
+    """Manifests to one row per input; the first input gets the highest priority.
+
+    ``value`` is a whole manifest with its array of inputs, or one record per input with its position.
+    """
+    line = F.from_json("value", MANIFEST_LINE)
+    parsed = documents.select("value", F.when(line.position.isNotNull(), line).alias("_line"))
+    single = F.when(F.col("_line").isNull(), whole("value", MANIFEST_FIELDS))
+    as_array = F.struct("_line.jobId", "_line.target", "_line.tileSize", F.array("_line.input").alias("input"))
+    parsed = parsed.select("_line", F.when(F.col("_line").isNotNull(), as_array).otherwise(single).alias("d"))
+    checked = _required(parsed, "d", ["jobId", "target", "tileSize", "input"], "a manifest").select("_line", "d.*")
     entries = checked.select(
         F.col("jobId").alias("job_id"),
         "target",
         F.col("tileSize").alias("tile_size"),
-        F.coalesce("firstInput", F.lit(0)).alias("_first"),
-        F.coalesce("totalInputs", F.size("input").cast("bigint")).alias("_total"),
+        F.coalesce("_line.position", F.lit(0)).alias("_first"),
+        F.coalesce("_line.totalInputs", F.size("input").cast("bigint")).alias("_total"),
         F.posexplode("input").alias("_pos", "i"),
     )
     bounds = ["colMin", "rowMin", "colMax", "rowMax"]

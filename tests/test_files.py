@@ -11,9 +11,9 @@ import brute
 from quiltmap.functions.grid import EARTH_RADIUS, WORLD_WIDTH
 from quiltmap.operators import tiles
 from quiltmap.plans import jobs
-from quiltmap.sinks.documents import append_status, latest_status, manifest_json, read_images, read_status, write_manifest
+from quiltmap.sinks.documents import append_status, latest_status, read_images, read_status, write_manifest
 from quiltmap.sinks.tiles import encode_png, pyramid_export, write_chunks
-from quiltmap.sources.documents import manifest_inputs, read_documents
+from quiltmap.sources.documents import manifest_inputs, read_documents, read_manifest, request_images
 from quiltmap.sources.tiles import tile_files, tile_index, tile_scan
 
 DIM, OUT, WINDOW = 16, 8, 20
@@ -100,9 +100,9 @@ def rasters(spark):
     return spark.createDataFrame(meta, IMAGES), spark.createDataFrame(stored, BLOCKS), brute.pyramid(inputs)
 
 
-def request_file(folder, images):
+def request_file(folder, images, job="job", out="out"):
     path = folder / "request.json"
-    doc = {"jobId": "job", "target": str(folder / "out"), "images": images, "workspace": str(folder / "work")}
+    doc = {"jobId": job, "target": str(folder / out), "images": images, "workspace": str(folder / "work")}
     path.write_text(json.dumps(doc, indent=2))
     return str(path)
 
@@ -132,7 +132,7 @@ def test_both_steps(spark, tmp_path, rasters):
                         shown[col * OUT + x, row * OUT + y] = rgba[:3]
         assert shown == level
 
-    inputs = manifest_inputs(read_documents(spark, str(tmp_path / "work" / "manifest")))
+    inputs = manifest_inputs(read_manifest(spark, str(tmp_path / "work" / "manifest" / "job_id=job")))
     rows = inputs.orderBy("position").collect()
     assert [r.position for r in rows] == list(range(len(rows))) and [r.priority for r in rows] == list(range(len(rows)))[::-1]
     uris = [r.source_uri for r in rows]
@@ -175,20 +175,79 @@ def test_mosaic_refuses_a_tile_size_that_does_not_fit(spark, rasters):
         jobs.mosaic(manifest, spark.createDataFrame([], jobs.CHUNKS), OUT)
 
 
-def test_manifest_in_several_documents(spark, tmp_path):
+def test_manifest_has_one_record_per_input(spark, tmp_path):
     rows = [("j", "t", 8, 10 * (i // 3), i % 3, f"u{i}", f"f{i}", 4, i, i, i, i, 0.0, 0.0, 1.0, 1.0) for i in range(25)]
     df = spark.createDataFrame(
         rows,
         "job_id string, target string, tile_size int, ord bigint, piece bigint, source_uri string, folder string, zoom int, "
         "col_min int, row_min int, col_max int, row_max int, xmin double, ymin double, xmax double, ymax double",
     )
-    assert manifest_json(df, "piece").count() == 1
-    write_manifest(df.repartition(4), str(tmp_path / "m"), tie="piece", per_document=10)
-    documents = read_documents(spark, str(tmp_path / "m"))
-    assert documents.count() == 3
-    got = manifest_inputs(documents).orderBy("position").collect()
-    assert [r.source_uri for r in got] == [f"u{i}" for i in range(25)]
-    assert [r.priority for r in got] == list(range(24, -1, -1))
+    for some in (df, df.where("ord < 20")):
+        write_manifest(some.repartition(4), str(tmp_path / "m"), tie="piece")
+        records = read_manifest(spark, str(tmp_path / "m"))
+        n = some.count()
+        assert records.count() == n
+        got = manifest_inputs(records).orderBy("position").collect()
+        assert [r.source_uri for r in got] == [f"u{i}" for i in range(n)]
+        assert [r.priority for r in got] == list(range(n - 1, -1, -1))
+
+
+def test_a_whole_manifest_is_read_and_a_second_document_refused(spark):
+    entry = {"sourceUri": "u", "zoom": 3, "tiles": "f", "gridBounds": {"colMin": 0, "rowMin": 0, "colMax": 0, "rowMax": 0}}
+    doc = json.dumps({"jobId": "j", "target": "/t", "tileSize": 16, "input": [entry, {**entry, "sourceUri": "v"}]})
+    got = manifest_inputs(spark.createDataFrame([(doc,)], "value string")).orderBy("position").collect()
+    assert [(r.source_uri, r.priority) for r in got] == [("u", 1), ("v", 0)]
+    request = json.dumps({"jobId": "j", "target": "t", "images": ["a"], "workspace": "w"})
+    assert request_images(spark.createDataFrame([(request + "\n",)], "value string")).count() == 1
+    for read, text in ((manifest_inputs, doc + doc), (request_images, request + request)):
+        with pytest.raises(Exception, match="needs"):
+            read(spark.createDataFrame([(text,)], "value string")).collect()
+
+
+def square(spark, uri, value, size=DIM, bands=3, at=100):
+    res = WORLD_WIDTH / (2**9 * DIM)
+    left, top = -WORLD_WIDTH / 2 + at * DIM * res, WORLD_WIDTH / 2 - 90 * DIM * res
+    images = spark.createDataFrame([(uri, "EPSG:3857", size, size, left, top, res, None, None, None)], IMAGES)
+    return images, spark.createDataFrame([(uri, 0, 0, size, size, [bytes([value]) * (size * size)] * bands)], BLOCKS)
+
+
+def drawn(levels):
+    return {r.r for r in tiles.tile_explode(levels, ["zoom"], OUT).select("r").distinct().collect()}
+
+
+def test_jobs_of_one_workspace_keep_apart_and_reruns_replace(spark, tmp_path):
+    first, second = square(spark, "/d/a.tif", 7, size=3 * DIM), square(spark, "/d/b.tif", 9)
+    jobs.chunk(read_documents(spark, request_file(tmp_path, ["/d/a.tif"], "one")), *first, DIM, WINDOW)
+    jobs.run(spark, request_file(tmp_path, ["/d/b.tif"], "two", "out2"), *second, DIM, OUT, WINDOW, export=False)
+    chunks = jobs.read_chunks(spark, str(tmp_path / "work"))
+    assert {r.job_id for r in chunks.select("job_id").distinct().collect()} == {"one", "two"}
+    manifest = read_manifest(spark, str(tmp_path / "work" / "manifest" / "job_id=one"))
+    status = str(tmp_path / "status")
+    assert drawn(jobs.mosaic(manifest, chunks, OUT, status=status)) == {7}
+    count = lambda: sum(len(names) for _, _, names in os.walk(tmp_path / "out" / "png"))
+    many = count()
+    smaller = square(spark, "/d/a.tif", 5)
+    levels = jobs.run(spark, request_file(tmp_path, ["/d/a.tif"], "one"), *smaller, DIM, OUT, WINDOW, status=status)
+    assert drawn(levels) == {5} and 0 < count() < many
+    assert [tuple(r) for r in read_images(spark, status).collect()] == [("one", "/d/a.tif")]
+    assert not (tmp_path / "out" / "levels-building").exists()
+
+
+def test_what_a_job_refuses(spark, tmp_path):
+    images, blocks = square(spark, "/d/a.tif", 7)
+    request = json.loads(open(request_file(tmp_path, ["/d/a.tif"])).read())
+    two = spark.createDataFrame([(json.dumps(request),), (json.dumps({**request, "jobId": "other"}),)], "value string")
+    with pytest.raises(ValueError, match="one job at a time"):
+        jobs.chunk(two, images, blocks, DIM, WINDOW)
+    one = two.limit(1)
+    with pytest.raises(ValueError, match="two rasters"):
+        jobs.chunk(one, images.union(images), blocks, DIM, WINDOW)
+    with pytest.raises(Exception, match="fewer than three bands"):
+        jobs.chunk(one, images, square(spark, "/d/a.tif", 7, bands=1)[1], DIM, WINDOW)
+    manifest = jobs.chunk(one, images, blocks, DIM, WINDOW)
+    chunks = jobs.read_chunks(spark, str(tmp_path / "work"))
+    with pytest.raises(ValueError, match="no chunks for /d/a.tif"):
+        jobs.mosaic(read_manifest(spark, manifest), chunks.where("job_id = 'none'"), OUT, export=False)
 
 
 def test_tile_files(spark, tmp_path):
