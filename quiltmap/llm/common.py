@@ -33,6 +33,11 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def apart(df: DataFrame) -> DataFrame:
+    """Gives an aggregate an exchange of its own, so that a join with it can split hot keys of the other side."""
+    return df.hint("rebalance")
+
+
 class Scratch:
     """Tables of one job below ``spark.checkpoint.dir``: lineage ends at each, lost executors cost no rework.
 

@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quiltmap.llm.common import Scratch
+from quiltmap.llm.common import Scratch, apart
 
 
 def _large(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the smallest node around it."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return both.where("b > a").join(apart(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are tied to the smallest of them."""
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    tied = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    tied = edges.join(apart(least), "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return tied.union(least.select("a", F.col("m").alias("b")))
 
 

@@ -5,10 +5,12 @@ a table key joins one half key of either, so 64 tables of four minhashes cost 32
 At a likeness of 0.8 a pair shares a key with probability (1 - (1 - 0.8^2)^8)^2 = 0.9994.
 
 Documents with equal shingle sets are first folded into one. A set that shares no half key of the first
-collection with another is in no bucket, so only the others get their 64 keys. Buckets are searched
-from hubs: each member is compared on the full sets with a few hubs of its bucket, linked members are
-merged, and rounds go on until every pair of a bucket was compared or is in one component. So a bucket
-of copies costs one row per member, no pair of different components goes untested, and nothing is capped.
+collection with another is in no bucket, so only the others get their 64 keys. Shingles that no other
+candidate has bound what a pair can share: sets and pairs that cannot reach the likeness are left out, and
+the member with the fewest is the most typical of its bucket. Each member is compared, on the full sets,
+with that one, and linked members are merged. Then members outside the largest component of their bucket
+are compared with those of other components, ``OUTSIDERS`` of a bucket in a turn. So a bucket of near
+copies costs about one row per member, no pair that could be linked goes untested, and nothing is capped.
 """
 
 from __future__ import annotations
@@ -19,13 +21,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltmap.llm.common import Scratch, fold_case, holds, id_filter, load, mix, texts
+from quiltmap.llm.common import Scratch, apart, fold_case, holds, id_filter, load, mix, texts
 from quiltmap.llm.components import components
 
 COLLECTION, HALF = 8, 2
 WORDS, PERCENT = 5, 80
-#: Hubs of a bucket in a round after the first; a round takes up to so many from those left.
-FLIPS = (0, -1, 0x5555555555555555, 0x3333333333333333)
+#: Members outside a bucket's largest component that one turn compares with the bucket, about.
+OUTSIDERS = 64
 
 _random = np.random.default_rng(20)
 _MUL = _random.integers(1, 1 << 63, (COLLECTION * HALF * 2, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -108,75 +110,79 @@ def sets_of(words: int, bloom):
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``hub, member`` whose full sets are alike enough."""
-    both = F.size(F.array_intersect("hub_set", "own_set"))
-    small, large = F.least(F.size("hub_set"), F.size("own_set")), F.greatest(F.size("hub_set"), F.size("own_set"))
+    both, sizes = F.size(F.array_intersect("hub_set", "own_set")), F.size("hub_set") + F.size("own_set")
     return (
         pairs.join(sets.select(F.col("id").alias("member"), F.col("hashes").alias("own_set")), "member")
         .join(sets.select(F.col("id").alias("hub"), F.col("hashes").alias("hub_set")), "hub")
-        .where(100 * small >= percent * large)
-        .where(100 * both >= percent * (small + large - both))
+        .where(100 * both >= percent * (sizes - both))
         .select(F.col("hub").alias("a"), F.col("member").alias("b"))
     )
 
 
 def bucket_keys(reps: DataFrame) -> DataFrame:
-    """``id, key`` of every set that shares a half key of the first collection, for each such half key."""
+    """``id, i, j, key`` of every set that shares a half key of the first collection, for each such half key."""
     halves = reps.select("id", F.posexplode(F.slice("halves", 1, COLLECTION)).alias("i", "half"))
     shared = halves.groupBy("i", "half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    firsts = halves.join(shared, ["i", "half"]).groupBy("id").agg(F.collect_list(F.struct("i", "half")).alias("firsts"))
+    firsts = halves.join(apart(shared), ["i", "half"]).groupBy("id").agg(F.collect_list(F.struct("i", "half")).alias("firsts"))
     return (
         firsts.join(reps.select("id", F.slice("halves", COLLECTION + 1, COLLECTION).alias("seconds")), "id")
         .select("id", "seconds", F.explode("firsts").alias("first"))
         .select("id", "first", F.posexplode("seconds").alias("j", "second"))
-        .select("id", F.xxhash64("first.i", "first.half", "j", "second").alias("key"))
+        .select("id", "first.i", "j", F.xxhash64("first.i", "first.half", "j", "second").alias("key"))
     )
 
 
-def merge_buckets(scratch: Scratch, keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``id, root`` of every set linked with a smaller one, from the buckets ``id, key``."""
-    hubs = keys.groupBy("key").agg(F.min("id").alias("hub"))
-    pairs = keys.join(hubs, "key").where("id <> hub").select("hub", F.col("id").alias("member")).distinct()
-    labels = components(linked(pairs, sets, percent), scratch, "links-0").select(F.col("node").alias("id"), "root")
-    tested = hubs
-    turn = 0
-    while True:
-        turn += 1
-        # members of buckets that still hold more than one component
-        placed = keys.join(labels, "id", "left").select("id", "key", F.coalesce("root", "id").alias("root"))
-        mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-        open_ = scratch.write(placed.join(mixed, "key"), f"open-{turn}")
-        # outside the largest component of its bucket, who was no hub yet?
-        parts = open_.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-        largest = parts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("largest"))
-        left = open_.join(largest, "key").where("root <> largest").join(tested.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")
-        picked = left.groupBy("key").agg(*(F.min(F.col("id").bitwiseXOR(F.lit(flip))).alias(f"h{k}") for k, flip in enumerate(FLIPS)))
-        hubs = scratch.write(
-            picked.select("key", F.explode(F.array_distinct(F.array(*(F.col(f"h{k}").bitwiseXOR(F.lit(flip)) for k, flip in enumerate(FLIPS))))).alias("hub")),
-            f"hubs-{turn}",
-        )
-        if hubs.isEmpty():
-            return labels
-        own = open_.select("key", F.col("id").alias("hub"), F.col("root").alias("hub_root"))
-        pairs = (
-            hubs.join(own, ["key", "hub"])
-            .join(open_, "key")
-            .where("root <> hub_root")
-            .select(F.col("hub"), F.col("id").alias("member"))
-            .distinct()
-        )
-        fresh = linked(pairs, sets, percent)
-        at = open_.select("id", "root").distinct()
-        contracted = (
-            fresh.join(at.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a")
-            .join(at.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b")
-            .select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-        )
-        moved = components(contracted, scratch, f"links-{turn}").select(F.col("node").alias("root"), F.col("root").alias("to"))
-        tied = labels.join(moved, "root", "left").select("id", F.coalesce("to", "root").alias("root"))
-        # roots that were merged into another have no row of their own yet
-        labels = scratch.write(tied.union(moved.select(F.col("root").alias("id"), F.col("to").alias("root"))).distinct(), f"labels-{turn}")
-        tested = tested.union(hubs)
-        keys = open_.select("id", "key")
+def lone_shingles(sets: DataFrame) -> DataFrame:
+    """``id, lone``: how many of a set's shingles no other of the sets has."""
+    one = sets.select("id", F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id")).where("n = 1")
+    return one.groupBy("id").agg(F.count(F.lit(1)).alias("lone"))
+
+
+def merge_buckets(scratch: Scratch, keys: DataFrame, halves: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``id, root`` of every set linked with a smaller one, from the buckets ``id, size, lone, i, j, key`` and all half keys ``id, halves``."""
+    # at most so many of a set's shingles are in any other, so a pair's intersection has a bound before it is computed
+    shared = F.least(F.col("size") - F.col("lone"), F.col("hub_size") - F.col("hub_lone"))
+    fits = 100 * shared >= percent * (F.col("size") + F.col("hub_size") - shared)
+    as_hub = [F.col("id").alias("hub"), F.col("size").alias("hub_size"), F.col("lone").alias("hub_lone")]
+    # every member with the most typical one of its bucket
+    hubs = keys.groupBy("key").agg(F.min(F.struct("lone", "id")).alias("hub")).select("key", F.col("hub.id").alias("hub"))
+    hubs = scratch.write(keys.select("key", *as_hub).join(apart(hubs), ["key", "hub"]), "hubs")
+    pairs = keys.join(hubs, "key").where(F.col("id") != F.col("hub")).where(fits).select("hub", F.col("id").alias("member")).distinct()
+    labels = components(linked(pairs, sets, percent), scratch, "stars").withColumnRenamed("node", "id")
+    # in buckets that still hold several components: everyone outside the largest with everyone of another
+    placed = scratch.write(keys.join(labels, "id", "left").select("id", "size", "lone", "i", "j", "key", F.coalesce("root", "id").alias("root")), "placed")
+    # who differs too much from every size in its bucket has no links there
+    smallest = F.greatest("low", F.col("size") - F.col("lone"))
+    low = placed.groupBy("key").agg(F.min("size").alias("low"))
+    placed = placed.join(apart(low), "key").where(100 * (F.col("size") - F.col("lone")) >= percent * (F.col("lone") + smallest)).drop("low")
+    parts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    mixed = parts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), F.sum("n").alias("members"), F.max("n").alias("most")).where("most < members")
+    outside = F.col("root") != F.col("largest")
+    turns = F.ceil((F.col("members") - F.col("most")) / OUTSIDERS)
+    turn = F.when(outside, F.pmod(F.xxhash64("id"), turns)).cast("int")
+    opened = placed.join(apart(mixed), "key").select("key", "id", "size", "lone", "i", "j", "root", turn.alias("turn"))
+    open_ = scratch.write(opened.join(halves, "id"), "open")
+    last = open_.agg(F.max("turn")).first()[0]
+    found = []
+    for now in range(0 if last is None else last + 1):
+        hubs = open_.where(F.col("turn") == now).select("key", *as_hub, F.col("root").alias("hub_root"), F.col("halves").alias("hub_halves"))
+        untested = F.col("turn").isNull() | (F.col("turn") > now) | ((F.col("turn") == now) & (F.col("id") > F.col("hub")))
+        # a pair comes once, from the first of the half keys it shares of either collection
+        same = F.zip_with("halves", "hub_halves", lambda x, y: x == y)
+        first = (F.array_position(same, True) == F.col("i") + 1) & (F.array_position(F.slice(same, COLLECTION + 1, COLLECTION), True) == F.col("j") + 1)
+        pairs = open_.join(hubs, "key").where((F.col("root") != F.col("hub_root")) & untested & fits & first)
+        both = pairs.select(F.least("hub", "id").alias("hub"), F.greatest("hub", "id").alias("member")).distinct()
+        found.append(scratch.write(linked(both, sets, percent), f"links-{now}"))
+    if not found:
+        return labels
+    # links between components join the stars
+    links = found[0]
+    for more in found[1:]:
+        links = links.union(more)
+    roots = open_.select("id", "root").distinct()
+    joined = links.join(roots.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a").join(roots.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b")
+    moved = components(joined.select(F.col("ra").alias("a"), F.col("rb").alias("b")), scratch, "joins").select(F.col("node").alias("root"), F.col("root").alias("to"))
+    return labels.join(moved, "root", "left").select("id", F.coalesce("to", "root").alias("root")).union(moved.select(F.col("root").alias("id"), F.col("to").alias("root")))
 
 
 def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -198,12 +204,16 @@ def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     reps = named.join(groups.select("digest", F.col("rep").alias("id")), ["digest", "id"], "left_semi")
     keys = bucket_keys(reps)
     crowded = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    keys = scratch.write(keys.join(crowded, "key").distinct(), "keys")
+    keys = scratch.write(keys.join(apart(crowded), "key").distinct(), "keys")
     ids = keys.select("id").distinct()
     bloom = spark.sparkContext.broadcast(id_filter(ids, ids.count()))
     sets = own.mapInArrow(sets_of(words, bloom), "id long, hashes array<long>").join(ids, "id", "left_semi")
     sets = scratch.write(sets, "sets")
-    labels = merge_buckets(scratch, keys, sets, percent)
+    lone = lone_shingles(sets)
+    sizes = sets.select("id", F.size("hashes").alias("size")).join(lone, "id", "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
+    keys = scratch.write(keys.join(sizes.where(100 * (F.col("size") - F.col("lone")) >= percent * F.col("size")), "id"), "members")
+    halves = sketches.where("id is not null").select("id", "halves")
+    labels = merge_buckets(scratch, keys, halves, sets, percent)
     roots = groups.join(labels.select(F.col("id").alias("rep"), "root"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("root"))
     component = F.when(F.col("id").isNotNull(), F.coalesce("root", "id"))
     kind = docs.schema[id_col].dataType
