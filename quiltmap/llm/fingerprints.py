@@ -144,7 +144,7 @@ def followed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(lowest)).alias("key"), F.coalesce(text_col, F.lit("")).alias("text"))
     count = 4 * partitions(spark)
     cuts = rows.select(F.col("key").cast("double").alias("x")).approxQuantile("x", [i / count for i in range(1, count)], 0.25 / count)
-    splits = [-math.inf, *sorted(set(cuts)), math.inf]
+    splits = [-math.inf, *sorted(set(cuts) or {0.0}), math.inf]
     range_of = Bucketizer(splits=splits, inputCol="x", outputCol="range")
     placed = range_of.transform(rows.withColumn("x", F.col("key").cast("double"))).withColumn("range", F.col("range").cast("int")).drop("x")
     heads = sorted((r["range"], r["head"]) for r in placed.groupBy("range").agg(F.min("key").alias("head")).collect())

@@ -176,7 +176,7 @@ def align(a: list[list], b: list[list], same_page: bool = False) -> list[list]:
 
 def join(x: list, y: list, same_page: bool) -> list:
     pages = max(x[3], y[3]) if same_page else x[3] + y[3]
-    return [x[0], x[1] or y[1], x[2] or y[2] or same_page, pages, x[4] if x[4] == y[4] else None, x[5] + y[5], x[6] + y[6], x[7] and y[7], x[8] or y[8], align(x[9], y[9], same_page) if x[9] else []]
+    return [x[0], x[1] or y[1], x[2] or y[2], pages, x[4] if x[4] == y[4] else None, x[5] + y[5], x[6] + y[6], x[7] and y[7], x[8] or y[8], align(x[9], y[9], same_page) if x[9] else []]
 
 
 def leaves(wrapper: list[list]):
