@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from quiltmap.functions.grid import EARTH_RADIUS, RETILE_WINDOW, WORLD_WIDTH
 from quiltmap.functions.pixels import BANDS
 from quiltmap.operators import kernels
-from quiltmap.session import spread
+from quiltmap.session import spread, written
 
 KEY = ["zoom", "col", "row"]
 MERGED = "zoom int, col int, row int, priority bigint, bands array<binary>, orders array<binary>"
@@ -65,14 +65,19 @@ def thin_overlaps(tiles: DataFrame, overlap: int, fan_in: int = FAN_IN, partitio
     """Merges inputs of one key in rounds until about ``fan_in`` are left.
 
     A key that a third of all inputs fall on is first dealt out over salted groups; merging is a
-    maximum, so the salt does not show in the result. No round runs when overlaps are shallow.
+    maximum, so the salt does not show in the result. Only keys with more than ``fan_in`` inputs take
+    part; all others, and tables without such keys, pass as they are.
     """
     rounds = max(math.ceil(math.log(max(overlap, 1), fan_in)) - 1, 0)
+    if not rounds:
+        return tiles
+    busy = written(tiles.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > fan_in).select(*KEY), "busy-keys")
+    calm, hot = tiles.join(busy, KEY, "left_anti"), tiles.join(busy, KEY, "left_semi")
     for left in range(rounds, 0, -1):
         salt = F.pmod(F.xxhash64(F.spark_partition_id(), "priority"), F.lit(fan_in**left))
-        salted = spread(tiles.withColumn("_salt", salt), *KEY, "_salt", at_least=partitions)
-        tiles = salted.groupBy(*KEY, "_salt").applyInArrow(kernels.merge_group(per_band=True), MERGED)
-    return tiles
+        salted = spread(hot.withColumn("_salt", salt), *KEY, "_salt", at_least=partitions)
+        hot = salted.groupBy(*KEY, "_salt").applyInArrow(kernels.merge_group(per_band=True), MERGED)
+    return calm.unionByName(hot)
 
 
 def mosaic_merge_tiles(tiles: DataFrame, dim: int, fan_in: int = FAN_IN) -> DataFrame:

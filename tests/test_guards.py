@@ -26,6 +26,17 @@ def test_halved_tiles_are_a_quarter_of_their_size(spark):
     assert (up.zoom, up.col, up.row) == (4, 1, 1) and {len(b) for b in up.bands} == {64}
 
 
+def test_only_busy_keys_take_extra_rounds(spark):
+    rows = [(9, 5, 5, i, [bytes([1 + i % 200]) * 16] * 3) for i in range(60)] + [(9, c, 1, 7, [bytes([c]) * 16] * 3) for c in range(1, 40)]
+    df = spark.createDataFrame(rows, TILES)
+    thin = tiles.thin_overlaps(tiles.as_merged(df), 60, fan_in=8)
+    plan = thin._jdf.queryExecution().executedPlan().toString()
+    calm = plan[plan.index("Union") :].split("FlatMapGroupsInArrow")[0]
+    assert "LeftAnti" in calm and "Exchange hashpartitioning" not in calm.split("BroadcastExchange")[0]
+    got = {(r.col, r.row): r.bands[0][0] for r in tiles.mosaic_merge_tiles(df, 4, fan_in=8).collect()}
+    assert got == {(5, 5): 60} | {(c, 1): c for c in range(1, 40)}
+
+
 def test_data_needs_a_priority_in_both_forms(spark):
     df = spark.createDataFrame([(5, 3, 2, None, [bytes([9]) * 16] * 3), (5, 3, 2, 1, [bytes([8]) * 16] * 3)], TILES)
     with pytest.raises(Exception, match="no priority"):
