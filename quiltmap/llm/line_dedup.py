@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltmap.llm.common import FILTER, SPACE, Scratch, chunks, filter_bits, holds, load, merged, put_twice, texts
+from quiltmap.llm.common import FILTER, SPACE, Scratch, apart, chunks, filter_bits, holds, load, merged, put_twice, texts
 
 #: Lines of a document that the filters are sized for.
 LINES_EXPECTED = 16
@@ -102,7 +102,7 @@ def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     repeated = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).where(F.col("n") >= min_docs)
     first = F.col("id").eqNullSafe(F.col("first")) if keep == "first" else F.lit(False)
     verdicts = (
-        found.join(repeated, "key")
+        found.join(apart(repeated), "key")
         .groupBy("id")
         .agg(F.collect_set(F.struct(F.col("key"), first.alias("first"))).alias("__repeated"))
         .withColumnRenamed("id", "__id")
