@@ -100,7 +100,7 @@ def put_twice(once: np.ndarray, twice: np.ndarray, hashes: np.ndarray) -> None:
 def chunks(once: np.ndarray, twice: np.ndarray) -> Iterator[pa.RecordBatch]:
     for start in range(0, len(once), CHUNK):
         a, b = once[start : start + CHUNK], twice[start : start + CHUNK]
-        if a.any():
+        if a.any() or b.any():
             yield pa.RecordBatch.from_arrays([pa.array([start // CHUNK], pa.int32()), pa.array([a.tobytes()], pa.binary()), pa.array([b.tobytes()], pa.binary())], ["chunk", "once", "twice"])
 
 

@@ -45,6 +45,15 @@ def test_line_dedup(docs, none):
     assert line_dedup.line_dedup(none).count() == 0
 
 
+def test_line_dedup_of_one_partition_of_copies(spark):
+    """All lines of the task occur twice within a slice, so none of its keys is in the first filter."""
+    docs = spark.createDataFrame([(i, "one line\nanother") for i in range(12)], "doc_id long, text string").repartition(1)
+    got = line_dedup.line_dedup(docs).collect()
+    assert len(got) == 12 and {(r.text, r.n_lines, r.n_dropped) for r in got} == {("", 2, 2)}
+    first = {r.doc_id: (r.text, r.n_dropped) for r in line_dedup.line_dedup(docs, keep="first").collect()}
+    assert first == {i: ("", 2) if i else ("one line\nanother", 0) for i in range(12)}
+
+
 def test_near_dedup(docs, none):
     got = minhash_dedup.near_dedup(docs, words=4).collect()
     assert len(got) == len(rows())
