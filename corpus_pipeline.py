@@ -43,7 +43,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens: one row for each piece of a document."""
-    return packing.digest(packing.pack(docs, path=packing.default_path()))
+    return packing.digest(packing.pack(docs, path=packing.default_path(), added=True))
 
 
 STAGES = [

@@ -43,39 +43,50 @@ def byte_letters() -> dict[str, int]:
 class Vocabulary:
     """Token ids, as little-endian 32-bit bytes, by the vocabulary of a byte-level tokenizer file.
 
-    Where no two white-space characters meet, the pattern needs no look-ahead and splits twice as fast.
+    With ``added`` the file's added tokens are found in the text first, each is its one id, and what lies
+    between them is split on its own; without it they are text like any other. Where no two white-space characters meet, the pattern needs no look-ahead and splits twice as fast.
     """
 
     ADJACENT = re.compile(r"\s\s")
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         import tiktoken
 
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
-        special = {t["content"] for t in model["added_tokens"]}
+        special = {t["content"]: t["id"] for t in model["added_tokens"]}
         letters = byte_letters()
         # ids follow the order of the merges, so they serve as ranks
         ranks = {bytes(letters[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in special}
         self.any, self.single = (tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={}) for name, pattern in (("any", PATTERN), ("single", PATTERN.replace(r"\s+(?!\S)|", ""))))
+        if added and any(t[k] for t in model["added_tokens"] for k in ("single_word", "lstrip", "rstrip")):
+            raise ValueError(f"{path}: added tokens that depend on their neighbours are not supported")
+        self.added = {text: array("I", [i]).tobytes() for text, i in special.items()} if added else {}
+        # of tokens that begin at one place the longest counts
+        self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
 
     def encode(self, text: str) -> bytes:
+        if self.split and self.split.search(text):
+            return b"".join(self.added.get(part) or self.ordinary(part) for part in self.split.split(text) if part)
+        return self.ordinary(text)
+
+    def ordinary(self, text: str) -> bytes:
         encoding = self.any if self.ADJACENT.search(text) else self.single
         return array("I", encoding.encode_ordinary(text)).tobytes()
 
 
-_vocabularies: dict[str, Vocabulary] = {}
+_vocabularies: dict[tuple[str, bool], Vocabulary] = {}
 
 
-def vocabulary(path: str) -> Vocabulary:
-    if path not in _vocabularies:
-        _vocabularies[path] = Vocabulary(path)
-    return _vocabularies[path]
+def vocabulary(path: str, added: bool = False) -> Vocabulary:
+    if (path, added) not in _vocabularies:
+        _vocabularies[path, added] = Vocabulary(path, added)
+    return _vocabularies[path, added]
 
 
-def encode_all(some: list[str | None], path: str, end: int):
+def encode_all(some: list[str | None], path: str, end: int, added: bool = False):
     """For each text the bytes of its ids with the end id."""
-    vocab, stop = vocabulary(path), array("I", [end]).tobytes()
+    vocab, stop = vocabulary(path, added), array("I", [end]).tobytes()
     for text in some:
         yield vocab.encode(text or "") + stop
 
@@ -100,7 +111,7 @@ def assign(lengths: np.ndarray, capacity: int, linear: float = LINEAR, quadratic
     return out
 
 
-def pack_task(path: str, capacity: int, end: int):
+def pack_task(path: str, capacity: int, end: int, added: bool = False):
     """Cuts and packs the documents of a task: full pieces at once, rests run by run."""
 
     def call(batches):
@@ -121,7 +132,7 @@ def pack_task(path: str, capacity: int, end: int):
             kind = batch.schema.field(0).type
             for at in range(0, batch.num_rows, 512):
                 part, full = batch.slice(at, 512), []
-                for own, data in zip(part.column(0).to_pylist(), encode_all(part.column(1).to_pylist(), path, end), strict=True):
+                for own, data in zip(part.column(0).to_pylist(), encode_all(part.column(1).to_pylist(), path, end, added), strict=True):
                     n = len(data) // 4
                     whole = n - n % capacity
                     for begin in range(0, whole, capacity):
@@ -147,18 +158,19 @@ def _batch(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
     )
 
 
-def pack(docs: DataFrame, *, path: str, capacity: int = CAPACITY, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, *, path: str, capacity: int = CAPACITY, end: int = END, id_col: str = "doc_id", text_col: str = "text", added: bool = False) -> DataFrame:
     """``<id_col>, start, length, doc_tokens, ids, sequence_id, offset``: one row per piece.
 
     ``ids`` holds the piece's token ids as little-endian 32-bit integers, ``start`` the ids of its document
     before it, ``offset`` its place in the sequence. Every document ends with the id ``end``; null and
-    empty texts are that id alone. Rows with equal or null ids are documents of their own. Sequence ids are
+    empty texts are that id alone. With ``added`` an added token of the file that stands in a text is its one
+    id, as the tokenizer has it by default; else it is split like other text. Rows with equal or null ids are documents of their own. Sequence ids are
     unique, and the same again for the same partitions. An empty table gives an empty one; other columns
     are ignored.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return own.mapInArrow(pack_task(path, capacity, end), f"id {kind}, {PIECE}").withColumnRenamed("id", id_col)
+    return own.mapInArrow(pack_task(path, capacity, end, added), f"id {kind}, {PIECE}").withColumnRenamed("id", id_col)
 
 
 def default_path() -> str:
@@ -168,7 +180,7 @@ def default_path() -> str:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest(pack(load(spark, sf_dir, "documents"), path=default_path()))
+    return digest(pack(load(spark, sf_dir, "documents"), path=default_path(), added=True))
 
 
 def digest(packed: DataFrame) -> DataFrame:

@@ -205,6 +205,23 @@ def test_packing_round_trip(spark, sf_dir):
     assert used / (2048 * len(fill)) > 0.9
 
 
+def test_op4_and_pipeline_have_the_ids_of_the_tokenizer_as_it_is(spark, tmp_path):
+    """Added tokens within texts, at their ends, side by side and next to white space."""
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    tokenizer, end = Tokenizer.from_file(packing.default_path()), "<|endoftext|>"
+    texts = [f"a{end}b", end, end + end, f"a  {end}  b {end}", f"{end}\n\n it's", f"<|endoftext|{end}|>", "plain  text", "<|ENDOFTEXT|>", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = {i: tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for i, t in enumerate(texts)}
+    assert want[0] == [64, 50256, 65, 1]
+    want = {(i, zlib.crc32(np.asarray(ids, "<u4").tobytes()), len(ids)) for i, ids in want.items()}
+    for got in (QUERIES["op4_packing"](spark, str(tmp_path)), corpus_pipeline.pack(spark, docs, str(tmp_path))):
+        assert {(r.doc_id, r.ids_crc32, r.doc_tokens) for r in got.collect()} == want
+
+
 def test_packing_balances_cost():
     lengths = np.random.default_rng(1).integers(1, 2048, 300)
     cut = packing.assign(lengths, 2048)
