@@ -4,7 +4,8 @@ A page is a stream of slots: the path of open block elements of each text block.
 become repeated groups. The streams of a host are aligned one after the other; what only one side has
 becomes optional, texts that differ become text slots. Tasks infer wrappers of the hosts they see, partial
 wrappers are aligned in turn, salted first, so a host of any size costs its tasks one wrapper each. A
-wrapper says which slots hold the main text of its host's pages; each page is then read slot by slot.
+wrapper says which slots hold the main text of its host's pages; each page is then read slot by slot. Pages
+with and without an article have wrappers of their own, and a page takes the heaviest container that it has.
 """
 
 from __future__ import annotations
@@ -187,22 +188,65 @@ def leaves(wrapper: list[list]):
             yield node
 
 
-def content(wrapper: list[list]) -> list[str]:
-    """The slots of the main text: those in an article, else those in the container with most text that varies and is no link."""
-    spoken = [x for x in leaves(wrapper) if not x[7]]
-    inside = sorted({x[0] for x in spoken if x[8]})
-    if inside:
-        return inside
+def containers(spoken: list[list]) -> dict[str, float]:
+    """The containers with their text that varies and is no link, in characters."""
     weight: dict[str, float] = {}
     for key, _, repeated, pages, digest, chars, linked, *_ in spoken:
         if (pages < 2 or digest is None or repeated) and linked * 2 <= chars:
             above = key.rpartition(">")[0]
             weight[above] = weight.get(above, 0) + chars - linked
-    if not weight:
-        return sorted({x[0] for x in spoken if x[6] * 2 <= x[5]})
-    best = max(weight, key=lambda k: (weight[k], k))
-    constant = {x[0] for x in spoken if x[3] > 1 and x[4] is not None and not x[2]}
-    return sorted({x[0] for x in spoken if (x[0] + ">").startswith(best + ">") and x[0] not in constant})
+    return weight
+
+
+def rule(pair: list) -> dict:
+    """What the wrappers of a host's pages with and without an article say about main text.
+
+    ``inside`` are the slots in articles. For the other pages: ``weight`` of containers, ``constant`` slots, of these
+    ``fixed`` ones that all pages have, and ``plain`` slots that count where no text varies.
+    """
+    article, other = ([x for x in leaves(w or []) if not x[7]] for w in pair)
+    weight = containers(other)
+    constant = [x for x in other if x[3] > 1 and x[4] is not None and not x[2]]
+    return {
+        "inside": sorted({x[0] for x in article if x[8]}),
+        "weight": weight,
+        "constant": sorted({x[0] for x in constant}),
+        "fixed": sorted({x[0] for x in constant if not x[1]}),
+        "plain": [] if weight else sorted({x[0] for x in other if x[6] * 2 <= x[5]}),
+    }
+
+
+class Rule:
+    """Reads pages by a host's rule."""
+
+    def __init__(self, found: dict):
+        self.weight = found["weight"]
+        self.inside, self.constant, self.fixed, self.plain = (frozenset(found[k]) for k in ("inside", "constant", "fixed", "plain"))
+
+    def under(self, slots: set[str]) -> set[str]:
+        """Of a page's slots those under the heaviest container that it has text in."""
+        varied, best = slots - self.constant, None
+        for slot in varied:
+            at = len(slot)
+            while at > 0:
+                if (above := slot[:at]) in self.weight:
+                    best = max(best or (-1.0, ""), (self.weight[above], above))
+                at = slot.rfind(">", 0, at)
+        return {x for x in varied if (x + ">").startswith(best[1] + ">")} if best else set()
+
+    def main(self, found: list[tuple]) -> str:
+        """The main text: the page's articles, else the host's containers, else what the page alone says."""
+        spoken = [x for x in found if not x[2]]
+        if any(x[3] for x in spoken):
+            keep = self.inside
+        else:
+            slots = {x[0] for x in spoken}
+            keep = self.under(slots) or slots & self.plain
+            if not keep and (rest := [x for x in spoken if x[0] not in self.fixed]):
+                own = Rule(rule([None, stream(rest)]))
+                rested = {x[0] for x in rest}
+                keep = own.under(rested) or rested & own.plain
+        return "\n".join(x[1] for x in spoken if x[0] in keep)
 
 
 def expression(wrapper: list[list]) -> str:
@@ -214,13 +258,19 @@ def expression(wrapper: list[list]) -> str:
     return " ".join(out)
 
 
+def either(a: list[list] | None, b: list[list] | None) -> list[list] | None:
+    return align(a, b) if a and b else a or b
+
+
 def infer(batches):
-    """``host, wrapper`` of the pages of a task; wrappers are handed on when there are many."""
-    seen: dict[str, list[list]] = {}
+    """``host, wrapper`` of the pages of a task, a wrapper of those with an article and one of the others; they are handed on when there are many."""
+    seen: dict[str, list] = {}
     for batch in batches:
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            found = stream(blocks(page or ""))
-            seen[host] = align(seen[host], found) if host in seen else found
+            pair = seen.setdefault(host, [None, None])
+            if found := blocks(page or ""):
+                side = 0 if any(article and not silent for _, _, silent, article, _ in found) else 1
+                pair[side] = either(pair[side], stream(found))
         if len(seen) > 2000:
             yield _rows(seen)
             seen = {}
@@ -228,21 +278,21 @@ def infer(batches):
         yield _rows(seen)
 
 
-def _rows(seen: dict[str, list[list]]) -> pa.RecordBatch:
+def _rows(seen: dict[str, list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array([json.dumps(w) for w in seen.values()], pa.string())], ["host", "wrapper"])
 
 
 def meet(table: pa.Table) -> pa.Table:
-    """The partial wrappers of a host as one."""
+    """The partial wrappers of a host as one pair."""
     parts = sorted(table.column("wrapper").to_pylist())
     whole = json.loads(parts[0])
     for part in parts[1:]:
-        whole = align(whole, json.loads(part))
+        whole = [either(a, b) for a, b in zip(whole, json.loads(part), strict=True)]
     return pa.table({"host": table.column("host").slice(0, 1), "wrapper": [json.dumps(whole)]})
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """``host, wrapper`` from ``host, html``."""
+    """``host, wrapper`` from ``host, html``: the wrappers of pages with and without an article."""
     parts = pages.select("host", "html").mapInArrow(infer, "host string, wrapper string")
     salted = parts.groupBy("host", (F.abs(F.xxhash64("wrapper")) % 32).alias("salt")).applyInArrow(meet, "host string, wrapper string")
     return salted.groupBy("host").applyInArrow(meet, "host string, wrapper string")
@@ -253,7 +303,7 @@ def extract(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", i
 
     Blocks of white space turned into one space and trimmed are joined in page order by one newline. Null,
     empty and blank pages, and pages without main text, give an empty text. Pages without a host share one
-    wrapper. Repeated rows and very long pages are read like any other. An empty table gives an empty one.
+    pair of wrappers. A page that fits no container of its host is read by itself. Repeated rows and very long pages are read like any other. An empty table gives an empty one.
     """
     scratch = Scratch(pages.sparkSession, "html")
     own = [c for c in pages.columns if c != into]
@@ -262,19 +312,19 @@ def extract(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", i
 
     def decide(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([content(json.loads(w)) for w in batch.column(1).to_pylist()], pa.list_(pa.string()))], ["__host", "__slots"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([json.dumps(rule(json.loads(w))) for w in batch.column(1).to_pylist()], pa.string())], ["__host", "__rule"])
 
-    slots = scratch.write(found.mapInArrow(decide, "__host string, __slots array<string>"), "slots")
-    joined = pages.select(*own, host.alias("__host")).join(apart(slots), "__host", "left").select(*own, "__slots")
+    rules = scratch.write(found.mapInArrow(decide, "__host string, __rule string"), "rules")
+    joined = pages.select(*own, host.alias("__host")).join(apart(rules), "__host", "left").select(*own, "__rule")
     at = own.index(html_col)
 
     def read(batches):
         for batch in batches:
-            out, known, keep = [], None, frozenset()
-            for page, slots in zip(batch.column(at).to_pylist(), batch.column(len(own)).to_pylist(), strict=True):
-                if slots != known:
-                    known, keep = slots, frozenset(slots or ())
-                out.append("\n".join(text for slot, text, silent, *_ in blocks(page or "") if not silent and slot in keep))
+            out, known, host_rule = [], None, None
+            for page, text in zip(batch.column(at).to_pylist(), batch.column(len(own)).to_pylist(), strict=True):
+                if text != known:
+                    known, host_rule = text, Rule(json.loads(text))
+                out.append(host_rule.main(blocks(page or "")))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.string())], [*own, into])
 
     return joined.mapInArrow(read, pages.select(*own).schema.add(into, "string"))

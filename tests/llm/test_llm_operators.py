@@ -94,6 +94,27 @@ def test_extraction_without_an_article_element(spark):
     assert {r.page_id: r.text for r in got} == want
 
 
+def test_extraction_of_hosts_with_several_templates(spark):
+    """Article pages, two containers and a page of copies on one host, and the same without a host."""
+    rng = random.Random(4)
+    text = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    frame = "<body><div class=top>Our site</div>{}<div class=foot>All rights</div></body>"
+    rows, want = [], {}
+    copied = text(40)
+    for i in range(18):
+        main = text(60 if i % 3 else 20)
+        shape = ("<article><h1>{}</h1></article>", "<div class=content><p>{}</p></div>", "<div class=post><p>{}</p></div>")[i % 3]
+        if i > 15:
+            main, shape = copied, "<section class=copy><p>{}</p></section>"
+        for k, url in ((i, "http://h/"), (100 + i, None)):
+            rows.append((k, url, frame.format(shape.format(main))))
+            want[k] = main
+    rows.append((50, "http://h/", frame.format("")))
+    want[50] = ""
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == want
+
+
 def test_wrappers_fold_squares_and_options():
     page = lambda n, extra: "<body><div class=t>Top</div><article>" + "".join(f"<h2>a{i}</h2><p>b</p><p>c</p>" for i in range(n)) + "</article>" + extra + "</body>"
     one, two = (html_extract.stream(html_extract.blocks(p)) for p in (page(3, ""), page(2, "<div class=z>end</div>")))
