@@ -19,7 +19,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltmap.llm.common import load, partitions
+from quiltmap.llm.common import Scratch, apart, load, partitions
+from quiltmap.llm.components import components
+from quiltmap.llm.minhash_dedup import OUTSIDERS
 
 #: Coin flips repeat after PERIOD steps; characters fall into CLASSES; samples of an octave of positions.
 PERIOD, CLASSES, SAMPLES = 4096, 64, 64
@@ -28,6 +30,8 @@ GROUP_TEXTS, GROUP_CHARS, FEW = 1024, 3_000_000, 16
 COLUMN = 512
 DIGITS = np.frombuffer(b"0123456789abcdef-", np.uint8)
 BANDS, BAND = 16, 6
+#: Places drawn for each digit of a band, as some lie beyond a text's end.
+SPARE = 8
 
 
 def _strides() -> np.ndarray:
@@ -127,7 +131,7 @@ def likeness(a: str, b: str) -> float:
         return 1.0
     n = max(len(a), len(b))
     x, y = (np.frombuffer(s.ljust(n, "-").encode(), np.uint8) for s in (a, b))
-    weight = np.repeat(np.asarray([1, *(1 << max(0, o - 1) for o in range(1, n // SAMPLES))], float), SAMPLES)
+    weight = weights(n)
     valid = (x != 45) | (y != 45)
     share = float((weight * (valid & (x == y))).sum() / (weight * valid).sum())
     return max(0.0, (share - 1 / 16) / (15 / 16))
@@ -214,25 +218,49 @@ def edit_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     return followed(docs, id_col, text_col).mapInArrow(compare, schema).withColumnRenamed("id", id_col)
 
 
+def weights(size: int) -> np.ndarray:
+    """The positions that each sample of a fingerprint stands for."""
+    return np.repeat(np.asarray([1, *(1 << max(0, o - 1) for o in range(1, size // SAMPLES))], float), SAMPLES)
+
+
 @functools.cache
-def band_places() -> np.ndarray:
-    """The samples of each band, from all octaves of a text alike: places as shares of a fingerprint."""
-    return np.random.default_rng(3).random((BANDS, BAND))
+def band_places(size: int) -> np.ndarray:
+    """The samples that each band may take from a fingerprint of so many, drawn by their weights."""
+    ends = np.cumsum(weights(size))
+    return np.searchsorted(ends / ends[-1], np.random.default_rng(3).random((BANDS, SPARE * BAND)), side="right")
 
 
 def bands(print_: str) -> list[str]:
-    """Bands of sampled digits, each from a text's last octaves or the one before, so near lengths share some."""
+    """Bands of sampled digits, each from a text's last octaves or the one before, so near lengths share some.
+
+    A band has the first digits of its places that lie within the text.
+    """
     out = []
     for size in {len(print_), max(SAMPLES, len(print_) - SAMPLES)} if print_ else ():
-        places = np.sort((band_places() * size).astype(int), axis=1)
-        out += [f"{size}:{k}:" + "".join(print_[p] for p in row) for k, row in enumerate(places)]
+        out += [f"{size}:{k}:" + "".join(c for p in row if (c := print_[p]) != "-")[:BAND] for k, row in enumerate(band_places(size).tolist())]
     return out
 
 
+def alike(pairs: DataFrame, prints: DataFrame, least: float) -> DataFrame:
+    """``a, b, likeness`` of the pairs ``a, b`` that are alike enough by their whole fingerprints ``id, print``."""
+    first, second = (prints.select(F.col("id").alias(x), F.col("print").alias(f"{x}_print")) for x in "ab")
+    both = pairs.join(second, "b").join(first, "a").select("a", "b", "a_print", "b_print")
+
+    def verify(batches):
+        for batch in batches:
+            found = [likeness(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], ["a", "b", "likeness"])
+
+    kind = prints.schema["id"].dataType.simpleString()
+    return both.mapInArrow(verify, f"a {kind}, b {kind}, likeness double").where(F.col("likeness") >= least)
+
+
 def near_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8) -> DataFrame:
-    """``a, b, likeness``: texts that share a band with a smaller id and whose whole fingerprints are alike, with the smallest id of each such band.
+    """``a, b, likeness``, ``a`` the smaller id: links between texts that share a band and whose whole fingerprints are alike.
 
-    Texts are compared with the smallest id of a band, so a band of any size gives one row per text.
+    Any two such texts are linked, directly or by way of others. All texts of a band are compared with its smallest
+    id; where that leaves several components in a band, those outside its largest are compared, in turns, with all
+    of other components. So a band of near copies gives one row per text. Null ids are left out.
     """
 
     def prints(batches):
@@ -240,19 +268,30 @@ def near_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
             found = fingerprints([t or "" for t in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string()), pa.array([bands(f) for f in found], pa.list_(pa.string()))], ["id", "print", "bands"])
 
+    scratch = Scratch(docs.sparkSession, "near-texts")
     kind = docs.schema[id_col].dataType.simpleString()
-    own = docs.select(id_col, text_col).mapInArrow(prints, f"id {kind}, print string, bands array<string>")
-    keys = own.select("id", "print", F.explode("bands").alias("band"))
-    hubs = keys.groupBy("band").agg(F.min("id").alias("a"))
-    pairs = keys.join(hubs, "band").where("id <> a").select("a", F.col("id").alias("b"), "print").distinct()
-    both = pairs.join(own.select(F.col("id").alias("a"), F.col("print").alias("hub_print")), "a")
-
-    def verify(batches):
-        for batch in batches:
-            alike = [likeness(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(alike, pa.float64())], ["a", "b", "likeness"])
-
-    return both.select("a", "b", "print", "hub_print").mapInArrow(verify, f"a {kind}, b {kind}, likeness double").where(F.col("likeness") >= least)
+    own = docs.where(F.col(id_col).isNotNull()).select(id_col, text_col).mapInArrow(prints, f"id {kind}, print string, bands array<string>")
+    own = scratch.write(own, "prints")
+    keys = own.select("id", F.explode("bands").alias("band")).distinct()
+    hubs = keys.groupBy("band").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    keys = scratch.write(keys.join(apart(hubs), "band").drop("n"), "keys")
+    stars = scratch.write(alike(keys.where("id <> a").select("a", F.col("id").alias("b")).distinct(), own, least), "stars")
+    labels = components(stars.select("a", "b"), scratch, "components").withColumnRenamed("node", "id")
+    placed = scratch.write(keys.join(labels, "id", "left").select("band", "id", F.coalesce("root", "id").alias("root")), "placed")
+    parts = placed.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
+    mixed = parts.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), F.sum("n").alias("members"), F.max("n").alias("most")).where("most < members")
+    turns = F.ceil((F.col("members") - F.col("most")) / OUTSIDERS)
+    turn = F.when(F.col("root") != F.col("largest"), F.pmod(F.xxhash64("id"), turns)).cast("int")
+    open_ = scratch.write(placed.join(apart(mixed), "band").select("band", "id", "root", turn.alias("turn")), "open")
+    last = open_.agg(F.max("turn")).first()[0]
+    links = stars
+    for now in range(0 if last is None else last + 1):
+        outsiders = open_.where(F.col("turn") == now).select("band", F.col("id").alias("hub"), F.col("root").alias("hub_root"))
+        untested = F.col("turn").isNull() | (F.col("turn") > now) | ((F.col("turn") == now) & (F.col("id") > F.col("hub")))
+        pairs = open_.join(outsiders, "band").where((F.col("root") != F.col("hub_root")) & untested)
+        pairs = pairs.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
+        links = links.union(scratch.write(alike(pairs, own, least), f"links-{now}"))
+    return links.distinct()
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

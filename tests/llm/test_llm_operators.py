@@ -323,3 +323,27 @@ def test_near_texts_finds_edited_copies(spark):
     rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t[:700] + "Z" + t[700:]) for i, t in enumerate(texts[:10])]
     found = {(r.a, r.b) for r in fingerprints.near_texts(spark.createDataFrame(rows, "doc_id long, text string"), least=0.5).collect()}
     assert found <= {(i, 100 + i) for i in range(10)} and len(found) >= 8
+
+
+def test_near_texts_links_copies_behind_outlying_hubs(spark):
+    """Families whose smaller ids are alike in part only: every near pair is joined, as among all pairs."""
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    rows = []
+    for family in range(3):
+        base = text(3000)
+        for k in range(40):
+            at = rng.randrange(2000)
+            rows.append((1000 * family + k, base[:at] + text(1000) + base[at + 1000 :]))
+        rows += [(1000 * family + 500 + k, text(60) + base[60:] if k % 2 else base[: 600 * k] + "Z" + base[600 * k :]) for k in range(4)]
+    prints = dict(zip([i for i, _ in rows], fingerprints.fingerprints([t for _, t in rows]), strict=True))
+    near = {(a, b) for a in prints for b in prints if a < b and fingerprints.likeness(prints[a], prints[b]) >= 0.8}
+    assert {a // 1000 for a, b in near if a % 1000 >= 500} == {0, 1, 2}
+    found = {(r.a, r.b) for r in fingerprints.near_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found <= near
+    root = {i: i for i in prints}
+    for _ in prints:
+        for a, b in found:
+            root[a] = root[b] = min(root[a], root[b])
+    joined = sum(root[a] == root[b] for a, b in near)
+    assert joined >= 0.99 * len(near), (joined, len(near))
