@@ -4,8 +4,8 @@ Per host the paths are generalised segment by segment from the root: where a nod
 segments, those that hold few of its pages become a wildcard (a file extension stays). Branches of a node
 whose children are distributed alike, by a chi-square test against all branches together, are merged. The
 pages that a rule decides are the labels: along its path each template's share of blocked labels is
-smoothed towards the share of the branch above, and templates of high purity are rejected. Everything is
-DataFrame expressions; counts are aggregated before they are joined, and no key is gathered in one row.
+smoothed towards the share of the branch above, and templates of high purity are rejected. A branch that
+neither has labels nor is merged with one that has starts again from the prior. Everything is DataFrame expressions; counts are aggregated before they are joined, and no key is gathered in one row.
 """
 
 from __future__ import annotations
@@ -91,7 +91,8 @@ def purities(paths: DataFrame, scratch: Scratch) -> DataFrame:
         F.when(F.col("alike"), F.col("all_blocked")).otherwise(F.col("blocked")).alias("b"),
     )
     chain = leaf.select("host", F.col("node").alias("leaf"), F.posexplode("nodes").alias("depth", "node")).join(judged, ["host", "node"]).groupBy("host", "leaf").agg(F.array_sort(F.collect_list(F.struct("depth", "l", "b"))).alias("chain"))
-    purity = F.aggregate("chain", F.lit(PRIOR), lambda p, x: (x["b"] + PRIOR_LABELS * p) / (x["l"] + PRIOR_LABELS))
+    # a host's labels say nothing of a branch that is unlike all labelled ones
+    purity = F.aggregate("chain", F.lit(PRIOR), lambda p, x: F.when(x["l"] == 0, PRIOR).otherwise((x["b"] + PRIOR_LABELS * p) / (x["l"] + PRIOR_LABELS)))
     return chain.select("host", F.col("leaf").alias("node"), purity.alias("purity"))
 
 

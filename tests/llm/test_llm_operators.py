@@ -277,6 +277,15 @@ def test_templates_of_blocked_branches_are_rejected(spark):
     assert [r.verdict for r in got if r.kind is None] == ["allow"]
 
 
+def test_branches_unlike_the_blocked_ones_are_kept(spark):
+    """Hosts of two sizes whose only labels are blocks; a branch like a blocked one goes with it."""
+    rows = [(f"http://n{size}.example.net/{lang}/{i}{end}", lang) for size in (3, 40) for lang, end in (("es", ".html"), ("fr", ".html"), ("en", "/a"), ("pt", ".html")) for i in range(size)]
+    got = url_filters.url_filter(spark.createDataFrame(rows, "url string, lang string")).collect()
+    seen = {(r.host, r.lang, r.verdict) for r in got}
+    assert {(h, lang, v) for h, lang, v in seen if lang != "pt"} == {(f"n{size}.example.net", lang, "allow" if lang == "en" else "block") for size in (3, 40) for lang in ("es", "fr", "en")}
+    assert all(r.purity == url_filters.PRIOR for r in got if r.lang == "en")
+
+
 def walk_slowly(text):
     """What the walk writes, step by step."""
     steps, at, heads = [], 0, fingerprints.STRIDES.reshape(fingerprints.CLASSES, -1)
