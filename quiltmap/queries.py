@@ -355,11 +355,7 @@ def image_blocks(spark, sf) -> DataFrame:
 @query
 def chunk_sample_tiles(spark, sf):
     windows = tiles.retile_blocks(image_blocks(spark, sf), ["image_id", "zoom", "col_min", "row_min"], WINDOW)
-    placed = metric_source(windows)
-    pieces = placed.withColumn("left", F.col("left") + F.col("x0") * F.col("res")).withColumn(
-        "top", F.col("top") - F.col("y0") * F.col("res")
-    )
-    chunks = tiles.sample_pieces(pieces, ["image_id"], fx.TILE)
+    chunks = tiles.sample_pieces(metric_source(windows), ["image_id"], fx.TILE)
     drawn = tiles.tile_explode(chunks.withColumn("priority", F.lit(0).cast("bigint")), ["image_id", "zoom"], fx.TILE)
     return drawn.drop("priority")
 
