@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quiltmap.llm import exact_dedup, fingerprints, html_extract, line_dedup, minhash_dedup, mixing, packing, tool_calls, toxicity, url_filters
+from quiltmap.llm import exact_dedup, fingerprints, html_extract, line_dedup, minhash_dedup, mixing, packing, periodic_runs, tool_calls, toxicity, url_filters
 
 QUERIES = {
     "op1_html_extraction": html_extract.op1_html_extraction,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_url_filters": url_filters.op8_url_filters,
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_minhash_dedup": minhash_dedup.op10_minhash_dedup,
+    "op11_periodic_runs": periodic_runs.op11_periodic_runs,
 }
 
 ORACLE = {
@@ -22,4 +23,5 @@ ORACLE = {
     "op6_exact_dedup": exact_dedup.SQL,
     "op7_line_dedup": line_dedup.SQL,
     "op10_minhash_dedup": minhash_dedup.SQL,
+    "op11_periodic_runs": periodic_runs.SQL,
 }
