@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quiltmap.llm import exact_dedup, fingerprints, html_extract, line_dedup, minhash_dedup, mixing, packing, periodic_runs, tool_calls, toxicity, url_filters
+from quiltmap.llm import exact_dedup, fingerprints, html_extract, line_dedup, minhash_dedup, mixing, packing, periodic_runs, substring_dedup, tool_calls, toxicity, url_filters
 
 QUERIES = {
     "op1_html_extraction": html_extract.op1_html_extraction,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_minhash_dedup": minhash_dedup.op10_minhash_dedup,
     "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+    "op12_substring_dedup": substring_dedup.op12_substring_dedup,
 }
 
 ORACLE = {
@@ -24,4 +25,5 @@ ORACLE = {
     "op7_line_dedup": line_dedup.SQL,
     "op10_minhash_dedup": minhash_dedup.SQL,
     "op11_periodic_runs": periodic_runs.SQL,
+    "op12_substring_dedup": substring_dedup.SQL,
 }
