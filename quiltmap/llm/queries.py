@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quiltmap.llm import exact_dedup, fingerprints, html_extract, line_dedup, minhash_dedup, mixing, packing, periodic_runs, substring_dedup, tool_calls, toxicity, url_filters
+from quiltmap.llm import exact_dedup, fingerprints, hard_negatives, html_extract, line_dedup, minhash_dedup, mixing, packing, periodic_runs, substring_dedup, tool_calls, toxicity, url_filters
 
 QUERIES = {
     "op1_html_extraction": html_extract.op1_html_extraction,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_minhash_dedup": minhash_dedup.op10_minhash_dedup,
     "op11_periodic_runs": periodic_runs.op11_periodic_runs,
     "op12_substring_dedup": substring_dedup.op12_substring_dedup,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
 ORACLE = {
@@ -26,4 +27,5 @@ ORACLE = {
     "op10_minhash_dedup": minhash_dedup.SQL,
     "op11_periodic_runs": periodic_runs.SQL,
     "op12_substring_dedup": substring_dedup.SQL,
+    "op13_hard_negatives": hard_negatives.SQL,
 }
