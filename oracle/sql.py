@@ -392,7 +392,16 @@ ORACLE: dict[str, str] = {
             UNION ALL SELECT * FROM ({halved(f"({merged('pixels')})")})""",
         *RASTER,
     ),
-    "distinct_bounds": with_("SELECT DISTINCT zoom, col, row FROM cover", *GRID),
+    "distinct_tiles": with_("SELECT DISTINCT zoom, col, row FROM cover", *GRID),
+    "distinct_bounds": with_(
+        """SELECT zoom, CAST(min(col) AS INT) AS col_min, row_min, CAST(max(col) AS INT) AS col_max, row_max
+           FROM (SELECT *, col - row_number() OVER (PARTITION BY zoom, row_min, row_max ORDER BY col) AS run
+                 FROM (SELECT zoom, col, CAST(min(row) AS INT) AS row_min, CAST(max(row) AS INT) AS row_max
+                       FROM (SELECT zoom, col, row, row - row_number() OVER (PARTITION BY zoom, col ORDER BY row) AS island
+                             FROM (SELECT DISTINCT zoom, col, row FROM cover)) GROUP BY zoom, col, island))
+           GROUP BY zoom, row_min, row_max, run""",
+        *GRID,
+    ),
     "job_status": """SELECT job_id, stage, arg_max(status, moment) AS status, max(moment)['event_id'] AS event_id, count(*) AS updates
       FROM (SELECT user_id AS job_id, CASE WHEN event_id % 2 = 0 THEN 'chunk' ELSE 'mosaic' END AS stage,
             CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'purchase' THEN 'FINISHED' ELSE 'STARTED' END AS status,

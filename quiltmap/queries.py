@@ -569,6 +569,11 @@ def union_inputs(spark, sf):
     return mosaic.union_inputs([native, mosaic.zoom_up(mosaic.mosaic_merge(source))])
 
 
+@query
+def distinct_tiles(spark, sf):
+    return cover.distinct_tiles(rects(spark, sf))
+
+
 @query
 def distinct_bounds(spark, sf):
     return cover.distinct_bounds(rects(spark, sf))

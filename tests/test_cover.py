@@ -1,0 +1,65 @@
+"""Rectangles without overlaps and the area of their union, against sets of tiles."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from quiltmap.operators import cover
+
+RECTS = "zoom int, col_min int, row_min int, col_max int, row_max int"
+
+
+def tiles_of(rows):
+    return [(z, c, r) for z, c0, r0, c1, r1 in rows for c in range(c0, c1 + 1) for r in range(r0, r1 + 1)]
+
+
+def some_rects(seed, n=40):
+    draw = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        z, c, r = draw.choice([4, 5]), draw.randrange(12), draw.randrange(12)
+        rows.append((z, c, r, c + draw.randrange(-1, 5), r + draw.randrange(-1, 5)))
+    return rows + rows[:3]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_disjoint_and_whole(spark, seed):
+    rows = some_rects(seed)
+    got = [tuple(r) for r in cover.distinct_bounds(spark.createDataFrame(rows, RECTS)).collect()]
+    tiles = tiles_of(got)
+    assert len(tiles) == len(set(tiles)) and set(tiles) == set(tiles_of(rows))
+    counts = {r.zoom: r.tiles for r in cover.tile_counts_merged(spark.createDataFrame(rows, RECTS)).collect()}
+    want = {z: {(c >> (zz - z), r >> (zz - z)) for zz, c, r in tiles if zz >= z} for z in (2, 3, 4, 5)}
+    assert counts == {z: len(keys) for z, keys in want.items()}
+
+
+def test_size_does_not_follow_the_area(spark):
+    rows = some_rects(7)
+    small = cover.distinct_bounds(spark.createDataFrame(rows, RECTS)).count()
+    wide = [(z + 12, c0 * 4096, r0 * 4096, (c1 + 1) * 4096 - 1, (r1 + 1) * 4096 - 1) for z, c0, r0, c1, r1 in rows]
+    large = spark.createDataFrame(wide, RECTS)
+    assert cover.distinct_bounds(large).count() == small
+    at = cover.tile_counts_merged(large, 16).where("zoom = 17").first().tiles
+    assert at == 4096**2 * len({k for k in tiles_of(rows) if k[0] == 5})
+
+
+def test_the_whole_world_meets_many_small_ones(spark):
+    """One rectangle over everything is cut into strips and comes back whole; nothing else is left of those it covers."""
+    small = spark.range(3000).selectExpr("20 AS zoom", "int(id * 300) AS col_min", "int(id % 97) AS row_min", "int(id * 300 + 7) AS col_max", "int(id % 97 + 5) AS row_max")
+    world = spark.createDataFrame([(20, 0, 0, 2**20 - 1, 2**20 - 1)], RECTS)
+    assert [tuple(r) for r in cover.distinct_bounds(small.union(world)).collect()] == [(20, 0, 0, 2**20 - 1, 2**20 - 1)]
+    assert cover.tile_counts_merged(small.union(world), 19).where("zoom = 20").first().tiles == 2**40
+
+
+def test_empty_rectangles_and_tables(spark):
+    none = spark.createDataFrame([(3, 5, 5, 4, 9)], RECTS)
+    assert cover.distinct_bounds(none).count() == cover.distinct_bounds(none.where("zoom < 0")).count() == 0
+    assert cover.tile_counts_merged(none).count() == 0
+
+
+def test_no_row_for_a_tile(spark):
+    rects = spark.createDataFrame([(20, 0, 0, 2**20 - 1, 2**20 - 1)], RECTS)
+    plan = cover.distinct_bounds(rects)._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_max" in plan and "sequence(row_min" not in plan
+    assert cover.distinct_bounds(rects).agg(F.count(F.lit(1))).first()[0] == 1
