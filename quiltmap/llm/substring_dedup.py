@@ -4,15 +4,15 @@ A window of W words holds W - W/4 + 1 grams of W/4 words, and equal windows hold
 looked for by its smallest gram alone (by hash, the first among equals). Neighbouring windows with one smallest
 gram form a segment, one row for some seven words, and:
 
-1. Segments that are equal throughout are folded: all but the first are repeats as a whole.
-2. Level W/4: first segments go on only if their gram has another one elsewhere.
-3. Level W/2: of those, the gram is extended to W/2 words to the right or left, whichever lies inside the
+1. Level W/4: of segments that are equal throughout, all but the first are repeats as a whole; a first one goes
+   on only if its gram has another one elsewhere. Both are read off one exchange.
+2. Level W/2: of those, the gram is extended to W/2 words to the right or left, whichever lies inside the
    window, and only extensions met again go on.
-4. Level W: the windows of what is left are compared one by one; all but the first of each are repeats.
+3. Level W: the windows of what is left are compared one by one; all but the first of each are repeats.
 
 A level at which nothing survives ends the search. What is met twice within a batch is settled there, so a
-passage that a third of the documents hold sends one row per batch to the next exchange; rows that are settled
-pass through the same exchange, dealt over all its partitions.
+passage that a third of the documents hold sends one row per batch to the next exchange, and a gram with many
+surroundings is spread by them; rows that are settled pass through the same exchange, dealt over all its partitions.
 """
 
 from __future__ import annotations
@@ -38,6 +38,7 @@ BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 STRETCH = "doc long, twin long, first int, n int"
 SEGMENT = f"gram long, segment long, right long, left long, {STRETCH}, gram_at int"
 LATER = "settled boolean"
+FIRST = f"{SEGMENT}, settled boolean, lone boolean, payload boolean"
 #: Rows that ask whether their key is met again; those without ``payload`` only answer.
 ASKED = "key long, {of}, settled boolean, payload boolean"
 EXTENDED = f"right long, left long, {STRETCH}, gram_at int"
@@ -222,11 +223,56 @@ def met_again(rows: DataFrame, ddl: str) -> DataFrame:
     return exchanged(rows, ["key"]).mapInArrow(pick, ddl)
 
 
-def by_gram(batches):
-    for batch in batches:
-        if batch.num_rows:
-            c = numbers(batch)
-            yield ask(c | {"key": c["gram"]}, EXTENDED)
+def ask_grams(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """Segments of a batch from ``settle``. A gram with one segment here is ``lone`` and asks for others; where it has several, one row without payload says so."""
+    c = columns
+    rest = np.flatnonzero(~c["settled"])
+    rest = rest[np.argsort(c["gram"][rest], kind="stable")]
+    gram = c["gram"][rest]
+    begins = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
+    counts = np.diff(np.append(begins, len(rest)))
+    lone = np.zeros(len(c["settled"]), bool)
+    lone[rest] = np.repeat(counts == 1, counts)
+    tokens = rest[begins[counts > 1]]
+    more, none = np.ones(len(tokens), bool), np.zeros(len(tokens), bool)
+    out = {name: np.concatenate([values, values[tokens]]) for name, values in c.items()}
+    return record(out | {"lone": np.concatenate([lone, more]), "payload": np.concatenate([np.ones(len(lone), bool), none])}, FIRST)
+
+
+def level_of_grams(rows: DataFrame) -> DataFrame:
+    """``repeat`` rows: segments that come earlier too; and first segments whose gram has another one. Both with their place."""
+    deal = F.when(F.col("settled"), F.xxhash64("gram", "segment", *PLACE)).when(F.col("lone"), F.xxhash64("gram")).otherwise(F.xxhash64("gram", "segment"))
+    order = ["settled", "lone", "gram", "payload", "segment", *PLACE]
+    dealt = rows.repartition(partitions(rows.sparkSession), deal).sortWithinPartitions(*order)
+    out = f"{EXTENDED}, repeat boolean"
+
+    def pick(batches):
+        held, given, known = None, False, False  # one row, whether it was given out, whether its gram is known to have others
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            c = numbers(batch if held is None else pa.concat_batches([held, batch]))
+            rows = np.stack([c[name].astype(np.int64) for name in order])
+            differs = np.ones(rows.shape, bool)
+            differs[:, 1:] = rows[:, 1:] != rows[:, :-1]
+            of_gram, of_segment, once = differs[:3].any(axis=0), differs[:5].any(axis=0), differs.any(axis=0)
+            group = np.cumsum(of_gram) - 1
+            first = of_segment & c["payload"] & ~c["settled"]
+            others = np.bincount(group, first) + 2 * np.bincount(group, ~c["payload"] | ~c["lone"]) > 1
+            others[0] |= known
+            c["repeat"] = c["settled"] | ~first
+            give = c["payload"] & (c["settled"] | (once & (c["repeat"] | others[group])))
+            if given:
+                give[0] = False
+            last = len(give) - 1
+            known, given = bool(others[-1]), True
+            if not known:  # a lone gram with one segment so far: its first row waits for another
+                last, given = int(np.flatnonzero(first)[-1]), False
+            held = (batch if held is None else pa.concat_batches([held, batch])).slice(last, 1)
+            c |= {name: np.where(c["repeat"], 0, c[name]) for name in ("right", "left")}
+            yield record({name: c[name][give] for name in names_of(out)}, out)
+
+    return dealt.mapInArrow(pick, out)
 
 
 def by_half(batches, window: int):
@@ -276,7 +322,7 @@ def scan(batches, window: int):
                 found.append(c | {"doc": doc[owner], "twin": twin[owner]})
         if found:
             together = {name: np.concatenate([f[name] for f in found]) for name in found[0]}
-            yield record(settle(together, ["gram", "segment"]), f"{SEGMENT}, {LATER}")
+            yield ask_grams(settle(together, ["gram", "segment"]))
 
 
 def spell(batches, window: int):
@@ -301,10 +347,9 @@ def spell(batches, window: int):
 def repeats(docs: DataFrame, scratch: Scratch, *, id_col: str, text_col: str, window: int) -> DataFrame:
     """``doc, twin, first, n``: the windows of each row whose words start earlier too."""
     source = docs.select(*keyed(id_col, text_col), F.col(text_col).alias("text"))
-    rows = source.mapInArrow(partial(scan, window=window), f"{SEGMENT}, {LATER}")
-    folded = scratch.write(first_of(rows, ["gram", "segment"], SEGMENT), "segments")
-    found = folded.where("repeat").select(*names_of(STRETCH))
-    grams = met_again(folded.where("not repeat").select(*names_of(SEGMENT)).mapInArrow(by_gram, ASKED.format(of=EXTENDED)), EXTENDED)
+    met = scratch.write(level_of_grams(source.mapInArrow(partial(scan, window=window), FIRST)), "grams")
+    found = met.where("repeat").select(*names_of(STRETCH))
+    grams = met.where("not repeat").drop("repeat")
     halves = met_again(grams.mapInArrow(partial(by_half, window=window), ASKED.format(of=STRETCH)), STRETCH)
     left = scratch.write(halves, "left")
     if left.isEmpty():
