@@ -220,6 +220,11 @@ ORACLE: dict[str, str] = {
     "zoom_filter": with_(indexed("image_zoom"), *GRID, PATHS),
     "no_directories": with_("SELECT image_id, image_zoom, path FROM paths WHERE path NOT LIKE '%/'", *GRID, PATHS),
     "tile_scan": with_(f"SELECT image_id, zoom, priority, gx, gy, r, g, b FROM pixels WHERE zoom = 11 AND {HAS_DATA}", *RASTER),
+    "region_scan": with_(
+        f"""SELECT image_id, zoom, priority, gx, gy, r, g, b FROM pixels
+            WHERE zoom = 11 AND gx // {T} BETWEEN 1024 AND 1040 AND gy // {T} BETWEEN 768 AND 799 AND {HAS_DATA}""",
+        *RASTER,
+    ),
     "natural_zoom": with_(f"SELECT p_partkey, {zoom_of('res', 1024)} AS zoom FROM resolutions", RES),
     "pixel_resolution": with_(
         "SELECT p_partkey, round(CASE WHEN p_partkey % 2 = 0 THEN res * 1.5 ELSE res END, 6) AS resolution FROM resolutions", RES
@@ -247,6 +252,12 @@ ORACLE: dict[str, str] = {
         POINTS,
     ),
     "parent_key": with_("SELECT image_id, col, row, CAST(col // 2 AS INT) AS parent_col, CAST(row // 2 AS INT) AS parent_row FROM cover", *GRID),
+    "morton_key": with_(
+        """SELECT image_id, CAST(col AS INT) AS col, CAST(row AS INT) AS row,
+                  CAST(list_sum(list_transform(range(31), lambda i: ((col >> i) & 1) * (CAST(1 AS BIGINT) << (2 * i)) + ((row >> i) & 1) * (CAST(1 AS BIGINT) << (2 * i + 1)))) AS BIGINT) AS key
+           FROM (SELECT image_id, CAST(col AS BIGINT) AS col, CAST(row AS BIGINT) AS row FROM cover)""",
+        *GRID,
+    ),
     "child_quadrant": with_("SELECT image_id, col, row, CAST(col % 2 AS INT) AS right, CAST(row % 2 AS INT) AS lower FROM cover", *GRID),
     "zoom_offset": with_(
         """SELECT image_id, CAST(256 * (CASE image_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 4 ELSE 8 END) AS INT) AS tile_size,
@@ -387,6 +398,12 @@ ORACLE: dict[str, str] = {
         IMAGES,
         RECTS,
     ),
+    "carried_rank": with_(
+        """SELECT image_id, col, row, (row % 97) * 2147483648 + col % 89 AS piece_index,
+                  (16777215 - ord) * 1073741824 + (32767 - row % 97) * 32768 + 32767 - col % 89 AS rank
+           FROM cover JOIN images USING (image_id)""",
+        *GRID,
+    ),
     "union_inputs": with_(
         f"""SELECT zoom, gx, gy, r, g, b, priority FROM pixels
             UNION ALL SELECT * FROM ({halved(f"({merged('pixels')})")})""",

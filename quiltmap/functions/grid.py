@@ -194,6 +194,21 @@ def parent_key(column, row) -> tuple[Column, Column]:
     return F.shiftright(col(column), 1), F.shiftright(col(row), 1)
 
 
+SPREAD_BITS = [(16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)]
+
+
+def morton_key(column, row) -> Column:
+    """The bits of column and row by turns: keys near each other in this order are near each other on the map."""
+
+    def spaced(v):
+        bits = col(v).cast("bigint")
+        for step, mask in SPREAD_BITS:
+            bits = bits.bitwiseOR(F.shiftleft(bits, step)).bitwiseAND(F.lit(mask))
+        return bits
+
+    return spaced(column).bitwiseOR(F.shiftleft(spaced(row), 1))
+
+
 def child_quadrant(column, row) -> tuple[Column, Column]:
     """(0|1, 0|1): right half, lower half of the parent."""
     return F.pmod(col(column), F.lit(2)), F.pmod(col(row), F.lit(2))

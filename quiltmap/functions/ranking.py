@@ -6,6 +6,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANK_RANGE = 1 << 16
+#: Bits of a carried rank: the input, and the row and column of its window.
+ORD_BITS, PIECE_BITS = 24, 15
+PIECES_ACROSS = 1 << 31  # more windows than a row of pixels can have
+
+
+def carried_rank(ord: Column | str, piece_index: Column | str) -> Column:
+    """A priority that falls with ``ord``, then with the window's row and column, known without looking at other rows.
+
+    It fits beside a byte in 64 bits. Null where an input or window is beyond its bits.
+    """
+    place, piece = (F.col(c) if isinstance(c, str) else c for c in (ord, piece_index))
+    row, column = F.shiftright(piece.cast("bigint"), 31), piece.cast("bigint").bitwiseAND(F.lit(PIECES_ACROSS - 1))
+    ords, pieces = 1 << ORD_BITS, 1 << PIECE_BITS
+    fits = place.between(0, ords - 1) & row.between(0, pieces - 1) & (column < pieces)
+    return F.when(fits, (ords - 1 - place) * pieces * pieces + (pieces - 1 - row) * pieces + (pieces - 1 - column)).cast("bigint")
 
 
 def with_position(

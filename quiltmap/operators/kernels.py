@@ -1,8 +1,9 @@
 """What a task does to one packed tile or one bounded group of them (numpy on Arrow batches).
 
 A packed tile is ``zoom, col, row, bands`` with one binary of ``dim * dim`` bytes per band, rows
-first. Its rank on top of others is either one ``priority`` or, where merged inputs share the tile,
-``orders``: a binary of 64-bit priorities per pixel, one shared by all bands or one per band.
+first. Its rank on top of others is either one ``priority`` or, where merged inputs share the tile, a
+``palette`` of priorities and ``orders``: a binary of small numbers per pixel that point into the palette (one
+byte each up to 256 priorities, two up to 65,536, else four), one shared by all bands or one per band.
 
 In memory a tile is one 64-bit number per band and pixel, ``priority * 256 + value``, so that
 merging is a plain maximum: any order, any grouping, the same result.
@@ -29,6 +30,7 @@ MERGED = pa.schema(
         ("row", pa.int32()),
         ("priority", pa.int64()),
         ("bands", BANDS_TYPE),
+        ("palette", pa.list_(pa.int64())),
         ("orders", BANDS_TYPE),
     ]
 )
@@ -65,10 +67,42 @@ def ranked(tile):
             raise ValueError(f"the tile {key_of(tile)} has data but no priority")
         order = np.int64(tile["priority"] or 0)
     else:
-        order = np.stack([np.frombuffer(o, np.int64) for o in tile["orders"]])
+        order = priorities(tile)
     return np.where(values != 0, (order << 8) | values, EMPTY)
 
 
+def pointer_type(count):
+    """The smallest number that points into so many priorities."""
+    return np.uint8 if count <= 1 << 8 else np.uint16 if count <= 1 << 16 else np.uint32
+
+
+def priorities(tile):
+    """The priorities of a tile's pixels, a row for each of its orders."""
+    palette = np.asarray(tile["palette"], np.int64)
+    return np.stack([palette[np.frombuffer(o, pointer_type(len(palette)))] for o in tile["orders"]])
+
+
+TABLE = 1 << 20  # priorities this close together are told apart by a table, others by sorting
+
+
+def pointed(priority):
+    """Priorities as a palette and pointers into it."""
+    drawn = priority > NOTHING
+    low, high = int(priority[drawn].min()), int(priority.max())
+    if high - low < TABLE:
+        seen = np.zeros(high - low + 2, bool)
+        at = np.where(drawn, priority - (low - 1), 0)
+        seen[at] = True
+        palette = np.flatnonzero(seen) + (low - 1)
+        if seen[0]:
+            palette[0] = NOTHING
+        pointers = (np.cumsum(seen) - 1)[at]
+    else:
+        palette, pointers = np.unique(priority, return_inverse=True)
+    pointers = pointers.reshape(priority.shape).astype(pointer_type(len(palette)))
+    return palette.tolist(), [p.tobytes() for p in pointers]
+
+
 def key_of(tile):
     return tile["zoom"], tile["col"], tile["row"]
 
@@ -81,16 +115,23 @@ def merged_tile(key, canvas, per_band=False):
     drawn = priority[priority > NOTHING]
     one = drawn.size == 0 or drawn.min() == drawn.max()
     zoom, col, row = key
+    palette, orders = (None, None) if one else pointed(priority)
     return {
         "zoom": zoom,
         "col": col,
         "row": row,
         "priority": int(drawn[0]) if one and drawn.size else None,
         "bands": packed(canvas & 255),
-        "orders": None if one else [p.tobytes() for p in priority],
+        "palette": palette,
+        "orders": orders,
     }
 
 
+def without_orders(tile):
+    """A finished tile that nothing will be merged with."""
+    return tile | {"priority": None, "palette": None, "orders": None}
+
+
 def larger(a, b):
     """The maximum of two canvases; tiles of different band counts or sizes do not mix."""
     if a.shape != b.shape:
@@ -145,8 +186,45 @@ def merge_group(per_band):
     return run
 
 
-def fold_group(hi, lo, dim):
-    """All tiles under one ancestor at ``lo``, and halved ones of the level below ``hi``: finishes every level from ``hi`` up."""
+def combine_each(held):
+    """Merges tiles of one key that a task meets while it holds the ``held`` latest keys; others pass as they are."""
+
+    def combined(batches):
+        latest = {}  # key -> [tile as it came, canvas once a second one was met], the latest last
+        for tile in rows(batches):
+            key = key_of(tile)
+            entry = latest.pop(key, None)
+            if entry is None:
+                entry = [tile, None]
+            else:
+                first = ranked(entry[0]) if entry[1] is None else entry[1]
+                entry = [None, larger(first, ranked(tile))]
+            latest[key] = entry
+            if len(latest) > held:
+                yield out(*pop_oldest(latest))
+        for key, entry in latest.items():
+            yield out(key, entry)
+
+    def pop_oldest(latest):
+        key = next(iter(latest))
+        return key, latest.pop(key)
+
+    def out(key, entry):
+        tile, canvas = entry
+        return {name: tile[name] for name in MERGED.names} if canvas is None else merged_tile(key, canvas, per_band=True)
+
+    def run(batches):
+        yield from in_batches(combined(batches), MERGED)
+
+    return run
+
+
+def fold_group(hi, lo, dim, orders=True, carry=False):
+    """All tiles under one ancestor at ``lo``, and halved ones of the level below ``hi``: finishes every level from ``hi`` up.
+
+    Without ``orders`` the finished tiles have none. With ``carry`` the tiles of level ``lo`` also come halved, their
+    zoom negative, for the levels above.
+    """
 
     def levels(batches):
         canvases = {}
@@ -159,9 +237,12 @@ def fold_group(hi, lo, dim):
         for zoom in range(hi, lo - 1, -1):
             for key in sorted(k for k in canvases if k[0] == zoom):
                 canvas = canvases.pop(key)
-                yield merged_tile(key, canvas)
+                tile = merged_tile(key, canvas)
+                yield tile if orders else without_orders(tile)
                 if zoom > lo:
                     merge_quarter(canvases, key, halved(canvas, dim), dim)
+                elif carry:
+                    yield merged_tile((-zoom, key[1], key[2]), halved(canvas, dim))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from in_batches(levels(batches), MERGED)
@@ -223,7 +304,7 @@ def explode_each(dim, names, schema):
             at = np.flatnonzero(values.any(axis=0))
             n = len(at)
             if tile.get("orders") is not None:
-                priority = np.frombuffer(tile["orders"][0], np.int64)[at]
+                priority = priorities(tile)[0, at]
             else:
                 priority = np.full(n, tile["priority"] or 0, np.int64)
             columns = {

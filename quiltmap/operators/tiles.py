@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -13,11 +12,11 @@ from pyspark.sql.types import StructType
 from quiltmap.functions.grid import EARTH_RADIUS, RETILE_WINDOW, WORLD_WIDTH
 from quiltmap.functions.pixels import BANDS
 from quiltmap.operators import kernels
-from quiltmap.session import spread, written
+from quiltmap.session import spread
 
 KEY = ["zoom", "col", "row"]
-MERGED = "zoom int, col int, row int, priority bigint, bands array<binary>, orders array<binary>"
-FAN_IN = 32
+MERGED = "zoom int, col int, row int, priority bigint, bands array<binary>, palette array<bigint>, orders array<binary>"
+HELD = 64
 PARTITION_BYTES = 1 << 28
 
 
@@ -38,7 +37,7 @@ def ints(names) -> str:
 
 def as_merged(tiles: DataFrame) -> DataFrame:
     """Input tiles in the columns of a merged one."""
-    return tiles.select(*KEY, "priority", "bands", F.lit(None).cast("array<binary>").alias("orders"))
+    return tiles.select(*KEY, "priority", "bands", F.lit(None).cast("array<bigint>").alias("palette"), F.lit(None).cast("array<binary>").alias("orders"))
 
 
 class Load(NamedTuple):
@@ -46,13 +45,11 @@ class Load(NamedTuple):
 
     zoom: int
     tiles: int
-    overlap: int  # inputs at the busiest key
 
 
 def tile_load(tiles: DataFrame) -> list[Load]:
-    """One entry per zoom, deepest first. Reads the key columns only; sizes the work on the rest."""
-    per_key = tiles.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
-    per_zoom = per_key.groupBy("zoom").agg(F.sum("n").alias("tiles"), F.max("n").alias("overlap"))
+    """One entry per zoom, deepest first. Reads the zoom alone; sizes the work on the rest."""
+    per_zoom = tiles.groupBy("zoom").agg(F.count(F.lit(1)).alias("tiles"))
     return [Load(*row) for row in per_zoom.orderBy(F.desc("zoom")).collect()]
 
 
@@ -61,43 +58,32 @@ def partitions_for(tiles: int, dim: int) -> int:
     return tiles * len(BANDS) * dim * dim // PARTITION_BYTES
 
 
-def thin_overlaps(tiles: DataFrame, overlap: int, fan_in: int = FAN_IN, partitions: int = 0) -> DataFrame:
-    """Merges inputs of one key in rounds until about ``fan_in`` are left.
+def combined(tiles: DataFrame, held: int = HELD) -> DataFrame:
+    """Merges inputs of one key where they are read, before anything is shuffled.
 
-    A key that a third of all inputs fall on is first dealt out over salted groups; merging is a
-    maximum, so the salt does not show in the result. Only keys with more than ``fan_in`` inputs take
-    part; all others, and tables without such keys, pass as they are.
+    A task holds the tiles of the ``held`` keys it met last. A key that a third of all inputs fall on is always
+    among them and leaves each task as one tile; merging is a maximum, so neither order nor grouping shows.
+    Every tile is read once, and tiles without another one near pass as they are.
     """
-    rounds = max(math.ceil(math.log(max(overlap, 1), fan_in)) - 1, 0)
-    if not rounds:
-        return tiles
-    busy = written(tiles.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > fan_in).select(*KEY), "busy-keys")
-    calm, hot = tiles.join(busy, KEY, "left_anti"), tiles.join(busy, KEY, "left_semi")
-    for left in range(rounds, 0, -1):
-        salt = F.pmod(F.xxhash64(F.spark_partition_id(), "priority"), F.lit(fan_in**left))
-        salted = spread(hot.withColumn("_salt", salt), *KEY, "_salt", at_least=partitions)
-        hot = salted.groupBy(*KEY, "_salt").applyInArrow(kernels.merge_group(per_band=True), MERGED)
-    return calm.unionByName(hot)
-
-
-def mosaic_merge_tiles(tiles: DataFrame, dim: int, fan_in: int = FAN_IN) -> DataFrame:
+    return tiles.mapInArrow(kernels.combine_each(held), MERGED)
+
+
+def mosaic_merge_tiles(tiles: DataFrame, dim: int, held: int = HELD) -> DataFrame:
     """One finished tile per key: the highest priority's non-zero value per pixel and band."""
-    load = tile_load(tiles)
-    size = partitions_for(sum(z.tiles for z in load), dim)
-    thin = thin_overlaps(as_merged(tiles), max((z.overlap for z in load), default=0), fan_in, size)
-    return spread(thin, *KEY, at_least=size).groupBy(*KEY).applyInArrow(kernels.merge_group(per_band=False), MERGED)
+    size = partitions_for(sum(z.tiles for z in tile_load(tiles)), dim)
+    return spread(combined(as_merged(tiles), held), *KEY, at_least=size).groupBy(*KEY).applyInArrow(kernels.merge_group(per_band=False), MERGED)
 
 
-def fold_levels(tiles: DataFrame, hi: int, lo: int, dim: int, partitions: int = 0) -> DataFrame:
+def fold_levels(tiles: DataFrame, hi: int, lo: int, dim: int, partitions: int = 0, orders: bool = True, carry: bool = False) -> DataFrame:
     """Finishes levels ``hi`` to ``lo`` with one shuffle: all tiles under one ancestor at ``lo`` meet.
 
-    Tiles of the level below ``hi`` come halved.
+    Tiles of the level below ``hi`` come halved; with ``carry`` those of ``lo`` are given out halved too, under ``-lo``.
 
     A task holds at most 4^(hi-lo) tiles of the deepest level and streams what is drawn on them.
     """
     placed = tiles.select("*", *[F.expr(f"shiftright({axis}, zoom - {lo})").alias(f"_{axis}") for axis in ("col", "row")])
     groups = spread(placed, "_col", "_row", at_least=partitions).groupBy("_col", "_row")
-    return groups.applyInArrow(kernels.fold_group(hi, lo, dim), MERGED)
+    return groups.applyInArrow(kernels.fold_group(hi, lo, dim, orders, carry), MERGED)
 
 
 def zoom_up_tiles(merged: DataFrame, dim: int) -> DataFrame:
@@ -109,7 +95,7 @@ def zoom_up_tiles(merged: DataFrame, dim: int) -> DataFrame:
 
 def halve_tiles(merged: DataFrame, dim: int) -> DataFrame:
     """The quarter of its parent that each tile fills, ``dim / 2`` pixels wide, still under the tile's key."""
-    return merged.select(*KEY, "priority", "bands", "orders").mapInArrow(kernels.halve_each(dim), MERGED)
+    return merged.select(*KEY, "priority", "bands", "palette", "orders").mapInArrow(kernels.halve_each(dim), MERGED)
 
 
 def split_packed(tiles: DataFrame, across: int) -> DataFrame:
@@ -119,7 +105,7 @@ def split_packed(tiles: DataFrame, across: int) -> DataFrame:
 def tile_explode(tiles: DataFrame, keep: list[str], dim: int, names=BANDS) -> DataFrame:
     """Packed tiles to pixel rows; transparent pixels have none."""
     out = kept_and(tiles, keep, f"priority bigint, gx int, gy int, {ints(names)}")
-    needed = [*dict.fromkeys([*keep, "priority", "col", "row", "bands"])] + (["orders"] if "orders" in tiles.columns else [])
+    needed = [*dict.fromkeys([*keep, "priority", "col", "row", "bands"])] + [c for c in ("palette", "orders") if c in tiles.columns]
     return tiles.select(*needed).mapInArrow(kernels.explode_each(dim, list(names), arrow_schema(out)), out)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quiltmap.functions.grid import CHUNK_TILE, OUTPUT_TILE, RETILE_WINDOW
+from quiltmap.functions.ranking import PIECES_ACROSS, carried_rank, with_position
 from quiltmap.functions.uris import piece_name
 from quiltmap.operators.cover import valid_sources
 from quiltmap.operators.sample import describe_image, warped_grid
@@ -28,7 +29,6 @@ CHUNKS = (
     "source_uri string, folder string, ord bigint, piece_index bigint, "
     "zoom int, col int, row int, bands array<binary>, job_id string"
 )
-PIECES_ACROSS = 1 << 31  # more windows than a row of pixels can have
 COLOURS = 3
 
 
@@ -142,14 +142,32 @@ def read_chunks(spark: SparkSession, workspace: str) -> DataFrame:
 def with_priority(chunks: DataFrame, inputs: DataFrame) -> DataFrame:
     """Chunks of the manifest's inputs, at the inputs' zoom, each with at least three bands.
 
-    Catalyst broadcasts the inputs' short rows up to its size limit. An input without chunks fails the job.
+    Chunks carry their place in the request. Where the manifest lists them all in that order, as the chunk step
+    writes it, the place is the priority and no band is moved; that is settled on the chunks' keys alone. A
+    manifest that was changed is joined instead. An input without chunks fails the job.
     """
-    ranks = inputs.select("job_id", "source_uri", F.col("tiles").alias("folder"), "zoom", "priority")
+    spark = chunks.sparkSession
+    ranks = inputs.select("job_id", "source_uri", F.col("tiles").alias("folder"), "zoom", "position", "priority")
     key = ["job_id", "source_uri", "folder", "zoom"]
-    for row in ranks.join(chunks.select(*key).distinct(), key, "left_anti").take(1):
+    scratch = scratch_path(spark, "chunk-keys")
+    pieces = written_at(chunks.select(*key, "ord", "piece_index").distinct(), scratch)
+    for row in ranks.join(pieces, key, "left_anti").take(1):
+        removed(spark, scratch)
         raise ValueError(f"no chunks for {row.source_uri} in {row.folder} at zoom {row.zoom}")
+    as_listed = in_request_order(pieces, ranks, key)
+    removed(spark, scratch)
     few = F.raise_error(F.concat(F.lit("fewer than three bands in "), "folder")).cast("array<binary>")
-    return chunks.join(ranks, key).withColumn("bands", F.when(F.size("bands") >= COLOURS, F.col("bands")).otherwise(few))
+    bands = F.when(F.size("bands") >= COLOURS, F.col("bands")).otherwise(few)
+    ranked = chunks.withColumn("priority", carried_rank("ord", "piece_index")) if as_listed else chunks.join(ranks.drop("position"), key)
+    return ranked.withColumn("bands", bands)
+
+
+def in_request_order(pieces: DataFrame, ranks: DataFrame, key: list[str]) -> bool:
+    """Whether the manifest lists every piece once, in the order of ``ord, piece_index``."""
+    placed = with_position(pieces, "job_id", "ord", "piece_index", position="request_place", total="request_size")
+    agrees = (F.col("request_place") == F.col("position")) & carried_rank("ord", "piece_index").isNotNull()
+    same = placed.join(ranks, key).agg(F.count_if(agrees).alias("n")).first().n
+    return same == pieces.count() == ranks.count()
 
 
 def mosaic(
@@ -161,7 +179,8 @@ def mosaic(
 ) -> DataFrame:
     """Runs one job's manifest (JSON in ``value``); saves the pyramid and its PNG files below the target.
 
-    Both replace what an earlier run left there, the pyramid only once it is complete.
+    Both replace what an earlier run left there, the pyramid only once it is complete and files only once all are
+    written. A run that was interrupted is taken up where it stopped, unless its chunks were written anew.
     """
     spark = manifest.sparkSession
     inputs = manifest_inputs(manifest)
@@ -171,8 +190,9 @@ def mosaic(
         raise ValueError(f"tileSize must be {output_tile} times a power of two, got {job.tile_size}")
     with stage(spark, status, job.job_id, "mosaic", job.target):
         colours = F.slice("bands", 1, COLOURS).alias("bands")
-        tiles = with_priority(chunks, inputs).select("zoom", "col", "row", "priority", colours)
-        levels = pyramid_tiles(tiles, output_tile, across, path=f"{job.target}/levels")
+        own = chunks.where(F.col("job_id") == job.job_id)
+        tiles = with_priority(own, inputs).select("zoom", "col", "row", "priority", colours)
+        levels = pyramid_tiles(tiles, output_tile, across, path=f"{job.target}/levels", orders=False)
         if export:
             pyramid_export(levels, resolved(spark, f"{job.target}/png"), output_tile)
         if status is not None:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quiltmap import fixtures as fx
-from quiltmap.functions import grid, pixels as px, uris
+from quiltmap.functions import grid, pixels as px, ranking, uris
 from quiltmap.operators import cover, inputs, mosaic, regrid, sample, tiles
 from quiltmap.plans import pyramid as plans
 from quiltmap.session import scratch_path
@@ -155,6 +155,16 @@ def tile_scan(spark, sf):
     return tiles.tile_explode(in_tiles.tile_scan(spark, path, schema, 11), ["image_id", "zoom"], fx.TILE)
 
 
+REGION = (1024, 768, 1040, 799)
+
+
+@query
+def region_scan(spark, sf):
+    path = scratch_path(spark, "chunks")
+    schema = stored(packed(spark, sf), path).schema
+    return tiles.tile_explode(in_tiles.region_scan(spark, path, schema, 11, REGION), ["image_id", "zoom"], fx.TILE)
+
+
 # Scalar functions
 
 
@@ -211,6 +221,11 @@ def parent_key(spark, sf):
     return covered(spark, sf).select("image_id", "col", "row", c.alias("parent_col"), r.alias("parent_row"))
 
 
+@query
+def morton_key(spark, sf):
+    return covered(spark, sf).select("image_id", "col", "row", grid.morton_key("col", "row").alias("key"))
+
+
 @query
 def child_quadrant(spark, sf):
     c, r = grid.child_quadrant("col", "row")
@@ -562,6 +577,13 @@ def priority_rank(spark, sf):
     return inputs.priority_rank(rects(spark, sf).drop("priority")).select("job_id", "ord", "position", "priority")
 
 
+@query
+def carried_rank(spark, sf):
+    windows = F.col("row") % 97 * ranking.PIECES_ACROSS + F.col("col") % 89
+    pieces = covered(spark, sf).join(rects(spark, sf).select("image_id", "ord"), "image_id").select("image_id", "ord", "col", "row", windows.alias("piece_index"))
+    return pieces.select("image_id", "col", "row", "piece_index", ranking.carried_rank("ord", "piece_index").alias("rank"))
+
+
 @query
 def union_inputs(spark, sf):
     source = fx.pixels(spark, sf)

@@ -63,13 +63,29 @@ def removed(spark: SparkSession, path: str) -> None:
     store.delete(at, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    store, at = file_system(spark, path)
+    return store.exists(at)
+
+
+def marked(spark: SparkSession, path: str) -> None:
+    """Leaves an empty file."""
+    store, at = file_system(spark, path)
+    store.create(at, True).close()
+
+
 def replaced(spark: SparkSession, built: str, path: str) -> None:
-    """Puts a finished table in the place of an older one."""
-    removed(spark, path)
+    """Puts a finished table in the place of an older one, which is set aside until the new one is there."""
     store, at = file_system(spark, path)
+    aside = file_system(spark, f"{path}-replaced")[1]
     store.mkdirs(at.getParent())
+    if store.exists(at):
+        store.delete(aside, True)
+        if not store.rename(at, aside):
+            raise OSError(f"{path} could not be set aside")
     if not store.rename(file_system(spark, built)[1], at):
         raise OSError(f"{built} could not be moved to {path}")
+    store.delete(aside, True)
 
 
 def resolved(spark: SparkSession, path: str) -> str:

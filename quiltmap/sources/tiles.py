@@ -31,6 +31,13 @@ def tile_index(paths: DataFrame, zoom, keep: list[str] | None = None, path: str
     )
 
 
+def region_scan(spark: SparkSession, path: str, schema, zoom: int, bounds: tuple[int, int, int, int]) -> DataFrame:
+    """Tiles of one zoom from ``col_min, row_min`` to ``col_max, row_max``; parts of the table outside are skipped by their bounds."""
+    col_min, row_min, col_max, row_max = bounds
+    inside = F.col("col").between(col_min, col_max) & F.col("row").between(row_min, row_max)
+    return tile_scan(spark, path, schema, zoom).where(inside)
+
+
 def tile_scan(spark: SparkSession, path: str, schema, zoom: int) -> DataFrame:
     """Tiles of one zoom from a table partitioned by zoom; the other zooms are not touched."""
     return spark.read.schema(schema).parquet(path).where(F.col("zoom") == zoom)

@@ -5,7 +5,7 @@ import pytest
 
 from quiltmap.functions import uris
 from quiltmap.functions.grid import WORLD_WIDTH
-from quiltmap.operators import mosaic, tiles
+from quiltmap.operators import kernels, mosaic, tiles
 from quiltmap.plans.pyramid import pyramid_tiles
 
 TILES = "zoom int, col int, row int, priority bigint, bands array<binary>"
@@ -26,15 +26,34 @@ def test_halved_tiles_are_a_quarter_of_their_size(spark):
     assert (up.zoom, up.col, up.row) == (4, 1, 1) and {len(b) for b in up.bands} == {64}
 
 
-def test_only_busy_keys_take_extra_rounds(spark):
-    rows = [(9, 5, 5, i, [bytes([1 + i % 200]) * 16] * 3) for i in range(60)] + [(9, c, 1, 7, [bytes([c]) * 16] * 3) for c in range(1, 40)]
-    df = spark.createDataFrame(rows, TILES)
-    thin = tiles.thin_overlaps(tiles.as_merged(df), 60, fan_in=8)
-    plan = thin._jdf.queryExecution().executedPlan().toString()
-    calm = plan[plan.index("Union") :].split("FlatMapGroupsInArrow")[0]
-    assert "LeftAnti" in calm and "Exchange hashpartitioning" not in calm.split("BroadcastExchange")[0]
-    got = {(r.col, r.row): r.bands[0][0] for r in tiles.mosaic_merge_tiles(df, 4, fan_in=8).collect()}
-    assert got == {(5, 5): 60} | {(c, 1): c for c in range(1, 40)}
+def test_busy_keys_are_merged_where_they_are_read(spark):
+    rows = [(9, 5, 5, i, [bytes([1 + i % 200]) * 16] * 3) for i in range(600)] + [(9, c, 1, 7, [bytes([c]) * 16] * 3) for c in range(1, 40)]
+    df = spark.createDataFrame(rows, TILES).repartition(4)
+    left = tiles.combined(tiles.as_merged(df), held=8)
+    assert left.where("col = 5 AND row = 5").count() <= 4 and left.where("row = 1").count() == 39
+    merged = tiles.mosaic_merge_tiles(df, 4, held=8)
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1 and "Join" not in plan and "Union" not in plan
+    got = {(r.col, r.row): r.bands[0][0] for r in merged.collect()}
+    assert got == {(5, 5): 1 + 599 % 200} | {(c, 1): c for c in range(1, 40)}
+
+
+@pytest.mark.parametrize("inputs, size", [(3, 1), (200, 1), (300, 2), (1 << 16, 2)])
+def test_orders_take_one_or_two_bytes_a_pixel(inputs, size):
+    dim = 256
+    rng = np.random.default_rng(inputs)
+    priority = rng.integers(0, inputs, (1, dim * dim)) * 7919
+    priority[0, : min(inputs, dim * dim - 9)] = np.arange(min(inputs, dim * dim - 9)) * 7919
+    canvas = np.where(np.arange(dim * dim) < dim * dim - 5, priority << 8 | 9, kernels.EMPTY).repeat(3, axis=0)
+    tile = kernels.merged_tile((5, 1, 1), canvas)
+    assert [len(o) for o in tile["orders"]] == [size * dim * dim]
+    assert (kernels.ranked(tile) == canvas).all()
+
+
+def test_far_apart_priorities_keep_their_places():
+    canvas = np.array([[(1 << 50) << 8 | 1, 3 << 8 | 2, kernels.EMPTY, (1 << 50) << 8 | 3]])
+    tile = kernels.merged_tile((5, 1, 1), canvas)
+    assert (kernels.ranked(tile) == canvas).all() and len(tile["orders"][0]) == 4
 
 
 def test_data_needs_a_priority_in_both_forms(spark):
