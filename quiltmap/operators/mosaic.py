@@ -22,7 +22,8 @@ PIXEL = ["zoom", "gx", "gy"]
 HAS_DATA = f"greatest({', '.join(BANDS)}, 0) > 0"
 
 NEEDED = "coalesce(cast(priority AS bigint), cast(raise_error('a pixel with data has no priority') AS bigint))"
-RANKED = [f"if({b} <> 0, shiftleft({NEEDED}, 8) | {b}, null) AS {b}_rank" for b in BANDS]
+TOP_BYTES = f"if({HAS_DATA}, shiftleft({NEEDED}, 8), null) AS _top"  # checked once for all bands
+RANKED = [f"if({b} <> 0, _top | {b}, null) AS {b}_rank" for b in BANDS]
 TOPS = [f"max({r}) AS {r}" for r in RANKS]
 VALUES = [f"cast(coalesce({b}_rank & 255, 0) AS int) AS {b}" for b in BANDS]
 TOP_PRIORITY = f"shiftright(greatest({', '.join(RANKS)}), 8) AS priority"
@@ -39,7 +40,7 @@ def aggregates(expressions: list[str]):
 
 
 def ranked(pixels: DataFrame) -> DataFrame:
-    return pixels.selectExpr(*PIXEL, *RANKED)
+    return pixels.selectExpr(*PIXEL, *BANDS, TOP_BYTES).selectExpr(*PIXEL, *RANKED)
 
 
 def merge_ranked(ranks: DataFrame) -> DataFrame:
