@@ -53,6 +53,12 @@ class Scratch:
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def append(self, df: DataFrame, name: str) -> None:
+        df.write.mode("append").parquet(f"{self.root}/{name}")
+
+    def read(self, name: str, schema) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+
     def drop(self, *names: str) -> None:
         jvm = self.spark._jvm
         for name in names:

@@ -1,7 +1,9 @@
 """Chat formatting: tool calls linked with their results.
 
-Calls and results meet in a hash join by identifier. Calls are ordered by the calls they depend on, level by
-level: a level is joined with the calls that wait for it, so no conversation is gathered in one row or task.
+Calls and results meet in a hash join by identifier. Calls are ordered by the calls they depend on. A call that
+needs one other follows that one's own need by pointer doubling: each join doubles the stretch behind it, so a chain
+of a million calls takes twenty joins. What is left are calls with several needs, ordered among themselves level by
+level. No conversation is gathered in one row or task, and no plan grows with the longest one.
 Arguments are validated against the tool's schema and each linked call is one line of canonical JSON: keys
 in code point order, no white space, only what must be escaped is.
 """
@@ -50,26 +52,60 @@ def canonical(value) -> str:
     return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
 
 
+def chains(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """``call_id, root, dist``: the first call with no need or several on the way back along single needs, and how far it is.
+
+    ``nodes`` has ``call_id, n`` (distinct needs) and ``need`` (one of them). Calls whose way ends in a cycle or at
+    an unknown call get no row. The number of joins is the logarithm of the longest chain, or of the number of
+    calls where there is a cycle.
+    """
+    one = F.col("n") == 1
+    start = nodes.select("call_id", F.when(one, F.col("need")).otherwise(F.col("call_id")).alias("root"), one.cast("int").alias("dist"), (~one).alias("ended"))
+    now, turn = scratch.write(start, "chains-0"), 0
+    left = single = now.where("not ended").count()
+    while left and 1 << turn <= 2 * single:  # then no way is longer, and what is left turns in a circle
+        turn += 1
+        far = now.select(F.col("call_id").alias("root"), F.col("root").alias("next"), F.col("dist").alias("more"), F.col("ended").alias("there"))
+        moved = now.where("not ended").join(apart(far), "root").select("call_id", F.col("next").alias("root"), (F.col("dist") + F.col("more")).alias("dist"), F.col("there").alias("ended"))
+        now = scratch.write(now.where("ended").unionByName(moved), f"chains-{turn}")
+        scratch.drop(f"chains-{turn - 1}")
+        left = now.where("not ended").count()
+    return now.where("ended").drop("ended")
+
+
 def levels(calls: DataFrame, scratch: Scratch) -> DataFrame:
     """``call_id, level``: 0 for calls that depend on none, else one more than the last they depend on.
 
-    Calls on a cycle, or that depend on an unknown call, get no row. One round per level.
+    Calls on a cycle, that depend on an unknown call, or on one of these, get no row. Calls with several needs
+    take one round per level among themselves; all levels go to one table.
     """
-    edges = scratch.write(calls.select("call_id", F.explode("after").alias("needs")).distinct(), "edges")
-    needed = edges.groupBy("call_id").agg(F.count(F.lit(1)).alias("needed"))
-    ready = calls.select("call_id").distinct().join(apart(needed), "call_id", "left_anti").withColumn("level", F.lit(0))
-    done, turn = [scratch.write(ready, "level-0")], 0
-    waiting = scratch.write(needed, "waiting-0")
-    while not done[-1].isEmpty():
+    edges = scratch.write(calls.select("call_id", F.explode("after").alias("need")).where("need is not null").distinct(), "edges")
+    needs = edges.groupBy("call_id").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("need"))
+    nodes = scratch.write(calls.select("call_id").distinct().join(apart(needs), "call_id", "left").withColumn("n", F.coalesce("n", F.lit(0))), "nodes")
+    placed = scratch.write(chains(nodes, scratch), "placed")
+    several = nodes.where("n > 1").select("call_id", "n")
+    roots = nodes.select(F.col("call_id").alias("root"), (F.col("n") > 1).alias("open"))
+    # each need of a call with several, by the root of the need's own chain
+    met = edges.join(several.select("call_id"), "call_id", "left_semi").join(apart(placed.select(F.col("call_id").alias("need"), "root", (F.col("dist") + 1).alias("dist"))), "need")
+    links = scratch.write(met.join(apart(roots), "root").select("call_id", "root", "dist", "open"), "links")
+    found = links.groupBy("call_id").agg(F.count(F.lit(1)).alias("found"), F.count_if("open").alias("waits"), F.max(F.when(~F.col("open"), F.col("dist"))).alias("level"))
+    # a need that has no place leaves its call without one
+    waiting = scratch.write(several.join(apart(found), "call_id").where("found = n").select("call_id", "waits", F.coalesce("level", F.lit(0)).alias("level")), "waiting-0")
+    sources = nodes.where("n = 0").select("call_id", F.lit(0).alias("level"))
+    scratch.append(sources, "roots")
+    turn = 0
+    while True:
+        ready = waiting.where("waits = 0").select("call_id", "level")
+        if ready.isEmpty():
+            break
+        scratch.append(ready, "roots")
         turn += 1
-        met = edges.join(done[-1].select(F.col("call_id").alias("needs")), "needs").groupBy("call_id").agg(F.count(F.lit(1)).alias("met"))
-        waiting = scratch.write(waiting.join(apart(met), "call_id", "left").select("call_id", (F.col("needed") - F.coalesce("met", F.lit(0))).alias("needed")).where("needed >= 0"), f"waiting-{turn}")
-        done.append(scratch.write(waiting.where("needed = 0").select("call_id", F.lit(turn).alias("level")), f"level-{turn}"))
-        waiting = waiting.where("needed > 0")
-    out = done[0]
-    for more in done[1:]:
-        out = out.union(more)
-    return out
+        reached = links.join(apart(ready.withColumnsRenamed({"call_id": "root", "level": "at"})), "root").groupBy("call_id").agg(F.count(F.lit(1)).alias("met"), F.max(F.col("at") + F.col("dist")).alias("top"))
+        rest = waiting.where("waits > 0").join(apart(reached), "call_id", "left")
+        waiting = scratch.write(rest.select("call_id", (F.col("waits") - F.coalesce("met", F.lit(0))).alias("waits"), F.greatest("level", F.coalesce("top", F.lit(0))).alias("level")), f"waiting-{turn}")
+        scratch.drop(f"waiting-{turn - 1}")
+    known = scratch.read("roots", sources.schema).withColumnsRenamed({"call_id": "root", "level": "base"})
+    return placed.join(apart(known), "root").select("call_id", (F.col("base") + F.col("dist")).alias("level"))
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -79,7 +115,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
     empty); ``results`` has ``call_id, result``. Status is ``ok``, or the first that holds of ``unknown_tool``,
     ``bad_json``, ``bad_arguments``, ``cycle`` (or a dependency on an unknown call) and ``no_result``. Of
     repeated results of an id the smallest counts; a call id that repeats gives a row for each repeat, and a
-    null call id links with nothing. Nulls in other columns become JSON nulls. Extra columns are ignored.
+    null call id links with nothing. Nulls in other columns become JSON nulls. Extra columns are ignored. Arguments
+    and results of any length are one row each, and empty tables give an empty one.
     """
     scratch = Scratch(calls.sparkSession, "calls")
     own = calls.select("conv_id", "call_id", "name", "arguments", F.coalesce("after", F.array().cast("array<string>")).alias("after"))
@@ -120,11 +157,25 @@ SCHEMAS = {
 }
 
 
+#: Turns of a conversation that one window covers.
+TURNS = 256
+
+
+def turn_before(turns: DataFrame) -> DataFrame:
+    """Rows with ``before``: the turn of the row before in the conversation. A window covers ``TURNS`` turns, the last of which the next one is told."""
+    ranged = turns.withColumn("range", F.floor(F.col("turn") / TURNS))
+    last = ranged.groupBy("conv_id", "range").agg(F.max("turn").alias("last"))
+    told = last.select("conv_id", "range", F.lag("last").over(Window.partitionBy("conv_id").orderBy("range")).alias("told"))
+    inside = Window.partitionBy("conv_id", "range").orderBy("turn")
+    near = ranged.withColumns({"before": F.lag("turn").over(inside), "first": F.row_number().over(inside) == 1})
+    same = near.conv_id.eqNullSafe(told.conv_id) & near.range.eqNullSafe(told.range)
+    return near.join(apart(told), same, "left").select(*[near[c] for c in turns.columns], F.when(F.col("first"), F.col("told")).otherwise(F.col("before")).alias("before"))
+
+
 def as_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results of a table of turns: a user's turn calls ``reply`` after the call before it, the assistant's next turn is its result."""
     name = lambda turn: F.concat_ws("-", F.col("conv_id"), turn)
-    users = turns.where("role = 'user'")
-    before = F.lag("turn").over(Window.partitionBy("conv_id").orderBy("turn"))
+    users, before = turn_before(turns.where("role = 'user'")), F.col("before")
     arguments = F.to_json(F.struct(F.col("text").alias("prompt"), "turn"))
     calls = users.select("conv_id", name(F.col("turn")).alias("call_id"), F.lit("reply").alias("name"), arguments.alias("arguments"), F.when(before.isNull(), F.array().cast("array<string>")).otherwise(F.array(name(before))).alias("after"))
     results = turns.where("role = 'assistant'").select(name(F.col("turn") - 1).alias("call_id"), F.col("text").alias("result"))
