@@ -79,7 +79,7 @@ def levels(calls: DataFrame, scratch: Scratch) -> DataFrame:
     Calls on a cycle, that depend on an unknown call, or on one of these, get no row. Calls with several needs
     take one round per level among themselves; all levels go to one table.
     """
-    edges = scratch.write(calls.select("call_id", F.explode("after").alias("need")).where("need is not null").distinct(), "edges")
+    edges = scratch.write(calls.select("call_id", F.explode("after").alias("need")).distinct(), "edges")
     needs = edges.groupBy("call_id").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("need"))
     nodes = scratch.write(calls.select("call_id").distinct().join(apart(needs), "call_id", "left").withColumn("n", F.coalesce("n", F.lit(0))), "nodes")
     placed = scratch.write(chains(nodes, scratch), "placed")

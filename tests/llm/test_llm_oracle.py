@@ -11,5 +11,5 @@ def test_matches_sql(spark, sf_dir, name):
     assert differences(QUERIES[name](spark, sf_dir), connect(sf_dir), ORACLE[name]) == []
 
 
-def test_ten_operators_have_a_query():
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+def test_every_operator_has_a_query():
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
