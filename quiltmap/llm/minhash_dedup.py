@@ -8,9 +8,12 @@ Documents with equal shingle sets are first folded into one. A set that shares n
 collection with another is in no bucket, so only the others get their 64 keys. Shingles that no other
 candidate has bound what a pair can share: sets and pairs that cannot reach the likeness are left out, and
 the member with the fewest is the most typical of its bucket. Each member is compared, on the full sets,
-with that one, and linked members are merged. Then members outside the largest component of their bucket
-are compared with those of other components, ``OUTSIDERS`` of a bucket in a turn. So a bucket of near
-copies costs about one row per member, no pair that could be linked goes untested, and nothing is capped.
+with that one, the bucket's hub, and linked members are merged. What is left are members of one bucket in
+different components, at least one of a pair not linked with the hub. Both are described by what they lack of
+the hub and what they have beside it. Sets that are alike enough share many of these differences, so they
+share one among few of either (a prefix in a fixed order, its length from the sizes alone), and a join finds
+all pairs that do. What all of them have in common takes no part in it, so near copies that differ in their
+own ways do not meet. No pair that could be linked goes untested, and nothing is capped.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quiltmap.llm.common import Scratch, apart, fold_case, holds, id_filter, load, mix, texts
@@ -26,8 +29,6 @@ from quiltmap.llm.components import components
 
 COLLECTION, HALF = 8, 2
 WORDS, PERCENT = 5, 80
-#: Members outside a bucket's largest component that one turn compares with the bucket, about.
-OUTSIDERS = 64
 
 _random = np.random.default_rng(20)
 _MUL = _random.integers(1, 1 << 63, (COLLECTION * HALF * 2, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -138,8 +139,30 @@ def lone_shingles(sets: DataFrame) -> DataFrame:
     return one.groupBy("id").agg(F.count(F.lit(1)).alias("lone"))
 
 
-def merge_buckets(scratch: Scratch, keys: DataFrame, halves: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``id, root`` of every set linked with a smaller one, from the buckets ``id, size, lone, i, j, key`` and all half keys ``id, halves``."""
+def differences(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``hub, id, root, far, hash``: whether a set is not linked with the hub, and the differences from it that a link must share one of.
+
+    Of a set x, let r and a be the numbers of shingles it lacks of the hub h and has beside it. Two sets share
+    |h| - r1 - r2 + s shingles, where s counts the differences they have in common. That a link needs percent /
+    (100 + percent) of both sizes bounds s from below: for a set that is far from the hub by its own missing share,
+    for a near one by what its far partner must lack. Any ``r + a - s + 1`` differences of either, the first in an
+    order that all sets have in common, then hold a common one. The rarest among those of the hub come first.
+    """
+    own = sets.select("id", F.col("hashes").alias("own_set"))
+    of_hub = sets.select(F.col("id").alias("hub"), F.col("hashes").alias("hub_set"))
+    both = grouped.join(own, "id").join(of_hub, "hub").withColumns({"beside": F.array_except("own_set", "hub_set"), "lacks": F.array_except("hub_set", "own_set")})
+    n, h, r, a = F.size("own_set"), F.size("hub_set"), F.size("lacks"), F.size("beside")
+    missing = percent * (n + h) - (100 + percent) * (h - r)
+    least = F.when(missing > 0, F.ceil(missing / 100)).otherwise(F.floor((100 * r + percent * a) / (100 + percent)) + 1)
+    length = (r + a - least + 1).alias("length")
+    each = both.select("hub", "id", "root", (missing > 0).alias("far"), length, F.explode(F.concat("beside", "lacks")).alias("hash")).where("length > 0")
+    met = each.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("hub", "hash")))
+    place = F.row_number().over(Window.partitionBy("hub", "id").orderBy("n", "hash"))
+    return met.withColumn("place", place).where("place <= length").select("hub", "id", "root", "far", "hash")
+
+
+def merge_buckets(scratch: Scratch, keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``id, root`` of every set linked with a smaller one, from the buckets ``id, size, lone, key``."""
     # at most so many of a set's shingles are in any other, so a pair's intersection has a bound before it is computed
     shared = F.least(F.col("size") - F.col("lone"), F.col("hub_size") - F.col("hub_lone"))
     fits = 100 * shared >= percent * (F.col("size") + F.col("hub_size") - shared)
@@ -149,37 +172,25 @@ def merge_buckets(scratch: Scratch, keys: DataFrame, halves: DataFrame, sets: Da
     hubs = scratch.write(keys.select("key", *as_hub).join(apart(hubs), ["key", "hub"]), "hubs")
     pairs = keys.join(hubs, "key").where(F.col("id") != F.col("hub")).where(fits).select("hub", F.col("id").alias("member")).distinct()
     labels = components(linked(pairs, sets, percent), scratch, "stars").withColumnRenamed("node", "id")
-    # in buckets that still hold several components: everyone outside the largest with everyone of another
-    placed = scratch.write(keys.join(labels, "id", "left").select("id", "size", "lone", "i", "j", "key", F.coalesce("root", "id").alias("root")), "placed")
+    placed = keys.join(labels, "id", "left").select("id", "size", "lone", "key", F.coalesce("root", "id").alias("root"))
+    placed = scratch.write(placed, "placed")
     # who differs too much from every size in its bucket has no links there
     smallest = F.greatest("low", F.col("size") - F.col("lone"))
     low = placed.groupBy("key").agg(F.min("size").alias("low"))
-    placed = placed.join(apart(low), "key").where(100 * (F.col("size") - F.col("lone")) >= percent * (F.col("lone") + smallest)).drop("low")
-    parts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed = parts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), F.sum("n").alias("members"), F.max("n").alias("most")).where("most < members")
-    outside = F.col("root") != F.col("largest")
-    turns = F.ceil((F.col("members") - F.col("most")) / OUTSIDERS)
-    turn = F.when(outside, F.pmod(F.xxhash64("id"), turns)).cast("int")
-    opened = placed.join(apart(mixed), "key").select("key", "id", "size", "lone", "i", "j", "root", turn.alias("turn"))
-    open_ = scratch.write(opened.join(halves, "id"), "open")
-    last = open_.agg(F.max("turn")).first()[0]
-    found = []
-    for now in range(0 if last is None else last + 1):
-        hubs = open_.where(F.col("turn") == now).select("key", *as_hub, F.col("root").alias("hub_root"), F.col("halves").alias("hub_halves"))
-        untested = F.col("turn").isNull() | (F.col("turn") > now) | ((F.col("turn") == now) & (F.col("id") > F.col("hub")))
-        # a pair comes once, from the first of the half keys it shares of either collection
-        same = F.zip_with("halves", "hub_halves", lambda x, y: x == y)
-        first = (F.array_position(same, True) == F.col("i") + 1) & (F.array_position(F.slice(same, COLLECTION + 1, COLLECTION), True) == F.col("j") + 1)
-        pairs = open_.join(hubs, "key").where((F.col("root") != F.col("hub_root")) & untested & fits & first)
-        both = pairs.select(F.least("hub", "id").alias("hub"), F.greatest("hub", "id").alias("member")).distinct()
-        found.append(scratch.write(linked(both, sets, percent), f"links-{now}"))
-    if not found:
+    placed = placed.join(apart(low), "key").where(100 * (F.col("size") - F.col("lone")) >= percent * (F.col("lone") + smallest))
+    # in buckets that still hold several components: everyone by its differences from the hub
+    mixed = placed.groupBy("key").agg(F.min("root").alias("one"), F.max("root").alias("other")).where("one < other").select("key")
+    grouped = placed.join(apart(mixed.join(hubs.select("key", "hub"), "key")), "key").select("hub", "id", "root").distinct()
+    prefix = scratch.write(differences(grouped, sets, percent), "differences")
+    far = prefix.where("far").select("hub", "hash", F.col("id").alias("far_id"), F.col("root").alias("far_root"))
+    once = ~F.col("far") | (F.col("id") > F.col("far_id"))
+    met = prefix.join(far, ["hub", "hash"]).where((F.col("root") != F.col("far_root")) & once)
+    both = met.select(F.least("far_id", "id").alias("hub"), F.greatest("far_id", "id").alias("member")).distinct()
+    links = scratch.write(linked(both, sets, percent), "links")
+    if links.isEmpty():
         return labels
     # links between components join the stars
-    links = found[0]
-    for more in found[1:]:
-        links = links.union(more)
-    roots = open_.select("id", "root").distinct()
+    roots = prefix.select("id", "root").distinct()
     joined = links.join(roots.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a").join(roots.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b")
     moved = components(joined.select(F.col("ra").alias("a"), F.col("rb").alias("b")), scratch, "joins").select(F.col("node").alias("root"), F.col("root").alias("to"))
     return labels.join(moved, "root", "left").select("id", F.coalesce("to", "root").alias("root")).union(moved.select(F.col("root").alias("id"), F.col("to").alias("root")))
@@ -200,20 +211,20 @@ def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sketches = scratch.write(own.mapInArrow(sketch(words), "id long, size long, digest binary, halves array<long>"), "sketches")
     named = sketches.where("id is not null and digest is not null")
-    groups = scratch.write(named.groupBy("digest").agg(F.min("id").alias("rep")), "groups")
-    reps = named.join(groups.select("digest", F.col("rep").alias("id")), ["digest", "id"], "left_semi")
+    # one row for a text, however often it comes
+    groups = scratch.write(named.groupBy("digest").agg(F.min(F.struct("id", "size", "halves")).alias("one")).select("digest", F.col("one.id").alias("rep"), "one.size", "one.halves"), "groups")
+    reps = groups.select(F.col("rep").alias("id"), "size", "halves")
     keys = bucket_keys(reps)
     crowded = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     keys = scratch.write(keys.join(apart(crowded), "key").distinct(), "keys")
     ids = keys.select("id").distinct()
     bloom = spark.sparkContext.broadcast(id_filter(ids, ids.count()))
-    sets = own.mapInArrow(sets_of(words, bloom), "id long, hashes array<long>").join(ids, "id", "left_semi")
+    sets = own.mapInArrow(sets_of(words, bloom), "id long, hashes array<long>").join(ids, "id", "left_semi").distinct()
     sets = scratch.write(sets, "sets")
     lone = lone_shingles(sets)
     sizes = sets.select("id", F.size("hashes").alias("size")).join(lone, "id", "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
-    keys = scratch.write(keys.join(sizes.where(100 * (F.col("size") - F.col("lone")) >= percent * F.col("size")), "id"), "members")
-    halves = sketches.where("id is not null").select("id", "halves")
-    labels = merge_buckets(scratch, keys, halves, sets, percent)
+    keys = scratch.write(keys.join(sizes.where(100 * (F.col("size") - F.col("lone")) >= percent * F.col("size")), "id").select("id", "size", "lone", "key").distinct(), "members")
+    labels = merge_buckets(scratch, keys, sets, percent)
     roots = groups.join(labels.select(F.col("id").alias("rep"), "root"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("root"))
     component = F.when(F.col("id").isNotNull(), F.coalesce("root", "id"))
     kind = docs.schema[id_col].dataType
