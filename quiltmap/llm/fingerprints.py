@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from quiltmap.llm.common import Scratch, apart, load, partitions
 from quiltmap.llm.components import components
-from quiltmap.llm.minhash_dedup import OUTSIDERS
 
 #: Coin flips repeat after PERIOD steps; characters fall into CLASSES; samples of an octave of positions.
 PERIOD, CLASSES, SAMPLES = 4096, 64, 64
@@ -32,6 +31,8 @@ DIGITS = np.frombuffer(b"0123456789abcdef-", np.uint8)
 BANDS, BAND = 16, 6
 #: Places drawn for each digit of a band, as some lie beyond a text's end.
 SPARE = 8
+#: Members outside a band's largest component that one turn compares with the band, about.
+OUTSIDERS = 64
 
 
 def _strides() -> np.ndarray:
