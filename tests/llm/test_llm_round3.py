@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quiltmap.llm import hard_negatives, periodic_runs, substring_dedup, tool_calls
+from quiltmap.llm import hard_negatives, minhash_dedup, periodic_runs, substring_dedup, tool_calls
 from quiltmap.llm.common import Scratch
 
 SHAPE = "doc_id long, text string, runs string, n_words int, doc int, twin string, first int, gone string, key string"
@@ -267,3 +267,62 @@ def test_the_turn_before_across_windows(spark, monkeypatch):
     got = sorted((r.conv_id or 0, r.turn, r.before) for r in tool_calls.turn_before(spark.createDataFrame(rows, "conv_id long, turn long")).collect())
     chain = [(0, None), (3, 0), (7, 3), (8, 7), (40, 8), (41, 40), (90, 41)]
     assert got == sorted([(c, *x) for c in (0, 1) for x in chain] + [(2, 5, None)], key=lambda x: x[:2])
+
+
+# Near-dedup: links left beside a hub
+
+
+def family(draw, base, edits):
+    words = list(base)
+    for at in draw.sample(range(len(words)), edits):
+        words[at] = f"e{draw.randrange(10**6)}" if draw.random() < 0.7 else draw.choice(["same", "edit"])
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_near_copies_around_a_hub(spark, seed):
+    """Variants of a few texts at likenesses on both sides of 0.8, with families of their own among those far from the hub."""
+    draw = random.Random(seed)
+    texts = []
+    for _ in range(2):
+        base = [f"w{draw.randrange(400)}" for _ in range(120)]
+        texts += [family(draw, base, draw.choice([0, 1, 2, 3])) for _ in range(40)]
+        for _ in range(6):
+            far = family(draw, base, draw.choice([4, 5, 6])).split(" ")
+            texts += [family(draw, far, draw.choice([0, 1, 2])) for _ in range(draw.choice([1, 4]))]
+    draw.shuffle(texts)
+    sets = [{tuple(w[i : i + 4]) for i in range(len(w) - 3)} for w in (t.split(" ") for t in texts)]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in minhash_dedup.near_dedup(docs, words=4).collect()}
+    assert got == {i: find(i) for i in range(len(texts))} and len(set(got.values())) > 2
+
+
+def test_repeats_of_a_row_are_one_text(spark):
+    docs = spark.range(300).selectExpr("7L AS doc_id", "'a b c d e f g h i j' AS text").union(spark.range(3).selectExpr("id AS doc_id", "'a b c d e f g h i j' AS text"))
+    sketches = docs.selectExpr("doc_id AS id", "text").mapInArrow(minhash_dedup.sketch(4), "id long, size long, digest binary, halves array<long>")
+    assert sketches.select("digest").distinct().count() == 1
+    got = minhash_dedup.near_dedup(docs, words=4).collect()
+    assert len(got) == 303 and {r.component_id for r in got} == {0} and sum(r.kept for r in got) == 1
+
+
+def test_exact_dedup_deals_texts_with_one_beginning(spark):
+    """Ranges split texts that begin alike, and what goes to the driver to find them does not grow with the texts."""
+    from quiltmap.llm import exact_dedup
+
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat(repeat('same beginning ', 400), id % 150) AS text").repartition(8)
+    got = exact_dedup.exact_dedup(docs)
+    assert {(r.doc_id % 150, r.keep_id, r.group_size) for r in got.collect()} == {(i, i, 3 if i < 100 else 2) for i in range(150)}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(substring(norm" in plan
