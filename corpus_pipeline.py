@@ -3,6 +3,11 @@
 Each stage is one operator of ``quiltmap.llm``. It takes the documents its predecessor kept, its result is
 written as Parquet in the shared folder, and the next stage reads that. All stages but the last return the
 columns of ``documents``.
+
+Every stage takes null and empty texts, nulls in any column, texts of any length, repeated rows and an empty
+table: documents without words are clean, hold one empty line, are near copies of nothing, weigh nothing in the
+mix (they come along with their block) and are one end-of-text token when packed. Repeated rows are
+documents of their own; columns beyond those of ``documents`` are carried along by all stages but the last.
 """
 
 from __future__ import annotations
@@ -31,7 +36,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the smallest id."""
+    """One document of each group of near duplicates stays, the one with the smallest id, as often as its row comes; those without an id stay."""
     kept = near.near_dedup(docs).where("kept").select(F.col("doc_id").alias("__id")).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
 

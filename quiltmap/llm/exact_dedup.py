@@ -2,8 +2,10 @@
 
 Each task first folds the copies of a batch into one unit (normalised bytes, best row, number of rows),
 so a text that a third of the rows hold leaves a task once per batch. Splitters sampled from the units
-range-partition the normalised bytes, an external sort puts equals next to each other, and neighbouring
-full comparisons end each run with the row that stays. Rows find their run by the digest of its bytes.
+range-partition the normalised bytes by their beginning, then their digest: a splitter is short however long
+the texts are, and texts with one long beginning in common are split too. An external sort of the whole bytes
+puts equals next to each other, and neighbouring full comparisons end each run with the row that stays. Rows
+find their run by the digest of its bytes.
 """
 
 from __future__ import annotations
@@ -17,6 +19,9 @@ from pyspark.sql import functions as F
 
 from quiltmap.llm.common import SPACE, Scratch, load, partitions, texts
 
+#: Bytes of a text's beginning that range-partition it, with its digest. Samples of both go to the driver.
+PREFIX = 32
+
 UNIT = "norm binary, digest binary, chars long, best {id}, n long, members array<{id}>"
 
 
@@ -87,7 +92,8 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     Texts are equal when identical without white space (U+0020, U+0009 to U+000D); null counts as empty,
     so null, empty and blank texts form one group. The row with the most code points stays, then the
     smallest id; a null id comes last. Repeated rows with one id are one kept row each: ``kept`` says that
-    the row's id is the group's ``keep_id``. An empty table gives an empty one. Ids are integers.
+    the row's id is the group's ``keep_id``. An empty table gives an empty one. Ids are integers; texts of any
+    length are compared whole, and other columns do not matter.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "exact-dedup")
@@ -95,7 +101,7 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     units = scratch.write(docs.select(id_col, text_col).mapInArrow(fold_copies, UNIT.format(id=kind)), "units")
     runs = (
         units.select("norm", "digest", "chars", "best", "n")
-        .repartitionByRange(partitions(spark), "norm")
+        .repartitionByRange(partitions(spark), F.substring("norm", 1, PREFIX), "digest")
         .sortWithinPartitions("norm")
         .mapInArrow(end_runs, f"digest binary, keep {kind}, size long")
     )

@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from quiltmap.llm.common import Scratch, load
 
-#: Labelled rows that are learned from at most, those of the smallest hash of their id; entries of the lexicon at most.
-TRAIN_ROWS, ENTRIES = 50_000, 2_000
+#: Labelled rows that are learned from at most, those of the smallest hash of their id.
+TRAIN_ROWS = 50_000
 SHORTEST, LONGEST = 4, 12
 #: An entry is found in so many toxic rows and has at least these log-odds.
 LEAST_ROWS, LEAST_ODDS = 5, 2.2
@@ -152,7 +152,8 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
     def counted(label: int, wanted: frozenset[str] | None, least: int) -> dict[str, int]:
         found = rows.where(F.col("toxic") == label).select("text").mapInArrow(count(wanted), "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
-        return {r["entry"]: r["n"] for r in found.where(F.col("n") >= least).orderBy(F.desc("n"), "entry").limit(20 * ENTRIES).collect()}
+        # the rows learned from are bounded, so what so many of them share is too; of clean ones, the same entries are asked for
+        return {r["entry"]: r["n"] for r in found.where(F.col("n") >= least).collect()}
 
     inside = counted(1, None, max(LEAST_ROWS, toxic // 100) if toxic >= 4 * LEAST_ROWS else 2)
     outside = counted(0, frozenset(inside) | {entry[:-1] + "~" for entry in inside}, 1)
@@ -193,7 +194,7 @@ def choose(inside: dict[str, int], outside: dict[str, int], toxic: int, clean: i
         out[entry] = odds[entry]
     # a word whose longer forms are in no clean row stands for those too
     out |= {e[:-1] + "~": w for e, w in out.items() if e[-1] == "$" and len(e) > SHORTEST + 1 and not outside.get(e[:-1] + "~")}
-    return dict(sorted(out.items(), key=lambda x: (-inside.get(x[0], 0), x[0]))[:ENTRIES])
+    return dict(sorted(out.items(), key=lambda x: (-inside.get(x[0], 0), x[0])))
 
 
 def _points(lexicon: Lexicon):

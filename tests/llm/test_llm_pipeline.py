@@ -61,3 +61,29 @@ def test_each_stage_takes_effect_and_spares_clean_documents(spark, tmp_path):
     kept = {r.doc_id: r.text for r in seen["near_dedup"]}
     assert tokens == {i: ids["mix"].count(i) * (len(vocab.encode(kept[i])) // 4 + 1) for i in set(ids["mix"])}
     assert sorted(tuple(r) for r in pipeline.run(spark, str(tmp_path)).select("doc_id", "start", "length", "ids_crc32").collect()) == sorted((r.doc_id, r.start, r.length, r.ids_crc32) for r in seen["pack"])
+
+
+SHAPE = "doc_id long, text string, lang string, source string, n_chars long, key string, id int, score double"
+
+
+def test_stages_take_nulls_repeats_and_nothing(spark, tmp_path):
+    line = "\n".join(["a line that many share", "own words of this document here"])
+    rows = [(1, line), (1, line), (2, None), (3, ""), (4, " \n"), (None, line), (None, None), (5, "word " * 30_000), *((10 + i, f"a line that many share\nand what only document {i} says, number {i * i}") for i in range(12))]
+    docs = spark.createDataFrame([(i, t, None, None if k % 2 else "s", None, "k", 7, 1.5) for k, (i, t) in enumerate(rows)], SHAPE)
+    spark.createDataFrame([(1, 1, 0), (None, 0, 1), (10, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = {}
+    for name, stage in pipeline.STAGES:
+        got = stage(spark, docs, str(tmp_path))
+        assert name == "pack" or got.columns == docs.columns
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+        out[name] = got.collect()
+    ids = {name: sorted((r.doc_id is None, r.doc_id or 0) for r in found) for name, found in out.items()}
+    everyone = sorted((i is None, i or 0) for i, _ in rows)
+    assert ids["toxicity"] == everyone and ids["line_dedup"] == everyone
+    texts = {(r.doc_id, r.text) for r in out["line_dedup"]}
+    assert (2, "") in texts and (1, line) in texts and (None, "own words of this document here") in texts
+    # ten rows or more share the line, and it stays in both rows of the smallest id
+    assert sum("a line that many share" in r.text for r in out["line_dedup"]) == 2
+    assert ids["near_dedup"] == everyone
+    assert {r.doc_id for r in out["mix"]} <= {i for i, _ in rows}
+    assert sum(r.doc_tokens for r in out["pack"] if r.doc_id in (2, 3)) == 2
