@@ -156,7 +156,8 @@ def differences(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     least = F.when(missing > 0, F.ceil(missing / 100)).otherwise(F.floor((100 * r + percent * a) / (100 + percent)) + 1)
     length = (r + a - least + 1).alias("length")
     each = both.select("hub", "id", "root", (missing > 0).alias("far"), length, F.explode(F.concat("beside", "lacks")).alias("hash")).where("length > 0")
-    met = each.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("hub", "hash")))
+    # dealt anew, so that the join before may split a hub that many sets have
+    met = each.repartition("hub", "hash").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("hub", "hash")))
     place = F.row_number().over(Window.partitionBy("hub", "id").orderBy("n", "hash"))
     return met.withColumn("place", place).where("place <= length").select("hub", "id", "root", "far", "hash")
 
