@@ -19,7 +19,7 @@ from quiltmap.llm import line_dedup as lines
 from quiltmap.llm import minhash_dedup as near
 from quiltmap.llm import mixing, packing
 from quiltmap.llm import toxicity as tox
-from quiltmap.llm.common import Scratch, load
+from quiltmap.llm.common import Scratch, load, owned
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,11 +64,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``. A stage's table is dropped once the next has been written."""
+    """All stages over ``documents``. A stage's table is dropped once the next has been written, its operator's own at once."""
     scratch = Scratch(spark, "pipeline")
     docs, before = load(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = scratch.write(stage(spark, docs, sf_dir), name)
+        with owned():
+            docs = scratch.write(stage(spark, docs, sf_dir), name)
         if before:
             scratch.drop(before)
         before = name

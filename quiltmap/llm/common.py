@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -38,15 +40,34 @@ def apart(df: DataFrame) -> DataFrame:
     return df.hint("rebalance")
 
 
+_owners: ContextVar[tuple[list, ...]] = ContextVar("owners", default=())
+
+
+@contextmanager
+def owned():
+    """Deletes, at its end, the tables of all jobs begun inside: for callers that write a result before they go on."""
+    made: list[Scratch] = []
+    token = _owners.set((*_owners.get(), made))
+    try:
+        yield
+    finally:
+        _owners.reset(token)
+        for scratch in made:
+            scratch.drop("")
+
+
 class Scratch:
     """Tables of one job below ``spark.checkpoint.dir``: lineage ends at each, lost executors cost no rework.
 
-    ``drop`` deletes a table that no later step reads.
+    ``drop`` deletes a table that no later step reads. A result is read from its tables, so they stay until whoever
+    asked for it is done: see ``owned``.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+        for made in _owners.get():
+            made.append(self)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"

@@ -1,5 +1,6 @@
 """The pipeline's stages on planted documents, and its run against what the stages must keep."""
 
+import os
 import random
 
 import corpus_pipeline as pipeline
@@ -60,7 +61,11 @@ def test_each_stage_takes_effect_and_spares_clean_documents(spark, tmp_path):
     vocab = packing.vocabulary(packing.default_path())
     kept = {r.doc_id: r.text for r in seen["near_dedup"]}
     assert tokens == {i: ids["mix"].count(i) * (len(vocab.encode(kept[i])) // 4 + 1) for i in set(ids["mix"])}
+    before = set(os.listdir(spark.conf.get("spark.checkpoint.dir")))
     assert sorted(tuple(r) for r in pipeline.run(spark, str(tmp_path)).select("doc_id", "start", "length", "ids_crc32").collect()) == sorted((r.doc_id, r.start, r.length, r.ids_crc32) for r in seen["pack"])
+    # of all tables below the shared folder only the last stage's is left
+    (left,) = set(os.listdir(spark.conf.get("spark.checkpoint.dir"))) - before
+    assert os.listdir(os.path.join(spark.conf.get("spark.checkpoint.dir"), left)) == ["pack"]
 
 
 SHAPE = "doc_id long, text string, lang string, source string, n_chars long, key string, id int, score double"
