@@ -192,7 +192,8 @@ def mosaic(
         colours = F.slice("bands", 1, COLOURS).alias("bands")
         own = chunks.where(F.col("job_id") == job.job_id)
         tiles = with_priority(own, inputs).select("zoom", "col", "row", "priority", colours)
-        levels = pyramid_tiles(tiles, output_tile, across, path=f"{job.target}/levels", orders=False)
+        version = inputs.agg(F.bit_xor(F.xxhash64("source_uri", "tiles", "zoom", "position"))).first()[0]
+        levels = pyramid_tiles(tiles, output_tile, across, path=f"{job.target}/levels", orders=False, version=version)
         if export:
             pyramid_export(levels, resolved(spark, f"{job.target}/png"), output_tile)
         if status is not None:

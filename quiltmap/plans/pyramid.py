@@ -131,6 +131,7 @@ def pyramid_tiles(
     path: str | None = None,
     levels_per_job: int = LEVELS_PER_JOB,
     orders: bool = True,
+    version: int | str | None = None,
 ) -> DataFrame:
     """The same pyramid on packed tiles, normally a table partitioned by zoom.
 
@@ -138,7 +139,7 @@ def pyramid_tiles(
     filter. A job finishes a few levels with one shuffle and leaves its last level halved, a quarter of
     the pixels, for the next one; that is all that a job reads of those before it. Without ``orders`` the
     finished tiles carry no priorities. With ``path``, a run over the same files goes on after the last job
-    that an interrupted one finished.
+    that an interrupted one finished, if ``version`` (of what else the tiles were made from) is the same too.
     """
     spark = tiles.sparkSession
     offset = across.bit_length() - 1
@@ -150,7 +151,7 @@ def pyramid_tiles(
     if not zooms or zooms[0] < min_zoom:
         removed(spark, f"{built}-log")
         return published(spark, built, path, MERGED)
-    progress = Progress(tiles, built, [dim, across, min_zoom, levels_per_job, orders, load])
+    progress = Progress(tiles, built, [dim, across, min_zoom, levels_per_job, orders, version, load])
     carried, quarters = 0, []
     for job in level_jobs(zooms, min_zoom, levels_per_job):
         hi, lo = job[0], job[-1]

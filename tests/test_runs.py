@@ -72,6 +72,19 @@ def test_a_pyramid_of_other_inputs_starts_anew(spark, tmp_path, monkeypatch):
     assert len(saved) == 2 * len(plans.level_jobs([8], 1, 3))
 
 
+def test_another_version_starts_anew(spark, tmp_path, monkeypatch):
+    source, path = str(tmp_path / "in"), str(tmp_path / "levels")
+    write_chunks(some_tiles(spark), source)
+    stored = spark.read.schema(TILES).parquet(source)
+    stop_at(monkeypatch, 1)
+    with pytest.raises(Stopped):
+        plans.pyramid_tiles(stored, 4, path=path, version=1)
+    monkeypatch.undo()
+    saved = stop_at(monkeypatch, 99)
+    plans.pyramid_tiles(stored, 4, path=path, version=2)
+    assert len(saved) == len(plans.level_jobs([8], 1, 3))
+
+
 def test_an_earlier_pyramid_stays_until_the_new_one_is_whole(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "levels")
     before = pixels(plans.pyramid_tiles(some_tiles(spark), 4, path=path))
