@@ -24,7 +24,7 @@ POSITIVES, NEGATIVES = 5, 10
 #: Negatives score between these percentages of their positive's score.
 LOW, HIGH = 30, 90
 #: Components of a part and of a block of anchors (about, at most), and parts at least.
-PART_VALUES, BLOCK_VALUES, PARTS = 1 << 21, 1 << 18, 32
+PART_VALUES, BLOCK_VALUES, PARTS = 1 << 22, 1 << 22, 32
 #: Scores computed in one go.
 SCORES = 1 << 21
 EXACT = 1 << 53
