@@ -140,13 +140,15 @@ def lone_shingles(sets: DataFrame) -> DataFrame:
 
 
 def differences(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``hub, id, root, far, hash``: whether a set is not linked with the hub, and the differences from it that a link must share one of.
+    """``hub, id, root, far, hash, most, need``: whether a set is not linked with the hub, and the differences from it that a link must share one of.
 
     Of a set x, let r and a be the numbers of shingles it lacks of the hub h and has beside it. Two sets share
     |h| - r1 - r2 + s shingles, where s counts the differences they have in common. That a link needs percent /
     (100 + percent) of both sizes bounds s from below: for a set that is far from the hub by its own missing share,
     for a near one by what its far partner must lack. Any ``r + a - s + 1`` differences of either, the first in an
     order that all sets have in common, then hold a common one. The rarest among those of the hub come first.
+    A pair that first meets at a difference can share ``most`` of both from there on, and must share what both
+    ``need`` (in parts of 100 + percent).
     """
     own = sets.select("id", F.col("hashes").alias("own_set"))
     of_hub = sets.select(F.col("id").alias("hub"), F.col("hashes").alias("hub_set"))
@@ -155,11 +157,13 @@ def differences(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     missing = percent * (n + h) - (100 + percent) * (h - r)
     least = F.when(missing > 0, F.ceil(missing / 100)).otherwise(F.floor((100 * r + percent * a) / (100 + percent)) + 1)
     length = (r + a - least + 1).alias("length")
-    each = both.select("hub", "id", "root", (missing > 0).alias("far"), length, F.explode(F.concat("beside", "lacks")).alias("hash")).where("length > 0")
+    # half of the hub's size is taken off either side's need
+    need = (2 * percent * n + 2 * (100 + percent) * r - (100 + percent) * h).alias("need")
+    each = both.select("hub", "id", "root", (missing > 0).alias("far"), length, (r + a).alias("all"), need, F.explode(F.concat("beside", "lacks")).alias("hash")).where("length > 0")
     # dealt anew, so that the join before may split a hub that many sets have
     met = each.repartition("hub", "hash").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("hub", "hash")))
     place = F.row_number().over(Window.partitionBy("hub", "id").orderBy("n", "hash"))
-    return met.withColumn("place", place).where("place <= length").select("hub", "id", "root", "far", "hash")
+    return met.withColumn("place", place).where("place <= length").select("hub", "id", "root", "far", "hash", (F.col("all") - F.col("place") + 1).alias("most"), "need")
 
 
 def merge_buckets(scratch: Scratch, keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -183,9 +187,10 @@ def merge_buckets(scratch: Scratch, keys: DataFrame, sets: DataFrame, percent: i
     mixed = placed.groupBy("key").agg(F.min("root").alias("one"), F.max("root").alias("other")).where("one < other").select("key")
     grouped = placed.join(apart(mixed.join(hubs.select("key", "hub"), "key")), "key").select("hub", "id", "root").distinct()
     prefix = scratch.write(differences(grouped, sets, percent), "differences")
-    far = prefix.where("far").select("hub", "hash", F.col("id").alias("far_id"), F.col("root").alias("far_root"))
+    far = prefix.where("far").select("hub", "hash", *(F.col(c).alias(f"far_{c}") for c in ("id", "root", "most", "need")))
+    enough = 2 * (100 + percent) * F.least("most", "far_most") >= F.col("need") + F.col("far_need")
     once = ~F.col("far") | (F.col("id") > F.col("far_id"))
-    met = prefix.join(far, ["hub", "hash"]).where((F.col("root") != F.col("far_root")) & once)
+    met = prefix.join(far, ["hub", "hash"]).where((F.col("root") != F.col("far_root")) & once & enough)
     both = met.select(F.least("far_id", "id").alias("hub"), F.greatest("far_id", "id").alias("member")).distinct()
     links = scratch.write(linked(both, sets, percent), "links")
     if links.isEmpty():
