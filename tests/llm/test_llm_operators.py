@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quiltmap.llm import components, fingerprints, html_extract, minhash_dedup, mixing, packing, toxicity, url_filters
 from quiltmap.llm.common import Scratch, filter_bits, holds, put, put_twice
@@ -268,6 +269,112 @@ def test_url_rules_by_brute_force(spark, sf_dir):
         assert (r.host, r.path, r.rule) == (host, path, rule[1]) and r.verdict == (rule[2] or r.verdict)
 
 
+def templates_slowly(paths, labels):
+    """Template and purity of each ``(host, path)``, page by page; ``labels`` holds 1 for block, 0 for allow, None, for each page."""
+    u, extension = url_filters, re.compile(url_filters.EXTENSION)
+
+    def wild(segment):
+        return "*" + (extension.search(segment)[1] if extension.search(segment) else "")
+
+    trails, parts = [("",) for _ in paths], []
+    for _, path in paths:
+        own = path.removeprefix("/").split("/") if path else []
+        parts.append(own if len(own) <= u.DEPTH else [*own[: u.DEPTH - 1], "/".join(own[u.DEPTH - 1 :])])
+    for depth in range(max(map(len, parts), default=0)):
+        kinds = {}
+        for (host, _), trail, own in zip(paths, trails, parts, strict=True):
+            if len(own) > depth:
+                seen = kinds.setdefault((host, trail[-1]), {})
+                seen[own[depth]] = seen.get(own[depth], 0) + 1
+        for i, own in enumerate(parts):
+            if len(own) > depth:
+                seen = kinds[paths[i][0], trails[i][-1]]
+                varies = len(seen) >= u.VARIETY and seen[own[depth]] * u.VARIETY < sum(seen.values())
+                trails[i] += (trails[i][-1] + "/" + (wild(own[depth]) if varies else own[depth]),)
+    nodes = {}  # (host, node): above, pages, labels, blocked
+    for (host, _), trail, label in zip(paths, trails, labels, strict=True):
+        for k, node in enumerate(trail):
+            n = nodes.setdefault((host, node), [trail[k - 1] if k else None, 0, 0, 0])
+            n[1], n[2], n[3] = n[1] + 1, n[2] + (label is not None), n[3] + (label or 0)
+    below = {}
+    for (host, node), n in nodes.items():
+        below.setdefault((host, n[0]), []).append(node)
+    alike = set()
+    for (host, above), some in below.items():
+        if above is None:
+            continue
+        tables = {node: {c.split("/")[-1]: nodes[host, c][1] for c in below.get((host, node), ())} for node in some}
+        columns = {c for t in tables.values() for c in t}
+        size = {node: sum(t.values()) for node, t in tables.items()}
+        for node, t in tables.items():
+            chi = 0.0
+            for c in columns if size[node] else ():
+                expected = sum(x.get(c, 0) for x in tables.values()) * size[node] / sum(size.values())
+                chi += (t.get(c, 0) - expected) ** 2 / expected
+            if not size[node] or chi <= len(columns) - 1 + 3 * (2 * (len(columns) - 1)) ** 0.5:
+                alike.add((host, node))
+
+    def shape(node):
+        return "/".join(wild(s) if re.search("[0-9]", s) else s for s in node.split("/"))
+
+    own = {}
+    for (host, node), n in nodes.items():
+        if n[0] is not None:
+            o = own.setdefault((shape(node), host), [0, 0])
+            o[0], o[1] = o[0] + n[2], o[1] + n[3]
+    votes = [(form, ".".join(host.split(".")[-2:]), b * u.VOTE // n / u.VOTE) for (form, host), (n, b) in own.items() if n]
+
+    def towards(some, p):
+        return (sum(some) + u.PRIOR_LABELS * p) / (len(some) + u.PRIOR_LABELS)
+
+    def pool(host, form):
+        wide = [v for f, _, v in votes if f == form]
+        near = [v for f, domain, v in votes if f == form and domain == ".".join(host.split(".")[-2:])]
+        return towards(near, towards(wide, u.PRIOR)) if wide else None
+
+    out = []
+    for (host, _), trail in zip(paths, trails, strict=True):
+        p = u.PRIOR
+        for node in trail:
+            above, _, n, b = nodes[host, node]
+            said = pool(host, shape(node)) if above is not None else None
+            if (host, node) in alike:
+                merged = [x for x in below[host, above] if (host, x) in alike]
+                n, b = (sum(nodes[host, x][k] for x in merged) for k in (2, 3))
+            if n:
+                p = (b + u.PRIOR_LABELS * (p if said is None else said)) / (n + u.PRIOR_LABELS)
+            else:
+                p = u.PRIOR if said is None else said
+        out.append((trail[-1], p))
+    return out
+
+
+def test_templates_and_purities_by_brute_force(spark, sf_dir):
+    odd = ["http://odd.example.com", "http://odd.example.com/", "http://odd.example.com/a/b/c/d/e/f/g/h.html", "http://odd.example.com//x//", "none", None]
+    pages = table(spark, sf_dir, "pages").select("url").union(spark.createDataFrame([(u,) for u in odd], "url string"))
+    got = url_filters.url_filter(pages).collect()
+    assert len(got) == pages.count()
+    slow = templates_slowly([(r.host, r.path) for r in got], [{"block": 1, "allow": 0}[r.verdict] if r.rule else None for r in got])
+    for r, (template, purity) in zip(got, slow, strict=True):
+        assert r.template == template and r.purity == pytest.approx(purity), (r, template, purity)
+        assert r.rule or r.verdict == ("block" if r.purity >= url_filters.REJECT else "allow")
+    # templates decide where no rule does, in both directions
+    assert {r.verdict for r in got if not r.rule} == {"allow", "block"}
+
+
+def test_hosts_without_labels_are_judged_by_others_of_their_domain(spark):
+    """Labels of one host in five are hidden: the tree finds them again from the other hosts."""
+    pages = url_filters.url_filter(table(spark, "/root/testdata/sf0.1", "pages")).where("host <> '' and rule is not null").select("host", "path", "verdict")
+    hidden = F.pmod(F.crc32(F.col("host").cast("binary")), F.lit(5)) == 0
+    label = F.when(~hidden, F.when(F.col("verdict") == "block", 1).otherwise(0))
+    counts = pages.groupBy("host", "path").agg(F.count(F.lit(1)).alias("pages"), F.count(label).alias("labels"), F.coalesce(F.sum(label), F.lit(0)).alias("blocked"))
+    found = url_filters.judged_paths(counts, Scratch(spark, "hidden"))
+    got = pages.where(hidden).join(found, ["host", "path"]).select("verdict", "purity").collect()
+    block = [r for r in got if r.verdict == "block"]
+    assert len(got) > 50 and len(block) > 20
+    right = sum((r.purity >= url_filters.REJECT) == (r.verdict == "block") for r in got) / len(got)
+    assert right >= 0.9 > 1 - len(block) / len(got)
+
 def test_templates_of_blocked_branches_are_rejected(spark):
     rows = [(f"http://a.org/{kind}/{i}.html", kind) for kind in ("good", "bad") for i in range(40)]
     rows += [("http://a.org/bad/last", "bad"), ("http://b.org/x", None)]
