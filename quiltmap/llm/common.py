@@ -1,9 +1,11 @@
-"""Small helpers that the operators share: tables, scratch tables, bytes of text, Bloom filters."""
+"""Small helpers that the operators share: tables, scratch tables, bytes of text, memory of workers, Bloom filters."""
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -87,6 +89,40 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+# Workers are reused by one task after another, of any operator, and several wait at once.
+
+_cached: dict = {}
+
+
+def cached(key, build: Callable):
+    """What ``build`` makes, once for a worker process, until it works for another operator."""
+    if key not in _cached:
+        _cached[key] = build()
+    return _cached[key]
+
+
+def tidily(operator: str):
+    """For a function over Arrow batches: frees what other operators cached before it, and gives free memory back after it."""
+
+    def wrap(call):
+        @functools.wraps(call)
+        def run(batches):
+            if _cached.get("operator") != operator:
+                _cached.clear()
+                _cached["operator"] = operator
+            try:
+                yield from call(batches)
+            finally:
+                pa.default_memory_pool().release_unused()
+                trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+                if trim:
+                    trim(0)
+
+        return run
+
+    return wrap
+
+
 # Bloom filters: a power of two of bits, four per key, kept as bytes.
 
 HASHES = 4

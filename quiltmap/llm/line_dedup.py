@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltmap.llm.common import FILTER, SPACE, Scratch, apart, chunks, filter_bits, holds, load, merged, put_twice, texts
+from quiltmap.llm.common import FILTER, SPACE, Scratch, apart, chunks, filter_bits, holds, load, merged, put_twice, texts, tidily
 
 #: Lines of a document that the filters are sized for.
 LINES_EXPECTED = 16
@@ -49,6 +49,7 @@ def repeat_filter(docs: DataFrame, text_col: str, min_chars: int) -> np.ndarray:
     spark = docs.sparkSession
     bits = filter_bits(docs.count() * LINES_EXPECTED)
 
+    @tidily("lines")
     def build(batches):
         once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
         for batch in batches:
@@ -65,6 +66,7 @@ def repeat_filter(docs: DataFrame, text_col: str, min_chars: int) -> np.ndarray:
 def suspects(docs: DataFrame, twice, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     """``id, number, key`` of the lines that may repeat: the first line of each key in each document."""
 
+    @tidily("lines")
     def pick(batches):
         for batch in batches:
             ids, owner, number, key = batch.column(0), [], [], []
@@ -112,6 +114,7 @@ def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     schema = docs.select(*own).schema.add("n_lines", "long").add("n_dropped", "long")
     at = own.index(text_col)
 
+    @tidily("lines")
     def clean(batches):
         for batch in batches:
             out, lines, dropped = [], [], []

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quiltmap.llm.common import Scratch, apart, fold_case, holds, id_filter, load, mix, texts
+from quiltmap.llm.common import Scratch, apart, cached, fold_case, holds, id_filter, load, mix, texts, tidily
 from quiltmap.llm.components import components
 
 COLLECTION, HALF = 8, 2
@@ -50,9 +50,6 @@ class WordHashes(dict):
         return digest
 
 
-_hashes = WordHashes()
-
-
 def shingles(text: bytes | None, words: int) -> np.ndarray:
     """The sorted distinct 64-bit hashes of a text's shingles: A-Z lower-cased, words split at ASCII white space.
 
@@ -61,7 +58,8 @@ def shingles(text: bytes | None, words: int) -> np.ndarray:
     found = fold_case(text).split()
     if not found:
         return np.empty(0, np.uint64)
-    h = np.frombuffer(b"".join(map(_hashes.__getitem__, found)), np.uint64)
+    known = cached("word hashes", WordHashes)
+    h = np.frombuffer(b"".join(map(known.__getitem__, found)), np.uint64)
     width = min(words, len(h))
     place = np.resize(_PLACE, width)
     out = np.full(len(h) - width + 1, width, np.uint64)
@@ -82,6 +80,7 @@ def half_keys(hashes: np.ndarray) -> np.ndarray:
 def sketch(words: int):
     """Per row: id, size of the set, its digest and the half keys."""
 
+    @tidily("minhash")
     def call(batches):
         for batch in batches:
             size, digest, halves = [], [], []
@@ -98,6 +97,7 @@ def sketch(words: int):
 def sets_of(words: int, bloom):
     """The full sets of the rows whose id may be asked for."""
 
+    @tidily("minhash")
     def call(batches):
         for batch in batches:
             ids = batch.column(0)

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltmap.llm.common import load
+from quiltmap.llm.common import cached, load, tidily
 
 CAPACITY, END = 2048, 1
 #: Pieces that are packed together; the memory of a run is at most RUN * capacity ids.
@@ -75,13 +75,8 @@ class Vocabulary:
         return array("I", encoding.encode_ordinary(text)).tobytes()
 
 
-_vocabularies: dict[tuple[str, bool], Vocabulary] = {}
-
-
 def vocabulary(path: str, added: bool = False) -> Vocabulary:
-    if (path, added) not in _vocabularies:
-        _vocabularies[path, added] = Vocabulary(path, added)
-    return _vocabularies[path, added]
+    return cached(("vocabulary", path, added), lambda: Vocabulary(path, added))
 
 
 def encode_all(some: list[str | None], path: str, end: int, added: bool = False):
@@ -114,6 +109,7 @@ def assign(lengths: np.ndarray, capacity: int, linear: float = LINEAR, quadratic
 def pack_task(path: str, capacity: int, end: int, added: bool = False):
     """Cuts and packs the documents of a task: full pieces at once, rests run by run."""
 
+    @tidily("packing")
     def call(batches):
         task, used = TaskContext.get().partitionId() << 34, 0
         rests: list[tuple[int | None, int, bytes, int]] = []

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltmap.llm.common import Scratch, load
+from quiltmap.llm.common import Scratch, load, tidily
 
 #: Labelled rows that are learned from at most, those of the smallest hash of their id.
 TRAIN_ROWS = 50_000
@@ -139,6 +139,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         return Lexicon({}, exceptions)
 
     def count(wanted: frozenset[str] | None):
+        @tidily("toxicity")
         def call(batches):
             for batch in batches:
                 for at in range(0, batch.num_rows, 1000):
@@ -161,6 +162,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     # words of much copied toxic texts are no reason: an entry must be among the two commonest of some rows
     order = {e: i for i, e in enumerate(entries)}
 
+    @tidily("toxicity")
     def credit(batches):
         for batch in batches:
             found: Counter[str] = Counter()
@@ -198,6 +200,7 @@ def choose(inside: dict[str, int], outside: dict[str, int], toxic: int, clean: i
 
 
 def _points(lexicon: Lexicon):
+    @tidily("toxicity")
     def call(batches):
         own = Lexicon(lexicon.weights, lexicon.exceptions).build()
         for batch in batches:
@@ -229,6 +232,7 @@ def score(docs: DataFrame, lexicon: Lexicon, *, text_col: str = "text", into: st
     at = names.index(text_col)
     plain = Lexicon(lexicon.weights, lexicon.exceptions, lexicon.curve)
 
+    @tidily("toxicity")
     def call(batches):
         own = Lexicon(plain.weights, plain.exceptions, plain.curve).build()
         for batch in batches:
