@@ -37,6 +37,17 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Bytes of an Arrow batch that a task and its worker hold at once, several times over.
+BATCH_BYTES = 4 << 20
+
+
+def in_small_batches(spark: SparkSession) -> None:
+    """Ends Arrow batches at ``BATCH_BYTES`` from now on, as 10,000 long texts are many more; a value that the session has of its own stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if key not in spark.conf.getAll:
+        spark.conf.set(key, BATCH_BYTES)
+
+
 def apart(df: DataFrame) -> DataFrame:
     """Gives an aggregate an exchange of its own, so that a join with it can split hot keys of the other side."""
     return df.hint("rebalance")
@@ -101,8 +112,16 @@ def cached(key, build: Callable):
     return _cached[key]
 
 
+def give_back() -> None:
+    """Returns free memory to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def tidily(operator: str):
-    """For a function over Arrow batches: frees what other operators cached before it, and gives free memory back after it."""
+    """For a function over Arrow batches: frees what other operators cached before it, and gives free memory back before and after it."""
 
     def wrap(call):
         @functools.wraps(call)
@@ -110,13 +129,11 @@ def tidily(operator: str):
             if _cached.get("operator") != operator:
                 _cached.clear()
                 _cached["operator"] = operator
+                give_back()
             try:
                 yield from call(batches)
             finally:
-                pa.default_memory_pool().release_unused()
-                trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-                if trim:
-                    trim(0)
+                give_back()
 
         return run
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quiltmap.llm.common import Scratch, apart, cached, fold_case, holds, id_filter, load, mix, texts, tidily
+from quiltmap.llm.common import Scratch, apart, cached, fold_case, holds, id_filter, in_small_batches, load, mix, texts, tidily
 from quiltmap.llm.components import components
 
 COLLECTION, HALF = 8, 2
@@ -39,7 +39,7 @@ _PLACE = _random.integers(1, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.u
 class WordHashes(dict):
     """Remembers the hashes of short words, up to a bound."""
 
-    LARGEST = 300_000
+    LARGEST = 1 << 16
 
     def __missing__(self, word: bytes) -> bytes:
         digest = xxhash.xxh3_64_digest(word)
@@ -213,6 +213,7 @@ def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     integers. An empty table gives an empty one.
     """
     spark = docs.sparkSession
+    in_small_batches(spark)
     scratch = Scratch(spark, "near-dedup")
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sketches = scratch.write(own.mapInArrow(sketch(words), "id long, size long, digest binary, halves array<long>"), "sketches")
