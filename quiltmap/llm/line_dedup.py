@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltmap.llm.common import FILTER, SPACE, Scratch, apart, chunks, filter_bits, holds, load, merged, put_twice, texts, tidily
+from quiltmap.llm.common import FILTER, SPACE, Scratch, apart, chunks, filter_bits, holds, in_small_batches, load, merged, put_twice, texts, tidily
 
 #: Lines of a document that the filters are sized for.
 LINES_EXPECTED = 16
@@ -97,6 +97,7 @@ def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     if keep not in ("none", "first"):
         raise ValueError("keep is none or first")
     spark = docs.sparkSession
+    in_small_batches(spark)
     scratch = Scratch(spark, "line-dedup")
     twice = spark.sparkContext.broadcast(repeat_filter(docs, text_col, min_chars))
     found = scratch.write(suspects(docs, twice, id_col, text_col, min_chars), "suspects")

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltmap.llm.common import cached, load, tidily
+from quiltmap.llm.common import cached, in_small_batches, load, tidily
 
 CAPACITY, END = 2048, 1
 #: Pieces that are packed together; the memory of a run is at most RUN * capacity ids.
@@ -164,6 +164,7 @@ def pack(docs: DataFrame, *, path: str, capacity: int = CAPACITY, end: int = END
     unique, and the same again for the same partitions. An empty table gives an empty one; other columns
     are ignored.
     """
+    in_small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return own.mapInArrow(pack_task(path, capacity, end, added), f"id {kind}, {PIECE}").withColumnRenamed("id", id_col)

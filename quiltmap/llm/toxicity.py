@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltmap.llm.common import Scratch, load, tidily
+from quiltmap.llm.common import Scratch, in_small_batches, load, tidily
 
 #: Labelled rows that are learned from at most, those of the smallest hash of their id.
 TRAIN_ROWS = 50_000
@@ -131,6 +131,7 @@ def train_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, m
 
 def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", most: int = TRAIN_ROWS, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """The lexicon and curve from at most ``most`` labelled rows. Without toxic rows the lexicon is empty and scores are low."""
+    in_small_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "toxicity")
     rows = scratch.write(train_rows(docs, labels, id_col, text_col, most), "train")
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -228,6 +229,7 @@ def score(docs: DataFrame, lexicon: Lexicon, *, text_col: str = "text", into: st
 
     Null and empty texts score as texts without a hit. Order, repeats and other columns do not matter.
     """
+    in_small_batches(docs.sparkSession)
     names = [c for c in docs.columns if c != into]
     at = names.index(text_col)
     plain = Lexicon(lexicon.weights, lexicon.exceptions, lexicon.curve)

@@ -3,12 +3,15 @@
 import pyarrow as pa
 import pytest
 
-from quiltmap.llm import minhash_dedup
+from quiltmap.llm import line_dedup, minhash_dedup, packing, toxicity
 from quiltmap.llm.common import BATCH_BYTES, in_small_batches
 
 KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 CALLS = {
     "near_dedup": minhash_dedup.near_dedup,
+    "line_dedup": line_dedup.line_dedup,
+    "pack": lambda docs: packing.pack(docs, path=packing.default_path()),
+    "score": lambda docs: toxicity.score(docs, toxicity.Lexicon({}, ())),
 }
 
 
