@@ -21,6 +21,7 @@ from pyspark import cloudpickle
 EMPTY = np.iinfo(np.int64).min
 NOTHING = EMPTY >> 8  # the priority of a pixel nothing was drawn on
 BATCH_TILES = 32
+ASSEMBLED_BYTES = 1 << 22  # of tiles drawn at once; one tile may be larger
 
 BANDS_TYPE = pa.list_(pa.binary())
 MERGED = pa.schema(
@@ -52,6 +53,19 @@ def in_batches(records, schema, size=BATCH_TILES):
         yield pa.RecordBatch.from_pylist(held, schema)
 
 
+def joined(batches, least=10_000):
+    """Small batches as fewer ones of at least so many rows, the last aside."""
+    held, count = [], 0
+    for batch in batches:
+        held.append(batch)
+        count += batch.num_rows
+        if count >= least:
+            yield pa.concat_batches(held)
+            held, count = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def band_values(bands):
     return np.stack([np.frombuffer(b, np.uint8) for b in bands])
 
@@ -298,8 +312,8 @@ def split_each(across, schema):
 def explode_each(dim, names, schema):
     """Packed tiles to one row per pixel that holds data."""
 
-    def run(batches):
-        for tile in rows(batches):
+    def pixels(tiles):
+        for tile in tiles:
             values = band_values(tile["bands"])
             at = np.flatnonzero(values.any(axis=0))
             n = len(at)
@@ -315,6 +329,9 @@ def explode_each(dim, names, schema):
             }
             yield with_copies(tile, columns, n, schema)
 
+    def run(batches):
+        yield from joined(pixels(rows(batches)))
+
     return run
 
 
@@ -347,17 +364,44 @@ def with_copies(record, columns, n, schema):
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
-def assemble_group(dim, names, keep, schema):
-    """The pixels of one tile to its packed bands; repeated pixels take the larger value."""
+def assemble_runs(dim, names, keep, schema):
+    """Pixels sorted by tile to packed tiles, many at a time; repeated pixels take the larger value."""
+    cells = dim * dim
+    most = max(1, ASSEMBLED_BYTES // (cells * len(names)))
+
+    def out(keys, canvas):
+        bands = pa.array([[band.tobytes() for band in tile] for tile in canvas], schema.field("bands").type)
+        return pa.RecordBatch.from_arrays([*(keys.column(k) for k in keep), bands], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, first = np.zeros((len(names), dim * dim), np.uint8), None
+        held = None  # the last tile may go on in the next batch
         for batch in batches:
-            first = first or batch.slice(0, 1).to_pylist()[0]
+            if not batch.num_rows:
+                continue
+            new = np.zeros(batch.num_rows, bool)
+            new[0] = True
+            for key in keep:
+                code = batch.column(key).dictionary_encode(null_encoding="encode").indices.to_numpy()
+                new[1:] |= code[1:] != code[:-1]
+            begin, tile = np.flatnonzero(new), np.cumsum(new) - 1
             at = batch["y"].to_numpy().astype(np.int64) * dim + batch["x"].to_numpy()
-            for i, name in enumerate(names):
-                np.maximum.at(values[i], at, batch[name].to_numpy().astype(np.uint8))
-        yield pa.RecordBatch.from_pylist([{**{k: first[k] for k in keep}, "bands": packed(values)}], schema)
+            values = [batch[name].to_numpy().astype(np.uint8) for name in names]
+            for lo in range(0, len(begin), most):
+                firsts = batch.select(keep).take(pa.array(begin[lo : lo + most]))
+                count = firsts.num_rows
+                part = slice(begin[lo], begin[lo + count] if lo + count < len(begin) else batch.num_rows)
+                canvas = np.zeros((count, len(names), cells), np.uint8)
+                for i, value in enumerate(values):
+                    np.maximum.at(canvas.reshape(-1), ((tile[part] - lo) * len(names) + i) * cells + at[part], value[part])
+                if held and held[0].equals(firsts.slice(0, 1)):
+                    np.maximum(canvas[0], held[1][0], out=canvas[0])
+                elif held:
+                    yield out(*held)
+                if count > 1:
+                    yield out(firsts.slice(0, count - 1), canvas[:-1])
+                held = firsts.slice(count - 1), canvas[-1:].copy()
+        if held:
+            yield out(*held)
 
     return run
 
@@ -492,20 +536,11 @@ def fragment_each(window, schema):
     return run
 
 
-def paste_group(window, keep, schema):
-    """The parts of one window, at most ``window * window`` pixels, to one piece."""
+def paste_runs(window, keep, schema):
+    """Parts sorted by window, at most ``window * window`` pixels of each, to one piece a window."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        canvas, first, right, bottom = None, None, 0, 0
-        for part in rows(batches):
-            values = band_values(part["bands"]).reshape(-1, part["height"], part["width"])
-            if canvas is None:
-                first = part
-                canvas = np.zeros((values.shape[0], window, window), np.uint8)
-            x, y = part["x0"] % window, part["y0"] % window
-            right, bottom = max(right, x + part["width"]), max(bottom, y + part["height"])
-            canvas[:, y : y + part["height"], x : x + part["width"]] = values
-        piece = {
+    def piece(first, canvas, right, bottom):
+        return {
             **{k: first[k] for k in keep},
             "x0": first["piece_col"] * window,
             "y0": first["piece_row"] * window,
@@ -513,7 +548,25 @@ def paste_group(window, keep, schema):
             "height": bottom,
             "bands": packed(canvas[:, :bottom, :right].reshape(canvas.shape[0], -1)),
         }
-        yield pa.RecordBatch.from_pylist([piece], schema)
+
+    def pieces(parts):
+        first = None
+        for part in parts:
+            values = band_values(part["bands"]).reshape(-1, part["height"], part["width"])
+            if first is None or any(part[k] != first[k] for k in keep):
+                if first is not None:
+                    yield piece(first, canvas, right, bottom)
+                first, right, bottom = part, 0, 0
+                canvas = np.zeros((values.shape[0], window, window), np.uint8)
+            x, y = part["x0"] % window, part["y0"] % window
+            right, bottom = max(right, x + part["width"]), max(bottom, y + part["height"])
+            canvas[:, y : y + part["height"], x : x + part["width"]] = values
+        if first is not None:
+            yield piece(first, canvas, right, bottom)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        few = (batch.slice(at, BATCH_TILES) for batch in batches for at in range(0, batch.num_rows, BATCH_TILES))
+        yield from in_batches(pieces(rows(few)), schema, size=8)
 
     return run
 

@@ -110,7 +110,7 @@ def tile_explode(tiles: DataFrame, keep: list[str], dim: int, names=BANDS) -> Da
 
 
 def tile_assemble(pixels: DataFrame, keep: list[str], dim: int, names=BANDS) -> DataFrame:
-    """Pixel rows to packed tiles: one group per ``keep`` and key, at most ``dim * dim`` pixels."""
+    """Pixel rows to packed tiles, one per ``keep`` and key: a task sorts its pixels by tile and draws many at a time."""
     placed = pixels.select(
         *keep,
         F.floor(F.col("gx") / dim).cast("int").alias("col"),
@@ -121,7 +121,7 @@ def tile_assemble(pixels: DataFrame, keep: list[str], dim: int, names=BANDS) ->
     )
     keys = [*keep, "col", "row"]
     out = kept_and(placed, keys, "bands array<binary>")
-    return spread(placed, *keys).groupBy(*keys).applyInArrow(kernels.assemble_group(dim, list(names), keys, arrow_schema(out)), out)
+    return spread(placed, *keys).sortWithinPartitions(*keys).mapInArrow(kernels.assemble_runs(dim, list(names), keys, arrow_schema(out)), out)
 
 
 def nonempty_tiles(tiles: DataFrame, dim: int) -> DataFrame:
@@ -148,8 +148,8 @@ def retile_blocks(blocks: DataFrame, keep: list[str], window: int = RETILE_WINDO
     else:
         cut = kernels.fragment_each(window, arrow)
     keys = [*keep, "piece_col", "piece_row"]
-    parts = spread(needed.mapInArrow(cut, out), *keys)
-    return parts.groupBy(*keys).applyInArrow(kernels.paste_group(window, keys, arrow), out)
+    parts = spread(needed.mapInArrow(cut, out), *keys).sortWithinPartitions(*keys)
+    return parts.mapInArrow(kernels.paste_runs(window, keys, arrow), out)
 
 
 def reproject_blocks(blocks: DataFrame, keep: list[str]) -> DataFrame:
