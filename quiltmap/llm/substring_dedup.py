@@ -17,6 +17,7 @@ surroundings is spread by them; rows that are settled pass through the same exch
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import partial
 
 import numpy as np
@@ -25,13 +26,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltmap.llm.common import Scratch, apart, load, mix, partitions, texts
+from quiltmap.llm.common import Scratch, apart, in_small_batches, load, mix, partitions, texts, tidily
 
 WINDOW = 20
 #: Words of whole documents that are hashed in one go.
 TOGETHER = 1 << 17
-#: Word hashes that a task remembers.
-REMEMBERED = 1 << 20
+#: Word hashes that a task remembers, and the bytes of the longest word among them.
+REMEMBERED, LONGEST = 1 << 16, 32
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 # A stretch of neighbouring windows of one document: ``first`` is the first one's place, ``n`` how many.
@@ -46,9 +47,11 @@ EXTENDED = f"right long, left long, {STRETCH}, gram_at int"
 
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
+        found = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = found
         return found
 
 
@@ -120,16 +123,18 @@ def segments(sequence: Sequence, window: int) -> dict[str, np.ndarray]:
     }
 
 
-def spelled(documents: list[list[bytes]], size: int = TOGETHER):
-    """Runs of whole documents of about ``size`` words: where each begins, and its documents."""
-    begin, words = 0, 0
-    for i, document in enumerate(documents):
-        if i > begin and words + len(document) > size:
-            yield begin, documents[begin:i]
-            begin, words = i, 0
+def spelled(column: Iterable[bytes | None], size: int = TOGETHER):
+    """Runs of whole documents of about ``size`` words: where each begins, and its documents, split only when their run comes."""
+    begin, words, run = 0, 0, []
+    for i, text in enumerate(column):
+        document = (text or b"").split()
+        if run and words + len(document) > size:
+            yield begin, run
+            begin, words, run = i, 0, []
+        run.append(document)
         words += len(document)
-    if begin < len(documents):
-        yield begin, documents[begin:]
+    if run:
+        yield begin, run
 
 
 def names_of(ddl: str) -> list[str]:
@@ -314,8 +319,8 @@ def scan(batches, window: int):
     known = WordHashes()
     for batch in batches:
         doc, twin = (batch.column(i).to_numpy() for i in (0, 1))
-        documents, found = [(t or b"").split() for t in texts(batch.column(2))], []
-        for begin, part in spelled(documents):
+        found = []
+        for begin, part in spelled(texts(batch.column(2))):
             c = segments(Sequence(part, known), window)
             if c:
                 owner = c.pop("owner") + begin
@@ -330,8 +335,8 @@ def spell(batches, window: int):
     known = WordHashes()
     for batch in batches:
         doc, twin = (batch.column(i).to_numpy() for i in (0, 1))
-        documents, wanted, found = [(t or b"").split() for t in texts(batch.column(2))], batch.column(3).to_pylist(), []
-        for begin, part in spelled(documents):
+        wanted, found = batch.column(3).to_pylist(), []
+        for begin, part in spelled(texts(batch.column(2))):
             sequence = Sequence(part, known)
             own = [places(wanted[begin + i], 0) for i in range(len(part))]
             owner = np.repeat(np.arange(len(part)), list(map(len, own)))
@@ -347,7 +352,7 @@ def spell(batches, window: int):
 def repeats(docs: DataFrame, scratch: Scratch, *, id_col: str, text_col: str, window: int) -> DataFrame:
     """``doc, twin, first, n``: the windows of each row whose words start earlier too."""
     source = docs.select(*keyed(id_col, text_col), F.col(text_col).alias("text"))
-    met = scratch.write(level_of_grams(source.mapInArrow(partial(scan, window=window), FIRST)), "grams")
+    met = scratch.write(level_of_grams(source.mapInArrow(tidily("substring")(partial(scan, window=window)), FIRST)), "grams")
     found = met.where("repeat").select(*names_of(STRETCH))
     grams = met.where("not repeat").drop("repeat")
     halves = met_again(grams.mapInArrow(partial(by_half, window=window), ASKED.format(of=STRETCH)), STRETCH)
@@ -355,7 +360,7 @@ def repeats(docs: DataFrame, scratch: Scratch, *, id_col: str, text_col: str, wi
     if left.isEmpty():
         return found
     wanted = source.join(listed(left, "stretches"), (F.col("doc") == F.col("__doc")) & (F.col("twin") == F.col("__twin"))).select("doc", "twin", "text", "stretches")
-    windows = wanted.mapInArrow(partial(spell, window=window), f"key long, key2 long, {STRETCH}, {LATER}")
+    windows = wanted.mapInArrow(tidily("substring")(partial(spell, window=window)), f"key long, key2 long, {STRETCH}, {LATER}")
     last = scratch.write(first_of(windows, ["key", "key2"], STRETCH).where("repeat").drop("repeat"), "windows")
     return found.union(last)
 
@@ -374,6 +379,7 @@ def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """
     if window < 4 or window % 4 or window > 262140:
         raise ValueError("window is a multiple of 4, at most 262140")
+    in_small_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "substring-dedup")
     gone = listed(repeats(docs, scratch, id_col=id_col, text_col=text_col, window=window), "__gone")
     own = [c for c in docs.columns if c not in ("n_words", "n_removed")]
@@ -382,6 +388,7 @@ def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     schema = docs.select(*own).schema.add("n_words", "long").add("n_removed", "long")
     at = own.index(text_col)
 
+    @tidily("substring")
     def clean(batches):
         for batch in batches:
             out, words, removed = [], [], []
