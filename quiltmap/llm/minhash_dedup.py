@@ -134,39 +134,48 @@ def bucket_keys(reps: DataFrame) -> DataFrame:
 
 
 def lone_shingles(sets: DataFrame) -> DataFrame:
-    """``id, lone``: how many of a set's shingles no other of the sets has."""
+    """``id, lone``: the shingles of a set that no other of the sets has, for sets that have any."""
     one = sets.select("id", F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id")).where("n = 1")
-    return one.groupBy("id").agg(F.count(F.lit(1)).alias("lone"))
+    return one.groupBy("id").agg(F.collect_list("hash").alias("lone"))
 
 
-def differences(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def differences(scratch: Scratch, grouped: DataFrame, sets: DataFrame, lone: DataFrame, percent: int) -> DataFrame:
     """``hub, id, root, far, hash, most, need``: whether a set is not linked with the hub, and the differences from it that a link must share one of.
 
     Of a set x, let r and a be the numbers of shingles it lacks of the hub h and has beside it. Two sets share
     |h| - r1 - r2 + s shingles, where s counts the differences they have in common. That a link needs percent /
     (100 + percent) of both sizes bounds s from below: for a set that is far from the hub by its own missing share,
     for a near one by what its far partner must lack. Any ``r + a - s + 1`` differences of either, the first in an
-    order that all sets have in common, then hold a common one. The rarest among those of the hub come first.
+    order that all sets have in common, then hold a common one. Shingles of a set that no other has come first:
+    nothing meets there, so they are counted and not made rows, and a set that has no place left has no links here.
+    The rarest among those of the hub follow. Hubs whose sets are all near, or of one component, are done.
     A pair that first meets at a difference can share ``most`` of both from there on, and must share what both
     ``need`` (in parts of 100 + percent).
     """
     own = sets.select("id", F.col("hashes").alias("own_set"))
     of_hub = sets.select(F.col("id").alias("hub"), F.col("hashes").alias("hub_set"))
-    both = grouped.join(own, "id").join(of_hub, "hub").withColumns({"beside": F.array_except("own_set", "hub_set"), "lacks": F.array_except("hub_set", "own_set")})
-    n, h, r, a = F.size("own_set"), F.size("hub_set"), F.size("lacks"), F.size("beside")
+    none = F.array().cast("array<long>")
+    both = grouped.join(own, "id").join(lone, "id", "left").join(of_hub, "hub").where("id <> hub")
+    both = both.withColumns({"beside": F.array_except(F.array_except("own_set", "hub_set"), F.coalesce("lone", none)), "lacks": F.array_except("hub_set", "own_set")})
+    n, h, r = F.size("own_set"), F.size("hub_set"), F.size("lacks")
+    a = n - h + r
     missing = percent * (n + h) - (100 + percent) * (h - r)
     least = F.when(missing > 0, F.ceil(missing / 100)).otherwise(F.floor((100 * r + percent * a) / (100 + percent)) + 1)
-    length = (r + a - least + 1).alias("length")
+    left = r + F.size("beside")
     # half of the hub's size is taken off either side's need
     need = (2 * percent * n + 2 * (100 + percent) * r - (100 + percent) * h).alias("need")
-    each = both.select("hub", "id", "root", (missing > 0).alias("far"), length, (r + a).alias("all"), need, F.explode(F.concat("beside", "lacks")).alias("hash")).where("length > 0")
+    both = both.select("hub", "id", "root", (missing > 0).alias("far"), (left - least + 1).alias("length"), left.alias("all"), need, F.concat("beside", "lacks").alias("hashes")).where("length > 0")
+    both = scratch.write(both, "described")
+    # a far set meets others of its hub that are in another component
+    open_hubs = both.groupBy("hub").agg(F.min("root").alias("one"), F.max("root").alias("other"), F.max("far").alias("any")).where("one < other and any").select("hub")
+    each = both.join(apart(open_hubs), "hub").select("hub", "id", "root", "far", "length", "all", "need", F.explode("hashes").alias("hash"))
     # dealt anew, so that the join before may split a hub that many sets have
     met = each.repartition("hub", "hash").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("hub", "hash")))
     place = F.row_number().over(Window.partitionBy("hub", "id").orderBy("n", "hash"))
     return met.withColumn("place", place).where("place <= length").select("hub", "id", "root", "far", "hash", (F.col("all") - F.col("place") + 1).alias("most"), "need")
 
 
-def merge_buckets(scratch: Scratch, keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def merge_buckets(scratch: Scratch, keys: DataFrame, sets: DataFrame, lone: DataFrame, percent: int) -> DataFrame:
     """``id, root`` of every set linked with a smaller one, from the buckets ``id, size, lone, key``."""
     # at most so many of a set's shingles are in any other, so a pair's intersection has a bound before it is computed
     shared = F.least(F.col("size") - F.col("lone"), F.col("hub_size") - F.col("hub_lone"))
@@ -186,7 +195,7 @@ def merge_buckets(scratch: Scratch, keys: DataFrame, sets: DataFrame, percent: i
     # in buckets that still hold several components: everyone by its differences from the hub
     mixed = placed.groupBy("key").agg(F.min("root").alias("one"), F.max("root").alias("other")).where("one < other").select("key")
     grouped = placed.join(apart(mixed.join(hubs.select("key", "hub"), "key")), "key").select("hub", "id", "root").distinct()
-    prefix = scratch.write(differences(grouped, sets, percent), "differences")
+    prefix = scratch.write(differences(scratch, grouped, sets, lone, percent), "differences")
     far = prefix.where("far").select("hub", "hash", *(F.col(c).alias(f"far_{c}") for c in ("id", "root", "most", "need")))
     enough = 2 * (100 + percent) * F.least("most", "far_most") >= F.col("need") + F.col("far_need")
     once = ~F.col("far") | (F.col("id") > F.col("far_id"))
@@ -228,10 +237,10 @@ def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     bloom = spark.sparkContext.broadcast(id_filter(ids, ids.count()))
     sets = own.mapInArrow(sets_of(words, bloom), "id long, hashes array<long>").join(ids, "id", "left_semi").distinct()
     sets = scratch.write(sets, "sets")
-    lone = lone_shingles(sets)
-    sizes = sets.select("id", F.size("hashes").alias("size")).join(lone, "id", "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
+    lone = scratch.write(lone_shingles(sets), "lone")
+    sizes = sets.select("id", F.size("hashes").alias("size")).join(lone.select("id", F.size("lone").alias("lone")), "id", "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
     keys = scratch.write(keys.join(sizes.where(100 * (F.col("size") - F.col("lone")) >= percent * F.col("size")), "id").select("id", "size", "lone", "key").distinct(), "members")
-    labels = merge_buckets(scratch, keys, sets, percent)
+    labels = merge_buckets(scratch, keys, sets, lone, percent)
     roots = groups.join(labels.select(F.col("id").alias("rep"), "root"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("root"))
     component = F.when(F.col("id").isNotNull(), F.coalesce("root", "id"))
     kind = docs.schema[id_col].dataType
