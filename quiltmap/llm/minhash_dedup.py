@@ -9,7 +9,9 @@ collection with another is in no bucket, so only the others get their 64 keys. S
 candidate has bound what a pair can share: sets and pairs that cannot reach the likeness are left out, and
 the member with the fewest is the most typical of its bucket. Each member is compared, on the full sets,
 with that one, the bucket's hub, and linked members are merged. What is left are members of one bucket in
-different components, at least one of a pair not linked with the hub. Both are described by what they lack of
+different components, at least one of a pair not linked with the hub. A large family has many hubs, so a bucket
+goes by another hub if its own is at least half as alike to that as a link needs, and more sets are: a set is then
+described about once for a family, not once for each of its hubs. Both of a pair are described by what they lack of
 the hub and what they have beside it. Sets that are alike enough share many of these differences, so they
 share one among few of either (a prefix in a fixed order, its length from the sizes alone), and a join finds
 all pairs that do. What all of them have in common takes no part in it, so near copies that differ in their
@@ -109,17 +111,22 @@ def sets_of(words: int, bloom):
     return call
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``hub, member`` whose full sets are alike enough."""
+def compared(pairs: DataFrame, sets: DataFrame, percent: int, least: int) -> DataFrame:
+    """``a, b, linked``: the pairs ``hub, member`` whose full sets are alike by ``least`` percent, and whether by ``percent``."""
     both, sizes = F.size(F.array_intersect("hub_set", "own_set")), F.size("hub_set") + F.size("own_set")
     return (
         pairs.join(sets.select(F.col("id").alias("member"), F.col("hashes").alias("own_set")), "member")
         .join(sets.select(F.col("id").alias("hub"), F.col("hashes").alias("hub_set")), "hub")
-        .where(100 * both >= percent * (sizes - both))
-        .select(F.col("hub").alias("a"), F.col("member").alias("b"))
+        .where((100 + least) * both >= least * sizes)
+        .select(F.col("hub").alias("a"), F.col("member").alias("b"), ((100 + percent) * both >= percent * sizes).alias("linked"))
     )
 
 
+def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: the pairs ``hub, member`` whose full sets are alike enough."""
+    return compared(pairs, sets, percent, percent).select("a", "b")
+
+
 def bucket_keys(reps: DataFrame) -> DataFrame:
     """``id, i, j, key`` of every set that shares a half key of the first collection, for each such half key."""
     halves = reps.select("id", F.posexplode(F.slice("halves", 1, COLLECTION)).alias("i", "half"))
@@ -139,9 +146,22 @@ def lone_shingles(sets: DataFrame) -> DataFrame:
     return one.groupBy("id").agg(F.collect_list("hash").alias("lone"))
 
 
-def differences(scratch: Scratch, grouped: DataFrame, sets: DataFrame, lone: DataFrame, percent: int) -> DataFrame:
+def leading_hubs(hubs: DataFrame, stars: DataFrame) -> DataFrame:
+    """``hub, lead``: of a hub and the hubs that it is alike to, the one that most sets are alike to, for hubs that have any.
+
+    ``stars`` has the pairs ``a, b`` of hubs and members of their buckets that are alike.
+    """
+    counted = stars.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+    around = stars.select("a", "b").join(apart(counted), "a").union(counted.select("a", F.col("a").alias("b"), "n"))
+    best = around.join(hubs.select(F.col("hub").alias("b")).distinct(), "b").groupBy("b").agg(F.min(F.struct((-F.col("n")).alias("n"), "a")).alias("best"))
+    return best.select(F.col("b").alias("hub"), F.col("best.a").alias("lead"))
+
+
+def differences(scratch: Scratch, grouped: DataFrame, sets: DataFrame, lone: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """``hub, id, root, far, hash, most, need``: whether a set is not linked with the hub, and the differences from it that a link must share one of.
 
+    Beside it ``a, b``: links of hubs with sets ``hub, id, root, hub_root`` of another root, which the description shows by itself.
+
     Of a set x, let r and a be the numbers of shingles it lacks of the hub h and has beside it. Two sets share
     |h| - r1 - r2 + s shingles, where s counts the differences they have in common. That a link needs percent /
     (100 + percent) of both sizes bounds s from below: for a set that is far from the hub by its own missing share,
@@ -164,15 +184,18 @@ def differences(scratch: Scratch, grouped: DataFrame, sets: DataFrame, lone: Dat
     left = r + F.size("beside")
     # half of the hub's size is taken off either side's need
     need = (2 * percent * n + 2 * (100 + percent) * r - (100 + percent) * h).alias("need")
-    both = both.select("hub", "id", "root", (missing > 0).alias("far"), (left - least + 1).alias("length"), left.alias("all"), need, F.concat("beside", "lacks").alias("hashes")).where("length > 0")
-    both = scratch.write(both, "described")
+    both = both.select("hub", "id", "root", "hub_root", (missing > 0).alias("far"), (left - least + 1).alias("length"), left.alias("all"), need, F.concat("beside", "lacks").alias("hashes"))
+    both = scratch.write(both.where("length > 0 or (not far and root <> hub_root)"), "described")
+    direct = both.where("not far and root <> hub_root").select(F.col("hub").alias("a"), F.col("id").alias("b"))
+    both = both.where("length > 0")
     # a far set meets others of its hub that are in another component
     open_hubs = both.groupBy("hub").agg(F.min("root").alias("one"), F.max("root").alias("other"), F.max("far").alias("any")).where("one < other and any").select("hub")
     each = both.join(apart(open_hubs), "hub").select("hub", "id", "root", "far", "length", "all", "need", F.explode("hashes").alias("hash"))
     # dealt anew, so that the join before may split a hub that many sets have
     met = each.repartition("hub", "hash").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("hub", "hash")))
     place = F.row_number().over(Window.partitionBy("hub", "id").orderBy("n", "hash"))
-    return met.withColumn("place", place).where("place <= length").select("hub", "id", "root", "far", "hash", (F.col("all") - F.col("place") + 1).alias("most"), "need")
+    prefix = met.withColumn("place", place).where("place <= length").select("hub", "id", "root", "far", "hash", (F.col("all") - F.col("place") + 1).alias("most"), "need")
+    return prefix, direct
 
 
 def merge_buckets(scratch: Scratch, keys: DataFrame, sets: DataFrame, lone: DataFrame, percent: int) -> DataFrame:
@@ -185,27 +208,32 @@ def merge_buckets(scratch: Scratch, keys: DataFrame, sets: DataFrame, lone: Data
     hubs = keys.groupBy("key").agg(F.min(F.struct("lone", "id")).alias("hub")).select("key", F.col("hub.id").alias("hub"))
     hubs = scratch.write(keys.select("key", *as_hub).join(apart(hubs), ["key", "hub"]), "hubs")
     pairs = keys.join(hubs, "key").where(F.col("id") != F.col("hub")).where(fits).select("hub", F.col("id").alias("member")).distinct()
-    labels = components(linked(pairs, sets, percent), scratch, "stars").withColumnRenamed("node", "id")
+    stars = scratch.write(compared(pairs, sets, percent, percent // 2), "alike")
+    labels = components(stars.where("linked"), scratch, "stars").withColumnRenamed("node", "id")
     placed = keys.join(labels, "id", "left").select("id", "size", "lone", "key", F.coalesce("root", "id").alias("root"))
     placed = scratch.write(placed, "placed")
     # who differs too much from every size in its bucket has no links there
     smallest = F.greatest("low", F.col("size") - F.col("lone"))
     low = placed.groupBy("key").agg(F.min("size").alias("low"))
     placed = placed.join(apart(low), "key").where(100 * (F.col("size") - F.col("lone")) >= percent * (F.col("lone") + smallest))
-    # in buckets that still hold several components: everyone by its differences from the hub
+    # in buckets that still hold several components: everyone by its differences from the hub that leads the bucket's hub
     mixed = placed.groupBy("key").agg(F.min("root").alias("one"), F.max("root").alias("other")).where("one < other").select("key")
-    grouped = placed.join(apart(mixed.join(hubs.select("key", "hub"), "key")), "key").select("hub", "id", "root").distinct()
-    prefix = scratch.write(differences(scratch, grouped, sets, lone, percent), "differences")
+    led = mixed.join(hubs.select("key", "hub"), "key").join(leading_hubs(hubs, stars), "hub", "left").select("key", F.coalesce("lead", "hub").alias("hub"))
+    led = led.join(labels.select(F.col("id").alias("hub"), F.col("root").alias("hub_root")), "hub", "left").select("key", "hub", F.coalesce("hub_root", "hub").alias("hub_root"))
+    grouped = placed.join(apart(led), "key").select("hub", "id", "root", "hub_root").distinct()
+    prefix, direct = differences(scratch, grouped, sets, lone, percent)
+    prefix = scratch.write(prefix, "differences")
     far = prefix.where("far").select("hub", "hash", *(F.col(c).alias(f"far_{c}") for c in ("id", "root", "most", "need")))
     enough = 2 * (100 + percent) * F.least("most", "far_most") >= F.col("need") + F.col("far_need")
     once = ~F.col("far") | (F.col("id") > F.col("far_id"))
     met = prefix.join(far, ["hub", "hash"]).where((F.col("root") != F.col("far_root")) & once & enough)
     both = met.select(F.least("far_id", "id").alias("hub"), F.greatest("far_id", "id").alias("member")).distinct()
-    links = scratch.write(linked(both, sets, percent), "links")
+    links = scratch.write(linked(both, sets, percent).union(direct), "links")
     if links.isEmpty():
         return labels
     # links between components join the stars
-    roots = prefix.select("id", "root").distinct()
+    ends = links.select(F.col("a").alias("id")).union(links.select("b")).distinct().join(labels, "id", "left")
+    roots = ends.select("id", F.coalesce("root", "id").alias("root"))
     joined = links.join(roots.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a").join(roots.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b")
     moved = components(joined.select(F.col("ra").alias("a"), F.col("rb").alias("b")), scratch, "joins").select(F.col("node").alias("root"), F.col("root").alias("to"))
     return labels.join(moved, "root", "left").select("id", F.coalesce("to", "root").alias("root")).union(moved.select(F.col("root").alias("id"), F.col("to").alias("root")))

@@ -309,6 +309,50 @@ def test_near_copies_around_a_hub(spark, seed):
     assert got == {i: find(i) for i in range(len(texts))} and len(set(got.values())) > 2
 
 
+def test_a_family_is_described_once_and_not_once_for_each_hub(spark, monkeypatch):
+    """Copies edited at several of 60 words have many hubs; the differences made rows do not grow with those."""
+    draw = random.Random(3)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for _ in range(800):
+        words = list(base)
+        for at in draw.sample(range(60), draw.choice([0, 1, 1, 2, 2, 3])):
+            words[at] = f"e{draw.randrange(10**6)}" if draw.random() < 0.5 else f"v{draw.randrange(5)}"
+        texts.append(" ".join(words))
+    seen = {}
+
+    class Kept(Scratch):
+        def write(self, df, name):
+            seen[name] = super().write(df, name)
+            return seen[name]
+
+    monkeypatch.setattr(minhash_dedup, "Scratch", Kept)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in minhash_dedup.near_dedup(docs, words=4).collect()}
+    sets = [{tuple(w[i : i + 4]) for i in range(len(w) - 3)} for w in (t.split(" ") for t in texts)]
+    for i in range(len(sets)):
+        for j in range(i):
+            if got[i] != got[j]:
+                assert 100 * len(sets[i] & sets[j]) < 80 * len(sets[i] | sets[j])
+    described = seen["described"]
+    ids = described.select("id").distinct().count()
+    assert seen["hubs"].select("hub").distinct().count() > 50 and ids > 200
+    assert described.count() <= 1.5 * ids
+
+
+def test_a_hub_that_leads_another_is_linked_with_the_sets_of_its_buckets(spark):
+    """3 is linked with 1, which leads the hub of 3's bucket, and with nothing in the bucket itself."""
+    sets = {1: range(100), 2: range(30, 130), 3: [*range(15), *range(20, 100), *range(200, 205)], 4: range(1, 101), 5: range(2, 102)}
+    keys = [(1, 10), (4, 10), (5, 10), (1, 11), (2, 11), (2, 12), (3, 12)]
+    lone = {1: 0, 2: 1, 3: 5, 4: 2, 5: 3}
+    rows = spark.createDataFrame([(i, list(h)) for i, h in sets.items()], "id long, hashes array<long>")
+    # lone counts choose the hubs here
+    members = spark.createDataFrame([(i, len(sets[i]), lone[i], k) for i, k in keys], "id long, size int, lone int, key long")
+    none = spark.createDataFrame([], "id long, lone array<long>")
+    got = minhash_dedup.merge_buckets(Scratch(spark, "led"), members, rows, none, 80).collect()
+    assert {r.id: r.root for r in got if r.id != r.root} == {3: 1, 4: 1, 5: 1}
+
+
 def test_repeats_of_a_row_are_one_text(spark):
     docs = spark.range(300).selectExpr("7L AS doc_id", "'a b c d e f g h i j' AS text").union(spark.range(3).selectExpr("id AS doc_id", "'a b c d e f g h i j' AS text"))
     sketches = docs.selectExpr("doc_id AS id", "text").mapInArrow(minhash_dedup.sketch(4), "id long, size long, digest binary, halves array<long>")
