@@ -63,3 +63,18 @@ def test_no_row_for_a_tile(spark):
     plan = cover.distinct_bounds(rects)._jdf.queryExecution().optimizedPlan().toString()
     assert "row_max" in plan and "sequence(row_min" not in plan
     assert cover.distinct_bounds(rects).agg(F.count(F.lit(1))).first()[0] == 1
+
+
+def test_rectangles_without_a_zoom_are_covered_too(spark):
+    rows = some_rects(5) + [(4, 20 * n, n % 7, 20 * n + 5, n % 7 + 3) for n in range(3000)] + [(4, 0, 0, 2**20, 0)]
+    unknown = [(None if z == 4 else z, *bounds) for z, *bounds in rows]
+    want, got = ([tuple(r) for r in cover.distinct_bounds(spark.createDataFrame(some, RECTS)).collect()] for some in (rows, unknown))
+    assert {z for z, *_ in got} == {None, 5}
+    assert sorted((4 if z is None else z, *bounds) for z, *bounds in got) == sorted(want)
+
+
+def test_the_last_row_and_column_of_the_deepest_zoom(spark):
+    end = 2**31 - 1
+    rows = [(31, 0, end - 1, 0, end), (31, 0, end, 0, end), (31, end - 1, 0, end, 0), (31, end, 0, end, 0)]
+    got = sorted(tuple(r) for r in cover.distinct_bounds(spark.createDataFrame(rows, RECTS)).collect())
+    assert got == [(31, 0, end - 1, 0, end), (31, end - 1, 0, end, 0)]
